@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from concord.llm import url_trie
+from concord.llm.packing import op4_cost_balanced_packing
 from concord.llm.sharding import op1_minimax_sharding
+from concord.llm.simhash_dedup import op3_simhash_trie
+from concord.llm.url_trie import op7_url_trie
 
 QUERIES = {
     "op1_minimax_sharding": op1_minimax_sharding,
+    "op3_simhash_trie": op3_simhash_trie,
+    "op4_cost_balanced_packing": op4_cost_balanced_packing,
+    "op7_url_trie": op7_url_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_url_trie": url_trie.ORACLE,
+}
