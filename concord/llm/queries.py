@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from concord.llm import url_trie
+from concord.llm import rule_ledger, url_trie
+from concord.llm.bpe import op5_numpy_bpe
 from concord.llm.packing import op4_cost_balanced_packing
+from concord.llm.rule_ledger import op8_rule_ledger
 from concord.llm.sharding import op1_minimax_sharding
 from concord.llm.simhash_dedup import op3_simhash_trie
 from concord.llm.url_trie import op7_url_trie
@@ -12,9 +14,12 @@ QUERIES = {
     "op1_minimax_sharding": op1_minimax_sharding,
     "op3_simhash_trie": op3_simhash_trie,
     "op4_cost_balanced_packing": op4_cost_balanced_packing,
+    "op5_numpy_bpe": op5_numpy_bpe,
     "op7_url_trie": op7_url_trie,
+    "op8_rule_ledger": op8_rule_ledger,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_url_trie": url_trie.ORACLE,
+    "op8_rule_ledger": rule_ledger.ORACLE,
 }
