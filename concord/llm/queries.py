@@ -6,9 +6,11 @@ from concord.llm import rule_ledger, url_trie
 from concord.llm.bpe import op5_numpy_bpe
 from concord.llm.packing import op4_cost_balanced_packing
 from concord.llm.rule_ledger import op8_rule_ledger
+from concord.llm.secret_links import op9_credential_linking
 from concord.llm.sharding import op1_minimax_sharding
 from concord.llm.simhash_dedup import op3_simhash_trie
 from concord.llm.url_trie import op7_url_trie
+from concord.llm.warc_revisit import op10_warc_revisits
 
 QUERIES = {
     "op1_minimax_sharding": op1_minimax_sharding,
@@ -17,6 +19,8 @@ QUERIES = {
     "op5_numpy_bpe": op5_numpy_bpe,
     "op7_url_trie": op7_url_trie,
     "op8_rule_ledger": op8_rule_ledger,
+    "op9_credential_linking": op9_credential_linking,
+    "op10_warc_revisits": op10_warc_revisits,
 }
 
 ORACLE_SQL: dict[str, str] = {
