@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concord.llm import rule_ledger, url_trie
 from concord.llm.bpe import op5_numpy_bpe
+from concord.llm.media_chunks import op6_gear_chunks
 from concord.llm.packing import op4_cost_balanced_packing
 from concord.llm.rule_ledger import op8_rule_ledger
 from concord.llm.secret_links import op9_credential_linking
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_simhash_trie": op3_simhash_trie,
     "op4_cost_balanced_packing": op4_cost_balanced_packing,
     "op5_numpy_bpe": op5_numpy_bpe,
+    "op6_gear_chunks": op6_gear_chunks,
     "op7_url_trie": op7_url_trie,
     "op8_rule_ledger": op8_rule_ledger,
     "op9_credential_linking": op9_credential_linking,
