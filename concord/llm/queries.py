@@ -6,6 +6,7 @@ from concord.llm import rule_ledger, url_trie
 from concord.llm.bpe import op5_numpy_bpe
 from concord.llm.media_chunks import op6_gear_chunks
 from concord.llm.packing import op4_cost_balanced_packing
+from concord.llm.quality_classifier import op2_co_training
 from concord.llm.rule_ledger import op8_rule_ledger
 from concord.llm.secret_links import op9_credential_linking
 from concord.llm.sharding import op1_minimax_sharding
@@ -15,6 +16,7 @@ from concord.llm.warc_revisit import op10_warc_revisits
 
 QUERIES = {
     "op1_minimax_sharding": op1_minimax_sharding,
+    "op2_co_training": op2_co_training,
     "op3_simhash_trie": op3_simhash_trie,
     "op4_cost_balanced_packing": op4_cost_balanced_packing,
     "op5_numpy_bpe": op5_numpy_bpe,
