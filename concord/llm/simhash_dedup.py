@@ -17,6 +17,12 @@ group of its own, so a group holds at most about 2 * node_rows fingerprints what
 Within a group numpy walks both subtries level by level; the group hands on a spanning forest of
 its links, never all pairs, so the rows it makes are fewer than the rows it reads.
 
+Wide budgets. To filter a corpus, texts of similarity 0.8 or more count as copies: fingerprints over five-word shingles of
+which four fifths of the bits or more are equal, up to 12 of 64 bits apart. A trie does not prune at
+that distance (its work grows with the square of the corpus), so there the walk is blocked: each text names
+the first of its shingles in each of 12 random orders, and fingerprints are compared where they share such a shingle. Two
+texts with a share J of common shingles have no such key in common with probability (1 - J) ** 12: 4e-9 at J = 0.8.
+
 Components. Labels spread along the forest's edges with pointer jumping; each round ends in a
 checkpoint in the shared folder. Only joins and sums that Spark can split are used.
 
@@ -42,9 +48,15 @@ from concord.session import cut_lineage
 
 SEED = 42
 HALF = 32
+#: Four fifths of 64 bits are equal in fingerprints that differ in 12 bits.
+SIMILAR_BITS = 12
 #: _LANES[b] has bit i of the byte b in its byte i, so that adding rows counts eight bits at once.
 _LANES = sum((((np.arange(256, dtype=np.uint64) >> np.uint64(i)) & np.uint64(1)) << np.uint64(8 * i)) for i in range(8)).astype(np.uint64)
 
+#: Block keys: so many orders of a text's shingles, each given by an odd factor and a number to flip bits with.
+BLOCK_KEYS = 12
+_ORDERS = np.random.default_rng(SEED).integers(0, 1 << 63, size=(BLOCK_KEYS, 2), dtype=np.uint64) | np.array([0, 1], dtype=np.uint64)
+
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     """XXH64 of each shingle, repeats included; empty for a text without words."""
@@ -64,7 +76,10 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def fingerprint(text: str | None, words: int) -> int:
-    hashes = shingle_hashes(text, words)
+    return _majority(shingle_hashes(text, words))
+
+
+def _majority(hashes: np.ndarray) -> int:
     if not len(hashes):
         return 0
     lanes = _LANES[hashes.view(np.uint8).reshape(-1, 8)]
@@ -73,17 +88,30 @@ def fingerprint(text: str | None, words: int) -> int:
     return int(np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of each row."""
+def _block_keys(hashes: np.ndarray) -> list[int]:
+    """For each of BLOCK_KEYS orders of the shingles: the first shingle, as a number that also names the order."""
+    if not len(hashes):
+        return [0]
+    first = ((hashes[None, :] ^ _ORDERS[:, :1]) * _ORDERS[:, 1:]).min(axis=1)
+    return (first ^ (np.arange(BLOCK_KEYS, dtype=np.uint64) << np.uint64(60))).view(np.int64).tolist()
+
+
+def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text", block_keys: bool = False) -> DataFrame:
+    """doc_id and fp (the 64 bits as a signed long) of each row, and where asked its block keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = np.array([fingerprint(t.as_py(), words) for t in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            fps, keys = [], []
+            for t in b.column(1):
+                hashes = shingle_hashes(t.as_py(), words)
+                fps.append(_majority(hashes))
+                keys.append(_block_keys(hashes) if block_keys else None)
+            columns = [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(keys, type=pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "keys"])
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"doc_id {kind}, fp long")
+    return picked.mapInArrow(run, f"doc_id {kind}, fp long, keys array<long>")
 
 
 def _masks(bits: int, most: int) -> list[int]:
@@ -101,18 +129,17 @@ def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int64)
 
 
-def trie_pairs(a: np.ndarray, b: np.ndarray, depth: int, budget: int, same: bool = False, leaf: int = 24, slab: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_pairs(a: np.ndarray, b: np.ndarray, depth: int, budget: int, half: int, same: bool = False, leaf: int = 24, slab: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of a and b (sorted, distinct, each of one node at `depth`) within `budget` bits, of which
-    at most budget // 2 in the first 32. Node pairs are walked together, one bit a level, until both are small.
+    at most `half` in the first 32. Node pairs are walked together, one bit a level, until both are small.
     same: a is b, and a pair of nodes is walked in one order only."""
     if not len(a) or not len(b):
         return
-    half = budget // 2
     front = [np.array([v]) for v in (0, len(a), 0, len(b))]
     while depth < 64 and len(front[0]):
         small = np.maximum(front[1] - front[0], front[3] - front[2]) <= leaf
         if small.any():
-            yield from _leaves(a, b, [f[small] for f in front], budget, slab)
+            yield from _leaves(a, b, [f[small] for f in front], budget, half, slab)
             front = [f[~small] for f in front]
             if not len(front[0]):
                 return
@@ -135,10 +162,10 @@ def trie_pairs(a: np.ndarray, b: np.ndarray, depth: int, budget: int, same: bool
         live = apart <= (half if depth <= HALF else budget)
         front = [f[live] for f in front]
     if len(front[0]):
-        yield from _leaves(a, b, front, budget, slab)
+        yield from _leaves(a, b, front, budget, half, slab)
 
 
-def _leaves(a: np.ndarray, b: np.ndarray, front: list[np.ndarray], budget: int, slab: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _leaves(a: np.ndarray, b: np.ndarray, front: list[np.ndarray], budget: int, half: int, slab: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     na, nb = front[1] - front[0], front[3] - front[2]
     size = na * nb
     order = np.concatenate([[0], np.cumsum(size)])
@@ -148,7 +175,7 @@ def _leaves(a: np.ndarray, b: np.ndarray, front: list[np.ndarray], budget: int,
         owner, k = _expand(np.zeros(end - at, dtype=np.int64), size[at:end])
         i, j = front[0][at:end][owner] + k // nb[at:end][owner], front[2][at:end][owner] + k % nb[at:end][owner]
         apart = a[i] ^ b[j]
-        hit = (_popcount(apart) <= budget) & (_popcount(apart >> np.uint64(HALF)) <= budget // 2)
+        hit = (_popcount(apart) <= budget) & (_popcount(apart >> np.uint64(HALF)) <= half)
         yield i[hit], j[hit]
         at = end
 
@@ -179,7 +206,7 @@ def _turned(values: np.ndarray, turn: int) -> np.ndarray:
     return v if not turn else (v << np.uint64(HALF)) | (v >> np.uint64(HALF))
 
 
-def links_of_group(fps: np.ndarray, side: np.ndarray, same: bool, turn: int, depth: int, budget: int) -> list[tuple[int, int]]:
+def links_of_group(fps: np.ndarray, side: np.ndarray, same: bool, turn: int, depth: int, budget: int, half: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between side 0 and side 1 (or within the group when they are one block)."""
     keys = _turned(fps, turn)
     if same:
@@ -191,7 +218,7 @@ def links_of_group(fps: np.ndarray, side: np.ndarray, same: bool, turn: int, dep
         ia, ib = np.searchsorted(every, a), np.searchsorted(every, b)
     parent = np.arange(len(every))
     kept: list[tuple[int, int]] = []
-    for i, j in trie_pairs(a, b, depth, budget, same):
+    for i, j in trie_pairs(a, b, depth, budget, half, same):
         i, j = ia[i], ib[j]
         off = i != j
         kept += _forest(parent, i[off], j[off])
@@ -220,7 +247,7 @@ def trie_self_join(fps: DataFrame, budget: int, total: int, node_rows: int = 819
     )
 
     def join_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        found = links_of_group(rows["fp"].to_numpy(np.int64), rows["side"].to_numpy(bool), key[0] == key[1], int(key[0]) >> 60, depth, budget)
+        found = links_of_group(rows["fp"].to_numpy(np.int64), rows["side"].to_numpy(bool), key[0] == key[1], int(key[0]) >> 60, depth, budget, budget // 2)
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
     return met.groupBy("low", "high").applyInPandas(join_group, "u long, v long")
@@ -247,25 +274,64 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, budget: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (signed) and component_id of every row."""
-    marked = cut_lineage(fingerprints(docs, words, id_col, text_col))
+def blocked_self_join(marked: DataFrame, budget: int, small: int = 256, node_rows: int = 4096, group_rows: int = 8192) -> DataFrame:
+    """Edges (u, v) that connect the fingerprints within `budget` bits that share a block key.
+
+    Keys of up to `small` fingerprints are compared many to a group, in numpy; a larger one is dealt into blocks whose pairs
+    walk their tries together."""
+    rows = cut_lineage(marked.select("fp", F.explode("keys").alias("key")).distinct())
+    shared = cut_lineage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    met = cut_lineage(rows.join(shared, "key"))
+    groups = max(1, math.ceil(met.where(F.col("n") <= small).count() / group_rows))
+
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("key", ignore_index=True)
+        fps, (_, first, size) = rows["fp"].to_numpy(np.int64), np.unique(rows["key"].to_numpy(), return_index=True, return_counts=True)
+        every, at = np.unique(fps, return_inverse=True)
+        parent = np.arange(len(every))
+        kept: list[tuple[int, int]] = []
+        ends = np.repeat(first + size, size)
+        left, right = _expand(np.arange(len(fps)) + 1, ends - np.arange(len(fps)) - 1)  # each row with those after it in its key
+        for cut in range(0, len(left), 1 << 21):
+            i, j = at[left[cut : cut + (1 << 21)]], at[right[cut : cut + (1 << 21)]]
+            near = _popcount((every[i] ^ every[j]).view(np.uint64)) <= budget
+            kept += _forest(parent, i[near], j[near])
+        return pd.DataFrame([(int(every[i]), int(every[j])) for i, j in kept], columns=["u", "v"], dtype="int64")
+
+    def join_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        found = links_of_group(rows["fp"].to_numpy(np.int64), rows["side"].to_numpy(bool), key[1] == key[2], 0, 0, budget, budget)
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    few = met.where(F.col("n") <= small).select("fp", "key", F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group"))
+    blocks = F.ceil(F.col("n") / node_rows).cast("int")
+    dealt = met.where(F.col("n") > small).select("fp", "key", blocks.alias("blocks"), F.pmod(F.hash("fp", F.lit(7)), blocks).alias("mine"))
+    many = dealt.select("fp", "key", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("theirs")).select(
+        "fp", "key", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side")
+    )
+    schema = "u long, v long"
+    return few.groupBy("group").applyInPandas(compare, schema).unionByName(many.groupBy("key", "low", "high").applyInPandas(join_group, schema))
+
+
+def near_duplicates(docs: DataFrame, words: int = 4, budget: int = 4, id_col: str = "doc_id", text_col: str = "text", blocked: bool = False) -> DataFrame:
+    """doc_id, fp (signed) and component_id of every row. blocked: only fingerprints whose texts share a block key link."""
+    marked = cut_lineage(fingerprints(docs, words, id_col, text_col, blocked))
     least = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    labels = components(trie_self_join(least.select("fp"), budget, least.count()))
+    edges = blocked_self_join(marked, budget) if blocked else trie_self_join(least.select("fp"), budget, least.count())
+    labels = components(edges)
     grouped = least.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     smallest = grouped.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of_fp = grouped.join(smallest, "label").select("fp", "component_id")
+    of_fp = cut_lineage(grouped.join(smallest, "label").select("fp", "component_id"))
     return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, words: int, budget: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one_of_each(docs: DataFrame, words: int = 5, budget: int = SIMILAR_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of docs for each component: that of the smallest id (null ids last), then of the smallest text hash."""
-    key = [F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("__id"), F.col(id_col).isNull().alias("__no_id"), F.xxhash64(text_col).alias("__text")]
-    names = ["__no_id", "__id", "__text"]
-    keyed = docs.select(F.struct(F.col(id_col).isNull(), F.col(id_col), *key).alias("row"), F.col(text_col).alias("text"))
-    found = near_duplicates(keyed, words, budget, "row", "text")
-    kept = found.groupBy("component_id").agg(F.min("doc_id").alias("row")).select("row.__no_id", "row.__id", "row.__text")
-    rows = docs.select("*", *key).join(kept, names, "left_semi")
+    no_id, name, text = F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(text_col)
+    keyed = docs.select(F.struct(no_id.alias("no_id"), F.col(id_col).alias("id"), name.alias("name"), text.alias("text")).alias("row"), F.col(text_col).alias("text"))
+    found = near_duplicates(keyed, words, budget, "row", "text", blocked=True)
+    names = ["__no_id", "__name", "__text"]
+    kept = found.groupBy("component_id").agg(F.min("doc_id").alias("row")).select(*[F.col(f"row.{n[2:]}").alias(n) for n in names])
+    rows = docs.select("*", no_id.alias("__no_id"), name.alias("__name"), text.alias("__text")).join(kept, names, "left_semi")
     within = Window.partitionBy(*names).orderBy(text_col)
     return rows.withColumn("__n", F.row_number().over(within)).where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
