@@ -11,7 +11,8 @@ runs over two tries, one that starts at each half, with budget k // 2 down to de
 That loses no link and keeps the frontier narrow.
 
 On Spark the top levels are unrolled: a fingerprint goes to every pair (own node, other node) of
-the first `depth` bits that the budget allows, found by XOR with the masks of few bits. Nodes above
+the first `depth` bits that the budget allows, found by XOR with the masks of few bits; depth is 5 at least, so that
+a small corpus too is spread over a cluster, and grows with the logarithm of the corpus. Nodes above
 `node_rows` fingerprints (a crowd of near copies) are dealt into blocks, and every pair of blocks is a
 group of its own, so a group holds at most about 2 * node_rows fingerprints whatever the data.
 Within a group numpy walks both subtries level by level; the group hands on a spanning forest of
@@ -228,13 +229,13 @@ def links_of_group(fps: np.ndarray, side: np.ndarray, same: bool, turn: int, dep
 
 def trie_self_join(fps: DataFrame, budget: int, total: int, node_rows: int = 8192) -> DataFrame:
     """Edges (u, v) that connect all distinct values of fps.fp within `budget` bits, of which there are `total`."""
-    depth = min(20, max(3, math.ceil(math.log2(max(total, 1) / node_rows))))
+    depth = min(20, max(5, math.ceil(math.log2(max(total, 1) / node_rows))))
     turned = F.array(
         F.struct(F.lit(0).cast("long").alias("turn"), F.col("fp").alias("key")),
         F.struct(F.lit(1).cast("long").alias("turn"), F.shiftleft("fp", HALF).bitwiseOR(F.shiftrightunsigned("fp", HALF)).alias("key")),
     )
     rows = fps.select("fp", F.explode(turned).alias("t")).select("fp", "t.turn", F.shiftrightunsigned("t.key", 64 - depth).alias("node"))
-    nodes = rows.groupBy("turn", "node").agg(F.ceil(F.count("*") / F.lit(node_rows)).cast("int").alias("blocks"))
+    nodes = cut_lineage(rows.groupBy("turn", "node").agg(F.ceil(F.count("*") / F.lit(node_rows)).cast("int").alias("blocks")))
     masks = F.array(*[F.lit(m).cast("long") for m in _masks(depth, budget // 2)])
     deal = F.pmod(F.hash("fp", F.lit(7)), F.col("blocks"))
     visits = rows.join(nodes, ["turn", "node"]).select("fp", "turn", "node", _place("node", deal).alias("mine"), F.explode(masks).alias("mask"))
