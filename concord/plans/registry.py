@@ -1,17 +1,9 @@
-"""The queries of the reconciliation part, by name, with the SQL that gives the same rows."""
+"""All queries of the reconciliation part, by name, with the SQL that gives the same rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from concord.plans import entity_queries, event_queries, flow_queries, stream_queries  # noqa: F401  (they register themselves)
+from concord.plans.entry import ORACLE_SQL, QUERIES
+from concord.plans.flow_queries import flagship
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from concord.session import table
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+__all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
