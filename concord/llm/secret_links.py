@@ -130,24 +130,29 @@ def mask_text(text: str, spans: list) -> str:
 
 
 def redact(docs: DataFrame, scope: int = SCOPE, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """docs with every secret span masked; chars_col, where there is one, follows the text. Rows without secrets are as they were."""
-    key = "__key"
-    keyed = docs.withColumn(key, F.xxhash64(text_col))
-    scanned = scan(keyed, key, text_col)
-    spans = with_links(scanned, scope).where(F.size("spans") > 0).groupBy(F.col("doc_id").alias(key)).agg(F.first("spans").alias("__spans"))
+    """docs with every secret span masked; chars_col, where there is one, follows the text. Rows without secrets are as they were.
+
+    Equal texts have equal spans, so spans are found once for each text hash and sent back to the rows by it."""
+    at = docs.columns.index(text_col)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names of our own: none of docs can clash
+    texts = plain.select(F.xxhash64(f"c{at}").alias("key"), F.col(f"c{at}").alias("text"))
+    marked = with_links(scan(texts, "key", "text"), scope).where(F.size("spans") > 0)
+    spans = cut_lineage(marked.groupBy("doc_id").agg(F.first("spans").alias("spans")).withColumnRenamed("doc_id", "key"))
+    joined = plain.withColumn("key", F.xxhash64(f"c{at}")).join(spans, "key", "left").select(*plain.columns, "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = b.schema.get_field_index(text_col)
-            texts = [mask_text(t, s) if t is not None and s else t for t, s in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)]
-            columns = [pa.array(texts, type=b.schema.field(at).type) if i == at else b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[:-1])
+            found = b.column(b.num_columns - 1)
+            if found.null_count < len(found):
+                masked = [mask_text(t, s) if t is not None and s else t for t, s in zip(b.column(at).to_pylist(), found.to_pylist(), strict=True)]
+                b = b.set_column(at, b.schema.field(at), pa.array(masked, type=b.schema.field(at).type))
+            yield b.select(range(b.num_columns - 1))
 
-    joined = keyed.join(spans, key, "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__spans")
-    masked = joined.mapInArrow(run, docs.schema)
+    out = joined.mapInArrow(run, plain.schema)
     if chars_col in docs.columns:
-        masked = masked.withColumn(chars_col, F.when(F.col(text_col).isNull(), F.col(chars_col)).otherwise(F.length(text_col)).cast(docs.schema[chars_col].dataType))
-    return masked.select(*[F.col(f"`{c}`") for c in docs.columns])
+        n, text = f"c{docs.columns.index(chars_col)}", F.col(f"c{at}")
+        out = out.withColumn(n, F.when(text.isNull(), F.col(n)).otherwise(F.length(text)).cast(plain.schema[n].dataType))
+    return out.toDF(*docs.columns)
 
 
 def op9_credential_linking(spark, sf_dir: str) -> DataFrame:

@@ -330,11 +330,12 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, budget: int = SIMILAR_BITS
     no_id, name, text = F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(text_col)
     keyed = docs.select(F.struct(no_id.alias("no_id"), F.col(id_col).alias("id"), name.alias("name"), text.alias("text")).alias("row"), F.col(text_col).alias("text"))
     found = near_duplicates(keyed, words, budget, "row", "text", blocked=True)
-    names = ["__no_id", "__name", "__text"]
-    kept = found.groupBy("component_id").agg(F.min("doc_id").alias("row")).select(*[F.col(f"row.{n[2:]}").alias(n) for n in names])
-    rows = docs.select("*", no_id.alias("__no_id"), name.alias("__name"), text.alias("__text")).join(kept, names, "left_semi")
-    within = Window.partitionBy(*names).orderBy(text_col)
-    return rows.withColumn("__n", F.row_number().over(within)).where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = ["no_id", "name", "hash"]
+    kept = found.groupBy("component_id").agg(F.min("doc_id").alias("row")).select("row.no_id", "row.name", F.col("row.text").alias("hash"))
+    # The row goes along as one struct, so that no column of docs can clash with these.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), no_id.alias("no_id"), name.alias("name"), text.alias("hash")).join(kept, names, "left_semi")
+    first = F.row_number().over(Window.partitionBy(*names).orderBy(F.col(f"row.`{text_col}`")))
+    return rows.withColumn("n", first).where("n = 1").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op3_simhash_trie(spark, sf_dir: str) -> DataFrame:
