@@ -22,6 +22,7 @@ task, like any row.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -126,8 +127,7 @@ def _places(halves: np.ndarray, bits: int) -> np.ndarray:
 
 
 def cut(media: bytes) -> list[bytes]:
-    ends = chunk_ends(media)
-    return [media[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    return [media[a:b] for a, b in itertools.pairwise([0, *chunk_ends(media)])]
 
 
 def list_chunks(texts: DataFrame) -> DataFrame:
