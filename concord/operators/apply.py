@@ -36,11 +36,11 @@ def create_users(users: DataFrame, requests: DataFrame) -> tuple[DataFrame, Data
     usable = F.coalesce((F.col("username") != "") & F.col("email").contains("@"), F.lit(False))
     failed = requests.where(~usable)
     new = requests.where(usable).dropDuplicates(["email"]).join(users.select("email"), "email", "left_anti")
-    top = users.agg(F.coalesce(F.max("user_id"), F.lit(-1)).alias("top"))
+    top = users.agg(F.max("user_id")).first()[0]
+    start = 0 if top is None else top + 1
     # zipWithIndex numbers rows from counts of each partition, without bringing them together.
-    numbered = new.select("email", "username").orderBy("email").rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], r[1]))
-    made = new.sparkSession.createDataFrame(numbered, "email string, username string, n long")
-    return made.crossJoin(F.broadcast(top)).select((F.col("top") + 1 + F.col("n")).alias("user_id"), "username", "email", F.lit(True).alias("active")), failed
+    numbered = new.select("email", "username").orderBy("email").rdd.zipWithIndex().map(lambda r: (start + r[1], r[0][1], r[0][0], True))
+    return new.sparkSession.createDataFrame(numbered, "user_id long, username string, email string, active boolean"), failed
 
 
 def find_or_create_roles(roles: DataFrame, wanted: DataFrame) -> DataFrame:
