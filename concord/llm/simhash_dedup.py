@@ -18,11 +18,11 @@ group of its own, so a group holds at most about 2 * node_rows fingerprints what
 Within a group numpy walks both subtries level by level; the group hands on a spanning forest of
 its links, never all pairs, so the rows it makes are fewer than the rows it reads.
 
-Wide budgets. To filter a corpus, texts of similarity 0.8 or more count as copies: fingerprints over five-word shingles of
-which four fifths of the bits or more are equal, up to 12 of 64 bits apart. A trie does not prune at
-that distance (its work grows with the square of the corpus), so there the walk is blocked: each text names
-the first of its shingles in each of 12 random orders, and fingerprints are compared where they share such a shingle. Two
-texts with a share J of common shingles have no such key in common with probability (1 - J) ** 12: 4e-9 at J = 0.8.
+Filtering. To filter a corpus, texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more count as copies. Their
+fingerprints are up to 20 bits apart, and at that distance a trie does not prune: its work grows with the square of the
+corpus. So there the walk is blocked: each text names the first of its shingles in each of 12 random orders, and
+fingerprints are compared where they share such a shingle. Two texts of similarity J have no such shingle in common with probability
+(1 - J) ** 12, which is 4e-9 at 0.8. Links found so are candidates; each candidate group is then verified on the sets of shingles, exactly.
 
 Components. Labels spread along the forest's edges with pointer jumping; each round ends in a
 checkpoint in the shared folder. Only joins and sums that Spark can split are used.
@@ -49,8 +49,8 @@ from concord.session import cut_lineage
 
 SEED = 42
 HALF = 32
-#: Four fifths of 64 bits are equal in fingerprints that differ in 12 bits.
-SIMILAR_BITS = 12
+#: Texts of similarity 0.8 are 9.7 bits apart on average, with a deviation of 2.9.
+CANDIDATE_BITS = 20
 #: _LANES[b] has bit i of the byte b in its byte i, so that adding rows counts eight bits at once.
 _LANES = sum((((np.arange(256, dtype=np.uint64) >> np.uint64(i)) & np.uint64(1)) << np.uint64(8 * i)) for i in range(8)).astype(np.uint64)
 
@@ -313,28 +313,112 @@ def blocked_self_join(marked: DataFrame, budget: int, small: int = 256, node_row
     return few.groupBy("group").applyInPandas(compare, schema).unionByName(many.groupBy("key", "low", "high").applyInPandas(join_group, schema))
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, budget: int = 4, id_col: str = "doc_id", text_col: str = "text", blocked: bool = False) -> DataFrame:
-    """doc_id, fp (signed) and component_id of every row. blocked: only fingerprints whose texts share a block key link."""
-    marked = cut_lineage(fingerprints(docs, words, id_col, text_col, blocked))
+def near_duplicates(docs: DataFrame, words: int = 4, budget: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp (signed) and component_id of every row."""
+    marked = cut_lineage(fingerprints(docs, words, id_col, text_col))
     least = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    edges = blocked_self_join(marked, budget) if blocked else trie_self_join(least.select("fp"), budget, least.count())
-    labels = components(edges)
+    labels = components(trie_self_join(least.select("fp"), budget, least.count()))
     grouped = least.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     smallest = grouped.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of_fp = cut_lineage(grouped.join(smallest, "label").select("fp", "component_id"))
     return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, words: int = 5, budget: int = SIMILAR_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of docs for each component: that of the smallest id (null ids last), then of the smallest text hash."""
-    no_id, name, text = F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(text_col)
-    keyed = docs.select(F.struct(no_id.alias("no_id"), F.col(id_col).alias("id"), name.alias("name"), text.alias("text")).alias("row"), F.col(text_col).alias("text"))
-    found = near_duplicates(keyed, words, budget, "row", "text", blocked=True)
-    names = ["no_id", "name", "hash"]
-    kept = found.groupBy("component_id").agg(F.min("doc_id").alias("row")).select("row.no_id", "row.name", F.col("row.text").alias("hash"))
+def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """How many members the sets of rows `left` share with those of other rows `right`, by products of 0/1 matrices, a slab of columns at a time."""
+    rows = np.unique(np.concatenate([left, right]))
+    owner = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows])
+    _, column, often = np.unique(np.concatenate([sets[r] for r in rows]), return_inverse=True, return_counts=True)
+    some = often[column] > 1  # a member of one set only is shared with none
+    _, column = np.unique(column[some], return_inverse=True)
+    owner = owner[some]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    a, b = np.searchsorted(rows, left), np.searchsorted(rows, right)
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        low, high = np.searchsorted(column, [first, first + columns])
+        present = np.zeros((len(rows), columns), dtype=np.float32)
+        present[owner[low:high], column[low:high] - first] = 1
+        shared += present[a] @ present[b].T
+    return shared
+
+
+def similar_links(names: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """A spanning forest, by name, of the pairs of a left and a right row whose sets have a Jaccard similarity of `similarity` or more."""
+    shared = shared_counts(sets, left, right)
+    sizes = np.array([len(s) for s in sets])
+    either = sizes[left][:, None] + sizes[right][None, :] - shared
+    # Texts without words have empty sets; they are equal to each other.
+    i, j = np.nonzero(np.where(either == 0, True, shared >= similarity * either - 1e-4))
+    parent = np.arange(len(sets))
+    return [(int(names[x]), int(names[y])) for x, y in _forest(parent, left[i], right[j])]
+
+
+def verified_links(members: DataFrame, words: int, similarity: float, small: int = 64, block_rows: int = 512, group_rows: int = 512) -> DataFrame:
+    """Edges (u, v) between the texts of one label that are similar. members: name, label, text; names are distinct.
+
+    Labels of few texts are verified many to a group; a larger one is dealt into blocks, and each pair of blocks is a group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), words)).view(np.int64) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, type=pa.list_(pa.int64()))], names=["name", "label", "shingles"])
+
+    sizes = cut_lineage(members.groupBy("label").agg(F.count("*").alias("n")))
+    held = members.select("name", "label", "text").mapInArrow(run, "name long, label long, shingles array<long>").join(sizes, "label")
+    groups = max(1, math.ceil((sizes.where(F.col("n") <= small).agg(F.sum("n")).first()[0] or 0) / group_rows))
+
+    def verify_few(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["label", "name"], ignore_index=True)
+        names, sets = rows["name"].to_numpy(np.int64), list(rows["shingles"])
+        starts = np.flatnonzero(np.concatenate([[True], rows["label"].to_numpy()[1:] != rows["label"].to_numpy()[:-1]]))
+        found = []
+        for a, b in itertools.pairwise([*starts.tolist(), len(rows)]):
+            every = np.arange(b - a)
+            found += similar_links(names[a:b], sets[a:b], every, every, similarity)
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    def verify_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        side = rows["side"].to_numpy(bool)
+        left = np.flatnonzero(~side)
+        right = left if key[1] == key[2] else np.flatnonzero(side)
+        found = similar_links(rows["name"].to_numpy(np.int64), list(rows["shingles"]), left, right, similarity)
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    few = held.where(F.col("n") <= small).withColumn("group", F.pmod(F.xxhash64("label"), F.lit(groups)))
+    blocks = F.ceil(F.col("n") / block_rows).cast("int")
+    dealt = held.where(F.col("n") > small).withColumns({"blocks": blocks, "mine": F.pmod(F.hash("name", F.lit(7)), blocks)})
+    many = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("theirs")).select(
+        "name", "label", "shingles", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side")
+    )
+    schema = "u long, v long"
+    return few.select("name", "label", "shingles", "group").groupBy("group").applyInPandas(verify_few, schema).unionByName(many.groupBy("label", "low", "high").applyInPandas(verify_blocks, schema))
+
+
+def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, budget: int = CANDIDATE_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for each group of similar texts: that of the smallest id (null ids last), then of the smallest text hash.
+
+    Texts are similar whose sets of shingles have a Jaccard similarity of `similarity` or more; groups are their connected components.
+    Candidates come from the blocked join of fingerprints, and each link is then verified on the sets themselves."""
+    no_id, name, text = F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(F.coalesce(text_col, F.lit("")))
+    key = F.struct(no_id.alias("no_id"), F.col(id_col).alias("id"), name.alias("name"), text.alias("text"))
+    keyed = docs.select(key.alias("row"), F.col(text_col).alias("text"))
+    marked = cut_lineage(fingerprints(keyed, words, "row", "text", block_keys=True).withColumnRenamed("doc_id", "row"))
+    # One row stands for each distinct text, so copies are not compared.
+    texts = cut_lineage(marked.groupBy(F.col("row.text").alias("name")).agg(F.min("row").alias("row"), F.min("fp").alias("fp")))
+    near = components(blocked_self_join(marked, budget)).withColumnRenamed("node", "fp")
+    labelled = cut_lineage(texts.join(near, "fp", "left").select("name", "row", F.coalesce("label", "fp").alias("label")))
+    crowded = cut_lineage(labelled.groupBy("label").agg(F.count("*").alias("n")).where("n > 1").select("label"))
+    asked = labelled.join(crowded, "label").select("row.no_id", F.col("row.name").alias("id_text"), "name", "label")
+    where = ["no_id", "id_text", "name"]
+    found = docs.select(no_id.alias("no_id"), name.alias("id_text"), text.alias("name"), F.col(text_col).alias("text")).join(asked, where)
+    members = cut_lineage(found.select("name", "label", "text").dropDuplicates(["name"]))
+    same = components(verified_links(members, words, similarity)).withColumnRenamed("node", "name").withColumnRenamed("label", "component")
+    kept = texts.join(same, "name", "left").groupBy(F.coalesce("component", "name")).agg(F.min("row").alias("row")).select("row.no_id", F.col("row.name").alias("id_text"), F.col("row.text").alias("name"))
     # The row goes along as one struct, so that no column of docs can clash with these.
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), no_id.alias("no_id"), name.alias("name"), text.alias("hash")).join(kept, names, "left_semi")
-    first = F.row_number().over(Window.partitionBy(*names).orderBy(F.col(f"row.`{text_col}`")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), no_id.alias("no_id"), name.alias("id_text"), text.alias("name")).join(kept, where, "left_semi")
+    first = F.row_number().over(Window.partitionBy(*where).orderBy(F.col(f"row.`{text_col}`")))
     return rows.withColumn("n", first).where("n = 1").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -99,22 +99,53 @@ def edited(text, n, rng):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("small", [256, 5])
-def test_blocked_join_keeps_one_of_similar_texts(spark, small, monkeypatch):
-    """Copies with few edits are of similarity 0.8 or more; the others share a passage of 60 words and stay."""
+def jaccard_groups(texts, words, similarity):
+    """Smallest index of each text's component over all pairs of shingle sets."""
+    sets = [set(s.shingle_hashes(t, words).tolist()) for t in texts]
+    size = np.array([len(x) for x in sets])
+    shared = np.array([[len(a & b) for b in sets] for a in sets])
+    either = size[:, None] + size[None, :] - shared
+    near = (either == 0) | (shared >= similarity * either)
+    label = np.arange(len(texts))
+    while True:
+        new = np.array([label[row].min() for row in near])
+        if (new == label).all():
+            return label
+        label = new
+
+
+@pytest.mark.parametrize("sizes", [{}, {"small": 3, "block_rows": 2, "group_rows": 5}])
+def test_filter_keeps_one_of_similar_texts(spark, sizes, monkeypatch):
+    """Families of edited copies, of similarity above and below 0.8, and texts that only share a passage of 60 words."""
     rng = random.Random(4)
     text = lambda n: " ".join(f"w{rng.randrange(10**5)}" for _ in range(n))
-    passage, rows, copies = text(60), [], set()
-    for k in range(40):
-        original = text(400) + " " + passage
-        rows.append((10 * k, original))
-        for c in range(1, 1 + k % 4):
-            rows.append((10 * k + c, edited(original, 4, rng)))
-            copies.add(10 * k + c)
-    join = s.blocked_self_join
-    monkeypatch.setattr(s, "blocked_self_join", lambda marked, budget: join(marked, budget, small=small, node_rows=7, group_rows=50))
+    passage, rows = text(60), []
+    for k in range(24):
+        original = text(100 + 10 * k) + " " + passage
+        rows.append((100 * k, original))
+        rows += [(100 * k + c, edited(original, 1 + (c * k) % 9, rng)) for c in range(1, 2 + k % 7)]
+    if sizes:
+        join, verify = s.blocked_self_join, s.verified_links
+        monkeypatch.setattr(s, "blocked_self_join", lambda marked, budget: join(marked, budget, small=5, node_rows=7, group_rows=50))
+        monkeypatch.setattr(s, "verified_links", lambda *a: verify(*a, **sizes))
     kept = {r["doc_id"] for r in s.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert kept == {i for i, _ in rows} - copies
+    label = jaccard_groups([t for _, t in rows], 5, 0.8)
+    assert kept == {rows[k][0] for k in set(label.tolist())}
+    assert 24 < len(kept) < len(rows)
+
+
+def test_filter_on_documents(documents):
+    rows = sorted((r["doc_id"], r["text"]) for r in documents.collect())
+    label = jaccard_groups([t for _, t in rows], 5, 0.8)
+    assert {r["doc_id"] for r in s.keep_one_of_each(documents).collect()} == {rows[k][0] for k in set(label.tolist())}
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(0, 30))) for _ in range(12)]
+    left, right = np.array([0, 3, 5, 11]), np.array([1, 2, 7])
+    wanted = [[len(np.intersect1d(sets[i], sets[j])) for j in right] for i in left]
+    assert s.shared_counts(sets, left, right, columns=5).tolist() == wanted
 
 
 def test_odd_documents(odd_documents, no_documents):
