@@ -121,8 +121,13 @@ def ablations(ledger: DataFrame, version: str = CURRENT) -> DataFrame:
 def keep_by_policy(docs: DataFrame, version: str = CURRENT, text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns as they are, that pass the policy."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    judged = measure(docs.select(row), F.col(f"row.`{text_col}`")).where(passes(version, failure_bits()))
-    return judged.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    judged = measure(docs.select(row), F.col(f"row.`{text_col}`")).select("row", _settled(failure_bits()).alias("bits"))
+    return judged.where(passes(version, F.col("bits"))).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _settled(value: Column) -> Column:
+    """value as a column that filters are not moved below: there they would repeat all its steps for each use of each column."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
 
 
 def op8_rule_ledger(spark, sf_dir: str) -> DataFrame:
