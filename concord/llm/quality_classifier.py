@@ -182,15 +182,26 @@ def _inputs(docs: DataFrame) -> list[Column]:
     return [(F.col(f"`{c}`") if c in docs.columns else F.lit(None)).cast(kind).alias(c) for c, kind in have.items()]
 
 
+def first_by_hash(ids: DataFrame, most: int) -> DataFrame:
+    """The rows of ids (doc_id and others) with the `most` smallest hashes of doc_id.
+
+    Hashes above about twice the share that is wanted are left out before the limited sort, so that its tasks hand on few
+    rows each, however many tasks a large table has."""
+    spread = F.xxhash64("doc_id", F.lit(SEED))
+    n = ids.count()
+    share = 1.0 if n <= 4 * most else (2 * most + 100) / n
+    bound = min(2**63 - 1, int(-(2**63) + share * 2**64))
+    return ids.where(spread <= F.lit(bound)).orderBy(spread, "doc_id").limit(most)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, most_labelled: int, pool_rows: int) -> pd.DataFrame:
     """quality (null in the pool), content and meta features of at most most_labelled + pool_rows documents."""
-    spread = F.xxhash64("doc_id", F.lit(SEED))
-    # An id's label is its lowest, over all labels; a limited sort keeps the first ids by hash in each task.
+    # An id's label is its lowest, over all labels.
     labelled = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    labelled = labelled.orderBy(spread, "doc_id").limit(most_labelled)
+    labelled = first_by_hash(labelled, most_labelled)
     known = labels.select(F.col("doc_id").alias("known")).where("known IS NOT NULL").distinct()
     ids = docs.select("doc_id").where("doc_id IS NOT NULL")
-    pool = ids.join(known, ids["doc_id"] == known["known"], "left_anti").distinct().orderBy(spread, "doc_id").limit(pool_rows)
+    pool = first_by_hash(ids.join(known, ids["doc_id"] == known["known"], "left_anti").distinct(), pool_rows)
     picked = labelled.unionByName(pool.withColumn("quality", F.lit(None).cast("int")))
     rows = docs.select("doc_id", *_inputs(docs)).join(F.broadcast(picked), "doc_id")  # bounded by the two limits
 
