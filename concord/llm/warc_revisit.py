@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.session import shared_path
+from concord.session import cut_lineage, shared_path
 
 CRLF = "\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
@@ -51,7 +51,8 @@ def plan_records(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id"
     rows = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", base32_sha1(F.col("html"))).withColumn("n_bytes", F.octet_length("html").cast("long"))
     order = F.struct(F.col("id").isNotNull().alias("known"), F.col("id").alias("id"))
-    originals = rows.select("digest", order.alias("first")).groupBy("digest").agg(F.min("first").alias("first"))
+    # As a table of its own, the choice is joined by a plain sort-merge join, whose large partitions Spark can split.
+    originals = cut_lineage(rows.select("digest", order.alias("first")).groupBy("digest").agg(F.min("first").alias("first")))
     met = rows.join(originals, "digest")
     revisit = (F.col("n_bytes") >= least_bytes) & ~F.col("first.id").eqNullSafe(F.col("id"))
     text_id = lambda c: F.coalesce(c.cast("string"), F.lit(""))
@@ -80,7 +81,7 @@ def records(planned: DataFrame) -> DataFrame:
     return planned.select(F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF + CRLF), block).alias("value"))
 
 
-def write_archives(planned: DataFrame, path: str, records_per_file: int = 2000) -> None:
+def write_archives(planned: DataFrame, path: str, records_per_file: int = 500) -> None:
     """Archives in the folder `path`; records_per_file bounds an archive, which is read by one task."""
     records(planned).write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
@@ -123,9 +124,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def resolve_revisits(parsed: DataFrame) -> DataFrame:
     """page_id, payload size and digest (of the full payload), record_type and refers_to (a page id) of every record."""
-    originals = parsed.where("record_type = 'response'").groupBy(F.col("record_id").alias("found")).agg(
-        F.first("page_id").alias("original"), F.first("payload_bytes").alias("bytes"), F.first("payload_digest").alias("digest")
-    )
+    responses = parsed.where("record_type = 'response'").groupBy(F.col("record_id").alias("found"))
+    originals = cut_lineage(responses.agg(F.first("page_id").alias("original"), F.first("payload_bytes").alias("bytes"), F.first("payload_digest").alias("digest")))
     met = parsed.join(originals, parsed["refers_to"] == originals["found"], "left")
     digest = F.coalesce("payload_digest", "digest")
     checked = F.when(digest == F.col("stated_digest"), digest).otherwise(F.raise_error(F.concat(F.lit("payload digest differs: "), F.col("record_id"))))
@@ -137,7 +137,7 @@ def archive_and_resolve(pages: DataFrame, least_bytes: int = 0, id_col: str = "p
     path = shared_path(pages.sparkSession, "warc")
     write_archives(plan_records(pages, least_bytes, id_col, url_col, html_col), path)
     kind = pages.schema[id_col].dataType
-    found = resolve_revisits(read_archives(pages.sparkSession, path))
+    found = resolve_revisits(cut_lineage(read_archives(pages.sparkSession, path)))  # headers and digests only: archives are read once
     whole = lambda c: F.when(F.col(c) != "", F.col(c)).cast(kind).alias(c)
     return found.select(whole("page_id"), "payload_bytes", "payload_digest", "record_type", whole("refers_to"))
 
