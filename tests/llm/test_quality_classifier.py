@@ -42,6 +42,13 @@ def test_training_set_is_bounded(spark, documents, sf_dir):
     assert rows.equals(rows) and len(set(rows["doc_id"])) == 50
 
 
+@pytest.mark.parametrize("n", [0, 30, 150, 50_000])
+def test_first_by_hash(spark, n):
+    ids = spark.range(n).withColumnRenamed("id", "doc_id")
+    wanted = [r["doc_id"] for r in ids.orderBy(F.xxhash64("doc_id", F.lit(q.SEED)), "doc_id").limit(40).collect()]
+    assert [r["doc_id"] for r in q.first_by_hash(ids, 40).collect()] == wanted
+
+
 @pytest.fixture
 def labels(spark):
     return spark.createDataFrame([(1, 1, 0), (3, 0, 0), (None, 1, 0), (5, None, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")
