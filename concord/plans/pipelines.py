@@ -15,6 +15,7 @@ from concord.functions.names import number_range, strip_provider
 from concord.functions.times import is_expired
 from concord.functions.values import filled, or_else
 from concord.operators import apply, delta, groups, notices, overlay, report, resolve
+from concord.session import cut_lineage
 from concord.sources import schemas, snapshots
 
 
@@ -100,7 +101,7 @@ def receive_notices(raw: DataFrame, users: DataFrame, identities: DataFrame, con
     """Routed items and the status of each request. raw: request_id, endpoint, raw. users: as resolve.user_keys takes them."""
     spark: SparkSession = raw.sparkSession
     known_endpoint = raw.join(F.broadcast(notices.alias_table(spark, config)), "endpoint", "left")
-    items = notices.expand(known_endpoint).withColumn("item_id", F.monotonically_increasing_id())
+    items = cut_lineage(notices.expand(known_endpoint).withColumn("item_id", F.monotonically_increasing_id()))  # numbers that all that follows agrees on
     item = F.col("entity_type").isin("users", "associations")
     table = notices.allowed_table(spark, config)
     judged = items.join(F.broadcast(table.withColumn("allowed", F.lit(True))), ["entity_type", "event"], "left").withColumn("allowed", F.coalesce("allowed", F.lit(False)))
