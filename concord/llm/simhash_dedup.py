@@ -22,7 +22,7 @@ Filtering. To filter a corpus, texts whose sets of five-word shingles have a Jac
 fingerprints are up to 20 bits apart, and at that distance a trie does not prune: its work grows with the square of the
 corpus. So there the walk is blocked: each text names the first of its shingles in each of 12 random orders, and
 fingerprints are compared where they share such a shingle. Two texts of similarity J have no such shingle in common with probability
-(1 - J) ** 12, which is 4e-9 at 0.8. Links found so are candidates; each candidate group is then verified on the sets of shingles, exactly.
+(1 - J) ** 12, which is 4e-9 at 0.8. Candidates must also agree in 4 of the 12, which parts texts that only share a passage. Links found so are candidates; each candidate group is then verified on the sets of shingles, exactly.
 
 Components. Labels spread along the forest's edges with pointer jumping; each round ends in a
 checkpoint in the shared folder. Only joins and sums that Spark can split are used.
@@ -56,6 +56,8 @@ _LANES = sum((((np.arange(256, dtype=np.uint64) >> np.uint64(i)) & np.uint64(1))
 
 #: Block keys: so many orders of a text's shingles, each given by an odd factor and a number to flip bits with.
 BLOCK_KEYS = 12
+#: Texts of similarity 0.8 agree in fewer than 4 of 12 block keys with probability 6e-5.
+AGREE = 4
 _ORDERS = np.random.default_rng(SEED).integers(0, 1 << 63, size=(BLOCK_KEYS, 2), dtype=np.uint64) | np.array([0, 1], dtype=np.uint64)
 
 
@@ -97,22 +99,28 @@ def _block_keys(hashes: np.ndarray) -> list[int]:
     return (first ^ (np.arange(BLOCK_KEYS, dtype=np.uint64) << np.uint64(60))).view(np.int64).tolist()
 
 
+def _sketch(keys: list[int]) -> bytes:
+    """16 bits of each block key: texts of similarity J agree in each with probability J."""
+    return np.resize(np.array(keys, dtype=np.int64), BLOCK_KEYS).astype("<u2").tobytes()
+
+
 def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text", block_keys: bool = False) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of each row, and where asked its block keys."""
+    """doc_id fp (the 64 bits as a signed long) of each row, and where asked its block keys and a sketch of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps, keys = [], []
+            fps, keys, sketches = [], [], []
             for t in b.column(1):
                 hashes = shingle_hashes(t.as_py(), words)
                 fps.append(_majority(hashes))
                 keys.append(_block_keys(hashes) if block_keys else None)
-            columns = [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(keys, type=pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "keys"])
+                sketches.append(_sketch(keys[-1]) if block_keys else None)
+            columns = [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(keys, type=pa.list_(pa.int64())), pa.array(sketches, type=pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "keys", "sketch"])
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"doc_id {kind}, fp long, keys array<long>")
+    return picked.mapInArrow(run, f"doc_id {kind}, fp long, keys array<long>, sketch binary")
 
 
 def _masks(bits: int, most: int) -> list[int]:
@@ -202,6 +210,13 @@ def _forest(parent: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tup
     return kept
 
 
+def _forest_of(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """The links that a spanning forest of them needs."""
+    nodes, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+    found = _forest(np.arange(len(nodes)), at[: len(left)], at[len(left) :])
+    return [(int(nodes[i]), int(nodes[j])) for i, j in found]
+
+
 def _turned(values: np.ndarray, turn: int) -> np.ndarray:
     v = values.view(np.uint64)
     return v if not turn else (v << np.uint64(HALF)) | (v >> np.uint64(HALF))
@@ -275,39 +290,50 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def blocked_self_join(marked: DataFrame, budget: int, small: int = 256, node_rows: int = 4096, group_rows: int = 8192) -> DataFrame:
-    """Edges (u, v) that connect the fingerprints within `budget` bits that share a block key.
+def blocked_self_join(texts: DataFrame, budget: int, agree: int = AGREE, small: int = 256, node_rows: int = 4096, group_rows: int = 8192) -> DataFrame:
+    """Edges (u, v) that connect the texts (name, fp, keys, sketch) that share a block key, have fingerprints within `budget` bits and
+    agree in at least `agree` places of their sketches.
 
-    Keys of up to `small` fingerprints are compared many to a group, in numpy; a larger one is dealt into blocks whose pairs
+    Keys of up to `small` texts are compared many to a group, in numpy; a larger one is dealt into blocks whose pairs
     walk their tries together."""
-    rows = cut_lineage(marked.select("fp", F.explode("keys").alias("key")).distinct())
+    rows = cut_lineage(texts.select("name", "fp", "sketch", F.explode("keys").alias("key")))
     shared = cut_lineage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     met = cut_lineage(rows.join(shared, "key"))
     groups = max(1, math.ceil(met.where(F.col("n") <= small).count() / group_rows))
 
+    def links(rows: pd.DataFrame, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        names, at = np.unique(rows["name"].to_numpy(np.int64), return_inverse=True)
+        fps = rows["fp"].to_numpy(np.int64).view(np.uint64)
+        sketch = np.frombuffer(b"".join(rows["sketch"]), dtype="<u2").reshape(-1, BLOCK_KEYS)
+        parent = np.arange(len(names))
+        kept: list[tuple[int, int]] = []
+        for i, j in pairs:
+            near = _popcount(fps[i] ^ fps[j]) <= budget
+            i, j = i[near], j[near]
+            near = (sketch[i] == sketch[j]).sum(axis=1) >= agree
+            kept += _forest(parent, at[i[near]], at[j[near]])
+        return pd.DataFrame([(int(names[i]), int(names[j])) for i, j in kept], columns=["u", "v"], dtype="int64")
+
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("key", ignore_index=True)
-        fps, (_, first, size) = rows["fp"].to_numpy(np.int64), np.unique(rows["key"].to_numpy(), return_index=True, return_counts=True)
-        every, at = np.unique(fps, return_inverse=True)
-        parent = np.arange(len(every))
-        kept: list[tuple[int, int]] = []
-        ends = np.repeat(first + size, size)
-        left, right = _expand(np.arange(len(fps)) + 1, ends - np.arange(len(fps)) - 1)  # each row with those after it in its key
-        for cut in range(0, len(left), 1 << 21):
-            i, j = at[left[cut : cut + (1 << 21)]], at[right[cut : cut + (1 << 21)]]
-            near = _popcount((every[i] ^ every[j]).view(np.uint64)) <= budget
-            kept += _forest(parent, i[near], j[near])
-        return pd.DataFrame([(int(every[i]), int(every[j])) for i, j in kept], columns=["u", "v"], dtype="int64")
+        _, first, size = np.unique(rows["key"].to_numpy(), return_index=True, return_counts=True)
+        here = np.arange(len(rows))
+        left, right = _expand(here + 1, np.repeat(first + size, size) - here - 1)  # each row with those after it in its key
+        slab = 1 << 21
+        return links(rows, ((left[k : k + slab], right[k : k + slab]) for k in range(0, len(left), slab)))
 
     def join_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        found = links_of_group(rows["fp"].to_numpy(np.int64), rows["side"].to_numpy(bool), key[1] == key[2], 0, 0, budget, budget)
-        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+        rows = rows.assign(order=rows["fp"].to_numpy(np.int64).view(np.uint64)).sort_values(["side", "order"], ignore_index=True)
+        fps, n = rows["order"].to_numpy(), int((~rows["side"].to_numpy(bool)).sum())
+        if key[1] == key[2]:
+            return links(rows, trie_pairs(fps, fps, 0, budget, budget, True))
+        return links(rows, ((i, j + n) for i, j in trie_pairs(fps[:n], fps[n:], 0, budget, budget)))
 
-    few = met.where(F.col("n") <= small).select("fp", "key", F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group"))
+    few = met.where(F.col("n") <= small).select("name", "fp", "sketch", "key", F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group"))
     blocks = F.ceil(F.col("n") / node_rows).cast("int")
-    dealt = met.where(F.col("n") > small).select("fp", "key", blocks.alias("blocks"), F.pmod(F.hash("fp", F.lit(7)), blocks).alias("mine"))
-    many = dealt.select("fp", "key", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("theirs")).select(
-        "fp", "key", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side")
+    dealt = met.where(F.col("n") > small).select("name", "fp", "sketch", "key", blocks.alias("blocks"), F.pmod(F.hash("name", F.lit(7)), blocks).alias("mine"))
+    many = dealt.select("name", "fp", "sketch", "key", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("theirs")).select(
+        "name", "fp", "sketch", "key", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side")
     )
     schema = "u long, v long"
     return few.groupBy("group").applyInPandas(compare, schema).unionByName(many.groupBy("key", "low", "high").applyInPandas(join_group, schema))
@@ -319,7 +345,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, budget: int = 4, id_col: st
     least = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     labels = components(trie_self_join(least.select("fp"), budget, least.count()))
     grouped = least.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    smallest = grouped.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    smallest = cut_lineage(grouped.groupBy("label").agg(F.min("first_id").alias("component_id")))
     of_fp = cut_lineage(grouped.join(smallest, "label").select("fp", "component_id"))
     return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
@@ -347,53 +373,44 @@ def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, c
 def similar_links(names: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> list[tuple[int, int]]:
     """A spanning forest, by name, of the pairs of a left and a right row whose sets have a Jaccard similarity of `similarity` or more."""
     shared = shared_counts(sets, left, right)
-    sizes = np.array([len(s) for s in sets])
-    either = sizes[left][:, None] + sizes[right][None, :] - shared
+    size = lambda rows: np.array([len(sets[r]) for r in rows])
+    either = size(left)[:, None] + size(right)[None, :] - shared
     # Texts without words have empty sets; they are equal to each other.
     i, j = np.nonzero(np.where(either == 0, True, shared >= similarity * either - 1e-4))
-    parent = np.arange(len(sets))
-    return [(int(names[x]), int(names[y])) for x, y in _forest(parent, left[i], right[j])]
+    return [(int(names[x]), int(names[y])) for x, y in _forest_of(left[i], right[j])]
 
 
-def verified_links(members: DataFrame, words: int, similarity: float, small: int = 64, block_rows: int = 512, group_rows: int = 512) -> DataFrame:
-    """Edges (u, v) between the texts of one label that are similar. members: name, label, text; names are distinct.
+def verified_links(members: DataFrame, groups: int, words: int, similarity: float, small: int = 64, block_rows: int = 512) -> DataFrame:
+    """Edges (u, v) between the texts of one label that are similar. members: name, label, n (the label's texts), text; names are distinct.
 
-    Labels of few texts are verified many to a group; a larger one is dealt into blocks, and each pair of blocks is a group."""
+    Labels of few texts are verified many to a group, in `groups` groups; a larger one is dealt into blocks, and each pair of blocks is
+    a group. Either way a group is bounded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), words)).view(np.int64) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, type=pa.list_(pa.int64()))], names=["name", "label", "shingles"])
-
-    sizes = cut_lineage(members.groupBy("label").agg(F.count("*").alias("n")))
-    held = members.select("name", "label", "text").mapInArrow(run, "name long, label long, shingles array<long>").join(sizes, "label")
-    groups = max(1, math.ceil((sizes.where(F.col("n") <= small).agg(F.sum("n")).first()[0] or 0) / group_rows))
+            sets = [np.unique(shingle_hashes(t.as_py(), words)).view(np.int64) for t in b.column(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sets, type=pa.list_(pa.int64()))], names=["name", "label", "n", "shingles"])
+
+    held = members.select("name", "label", "n", "text").mapInArrow(run, "name long, label long, n long, shingles array<long>")
+    few = F.col("n") <= small
+    blocks = F.when(few, 1).otherwise(F.ceil(F.col("n") / block_rows)).cast("int")
+    dealt = held.withColumns({"blocks": blocks, "mine": F.pmod(F.hash("name", F.lit(7)), blocks), "unit": F.when(few, F.pmod(F.xxhash64("label"), F.lit(groups))).otherwise(F.col("label"))})
+    met = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("theirs")).select(
+        "name", "label", "shingles", few.alias("few"), "unit", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side")
+    )
 
-    def verify_few(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def verify(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["label", "name"], ignore_index=True)
-        names, sets = rows["name"].to_numpy(np.int64), list(rows["shingles"])
-        starts = np.flatnonzero(np.concatenate([[True], rows["label"].to_numpy()[1:] != rows["label"].to_numpy()[:-1]]))
-        found = []
-        for a, b in itertools.pairwise([*starts.tolist(), len(rows)]):
-            every = np.arange(b - a)
-            found += similar_links(names[a:b], sets[a:b], every, every, similarity)
+        names, labels, sets = rows["name"].to_numpy(np.int64), rows["label"].to_numpy(np.int64), list(rows["shingles"])
+        if key[0] or key[2] == key[3]:
+            parts = [(k, k) for k in np.split(np.arange(len(rows)), np.flatnonzero(labels[1:] != labels[:-1]) + 1)]
+        else:
+            side = rows["side"].to_numpy(bool)
+            parts = [(np.flatnonzero(~side), np.flatnonzero(side))]
+        found = [link for left, right in parts for link in similar_links(names, sets, left, right, similarity)]
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
-    def verify_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        side = rows["side"].to_numpy(bool)
-        left = np.flatnonzero(~side)
-        right = left if key[1] == key[2] else np.flatnonzero(side)
-        found = similar_links(rows["name"].to_numpy(np.int64), list(rows["shingles"]), left, right, similarity)
-        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
-
-    few = held.where(F.col("n") <= small).withColumn("group", F.pmod(F.xxhash64("label"), F.lit(groups)))
-    blocks = F.ceil(F.col("n") / block_rows).cast("int")
-    dealt = held.where(F.col("n") > small).withColumns({"blocks": blocks, "mine": F.pmod(F.hash("name", F.lit(7)), blocks)})
-    many = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("theirs")).select(
-        "name", "label", "shingles", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side")
-    )
-    schema = "u long, v long"
-    return few.select("name", "label", "shingles", "group").groupBy("group").applyInPandas(verify_few, schema).unionByName(many.groupBy("label", "low", "high").applyInPandas(verify_blocks, schema))
+    return met.groupBy("few", "unit", "low", "high").applyInPandas(verify, "u long, v long")
 
 
 def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, budget: int = CANDIDATE_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -406,16 +423,17 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, b
     keyed = docs.select(key.alias("row"), F.col(text_col).alias("text"))
     marked = cut_lineage(fingerprints(keyed, words, "row", "text", block_keys=True).withColumnRenamed("doc_id", "row"))
     # One row stands for each distinct text, so copies are not compared.
-    texts = cut_lineage(marked.groupBy(F.col("row.text").alias("name")).agg(F.min("row").alias("row"), F.min("fp").alias("fp")))
-    near = components(blocked_self_join(marked, budget)).withColumnRenamed("node", "fp")
-    labelled = cut_lineage(texts.join(near, "fp", "left").select("name", "row", F.coalesce("label", "fp").alias("label")))
-    crowded = cut_lineage(labelled.groupBy("label").agg(F.count("*").alias("n")).where("n > 1").select("label"))
-    asked = labelled.join(crowded, "label").select("row.no_id", F.col("row.name").alias("id_text"), "name", "label")
+    texts = cut_lineage(marked.groupBy(F.col("row.text").alias("name")).agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("fp", "keys", "sketch")]))
+    near = components(blocked_self_join(texts, budget)).withColumnRenamed("node", "name")
+    labelled = cut_lineage(texts.select("name", "row").join(near, "name"))
+    crowded = cut_lineage(labelled.groupBy("label").agg(F.count("*").alias("n")).where("n > 1"))
+    asked = labelled.join(crowded, "label").select("row.no_id", F.col("row.name").alias("id_text"), "name", "label", "n")
     where = ["no_id", "id_text", "name"]
     found = docs.select(no_id.alias("no_id"), name.alias("id_text"), text.alias("name"), F.col(text_col).alias("text")).join(asked, where)
-    members = cut_lineage(found.select("name", "label", "text").dropDuplicates(["name"]))
-    same = components(verified_links(members, words, similarity)).withColumnRenamed("node", "name").withColumnRenamed("label", "component")
-    kept = texts.join(same, "name", "left").groupBy(F.coalesce("component", "name")).agg(F.min("row").alias("row")).select("row.no_id", F.col("row.name").alias("id_text"), F.col("row.text").alias("name"))
+    members = found.dropDuplicates(where)  # a row that is repeated counts once; its copies are together already
+    groups = max(1, (crowded.agg(F.sum("n")).first()[0] or 0) // 512)
+    same = components(verified_links(members, groups, words, similarity)).withColumnRenamed("node", "name").withColumnRenamed("label", "component")
+    kept = texts.select("name", "row").join(same, "name", "left").groupBy(F.coalesce("component", "name")).agg(F.min("row").alias("row")).select("row.no_id", F.col("row.name").alias("id_text"), F.col("row.text").alias("name"))
     # The row goes along as one struct, so that no column of docs can clash with these.
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), no_id.alias("no_id"), name.alias("id_text"), text.alias("name")).join(kept, where, "left_semi")
     first = F.row_number().over(Window.partitionBy(*where).orderBy(F.col(f"row.`{text_col}`")))

@@ -114,7 +114,7 @@ def jaccard_groups(texts, words, similarity):
         label = new
 
 
-@pytest.mark.parametrize("sizes", [{}, {"small": 3, "block_rows": 2, "group_rows": 5}])
+@pytest.mark.parametrize("sizes", [{}, {"small": 3, "block_rows": 2}])
 def test_filter_keeps_one_of_similar_texts(spark, sizes, monkeypatch):
     """Families of edited copies, of similarity above and below 0.8, and texts that only share a passage of 60 words."""
     rng = random.Random(4)
@@ -126,7 +126,7 @@ def test_filter_keeps_one_of_similar_texts(spark, sizes, monkeypatch):
         rows += [(100 * k + c, edited(original, 1 + (c * k) % 9, rng)) for c in range(1, 2 + k % 7)]
     if sizes:
         join, verify = s.blocked_self_join, s.verified_links
-        monkeypatch.setattr(s, "blocked_self_join", lambda marked, budget: join(marked, budget, small=5, node_rows=7, group_rows=50))
+        monkeypatch.setattr(s, "blocked_self_join", lambda texts, budget: join(texts, budget, small=5, node_rows=7, group_rows=50))
         monkeypatch.setattr(s, "verified_links", lambda *a: verify(*a, **sizes))
     kept = {r["doc_id"] for r in s.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     label = jaccard_groups([t for _, t in rows], 5, 0.8)
@@ -134,6 +134,13 @@ def test_filter_keeps_one_of_similar_texts(spark, sizes, monkeypatch):
     assert 24 < len(kept) < len(rows)
 
 
+def test_forest_connects_what_links_connect():
+    left, right = np.array([7, 9, 7, 3, 5]), np.array([9, 7, 3, 9, 5])
+    found = s._forest_of(left, right)
+    assert len(found) == 2 and {x for link in found for x in link} == {3, 7, 9}
+    assert s._forest_of(left[:0], right[:0]) == []
+
+
 def test_filter_on_documents(documents):
     rows = sorted((r["doc_id"], r["text"]) for r in documents.collect())
     label = jaccard_groups([t for _, t in rows], 5, 0.8)
