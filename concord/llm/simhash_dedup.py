@@ -19,10 +19,12 @@ Within a group numpy walks both subtries level by level; the group hands on a sp
 its links, never all pairs, so the rows it makes are fewer than the rows it reads.
 
 Filtering. To filter a corpus, texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more count as copies. Their
-fingerprints are up to 20 bits apart, and at that distance a trie does not prune: its work grows with the square of the
-corpus. So there the walk is blocked: each text names the first of its shingles in each of 12 random orders, and
-fingerprints are compared where they share such a shingle. Two texts of similarity J have no such shingle in common with probability
-(1 - J) ** 12, which is 4e-9 at 0.8. Candidates must also agree in 4 of the 12, which parts texts that only share a passage. Links found so are candidates; each candidate group is then verified on the sets of shingles, exactly.
+fingerprints may be any number of bits apart, as those count repeated shingles, so the filter does not use them. Each text names the
+first of its shingles in each of 12 random orders, and texts are compared where they share such a shingle. Two texts of similarity J
+have no such shingle in common with probability (1 - J) ** 12, which is 4e-9 at 0.8. Candidates must also agree in 4 of the 12, which
+parts texts that only share a passage. Besides, a pair is left out only when it can't be similar: the sizes of the sets are too far
+apart, or the numbers of shingles by the last bits of their hashes differ by more in all than the sets may. Such numbers never differ by
+more than the sets do, so no similar pair is lost. Links found so are candidates; each candidate group is then verified on the sets of shingles, exactly.
 
 Components. Labels spread along the forest's edges with pointer jumping; each round ends in a
 checkpoint in the shared folder. Only joins and sums that Spark can split are used.
@@ -49,8 +51,8 @@ from concord.session import cut_lineage
 
 SEED = 42
 HALF = 32
-#: Texts of similarity 0.8 are 9.7 bits apart on average, with a deviation of 2.9.
-CANDIDATE_BITS = 20
+#: A profile counts a text's distinct shingles in 2 ** level buckets: a bucket for 8 shingles at most, and so many levels at least.
+LEAST_LEVEL = 6
 #: _LANES[b] has bit i of the byte b in its byte i, so that adding rows counts eight bits at once.
 _LANES = sum((((np.arange(256, dtype=np.uint64) >> np.uint64(i)) & np.uint64(1)) << np.uint64(8 * i)) for i in range(8)).astype(np.uint64)
 
@@ -104,23 +106,64 @@ def _sketch(keys: list[int]) -> bytes:
     return np.resize(np.array(keys, dtype=np.int64), BLOCK_KEYS).astype("<u2").tobytes()
 
 
-def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text", block_keys: bool = False) -> DataFrame:
-    """doc_id fp (the 64 bits as a signed long) of each row, and where asked its block keys and a sketch of them."""
+def profile(distinct: np.ndarray) -> np.ndarray:
+    """How many of the distinct hashes have each ending, 255 at most: a byte for each of 2 ** level endings."""
+    level = max(LEAST_LEVEL, math.ceil(math.log2(max(len(distinct), 1) / 8)))
+    return np.minimum(np.bincount((distinct & np.uint64((1 << level) - 1)).astype(np.int64), minlength=1 << level), 255).astype(np.uint8)
+
+
+def _folded(found: np.ndarray, width: int) -> np.ndarray:
+    """The profile by fewer bits: the same as if it had been counted so."""
+    return np.minimum(found.reshape(-1, width).sum(axis=0, dtype=np.int64), 255).astype(np.uint8)
+
+
+def may_be_similar(profiles: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float, slab: int = 1 << 22) -> np.ndarray:
+    """False only for pairs of rows whose sets can't have a Jaccard similarity of `similarity`.
+
+    Sets of n members together and similarity J differ in n * (1 - J) / (1 + J) members, and their profiles in no more than these."""
+    most = (sizes[left] + sizes[right]) * (1 - similarity) / (1 + similarity) + 1e-4
+    width = np.array([len(p) for p in profiles], dtype=np.int64)
+    narrow = np.minimum(width[left], width[right])
+    hit = np.zeros(len(left), dtype=bool)
+    for w in np.unique(narrow).tolist():
+        here = np.flatnonzero(narrow == w)
+        rows = np.unique(np.concatenate([left[here], right[here]]))
+        counts = np.stack([_folded(profiles[r], w) if width[r] > w else profiles[r] for r in rows])
+        a, b = np.searchsorted(rows, left[here]), np.searchsorted(rows, right[here])
+        step = max(1, slab // w)
+        for k in range(0, len(here), step):
+            x, y = counts[a[k : k + step]], counts[b[k : k + step]]
+            hit[here[k : k + step]] = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype=np.int64) <= most[here[k : k + step]]
+    return hit
+
+
+def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id fp (the 64 bits as a signed long) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps, keys, sketches = [], [], []
-            for t in b.column(1):
-                hashes = shingle_hashes(t.as_py(), words)
-                fps.append(_majority(hashes))
-                keys.append(_block_keys(hashes) if block_keys else None)
-                sketches.append(_sketch(keys[-1]) if block_keys else None)
-            columns = [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(keys, type=pa.list_(pa.int64())), pa.array(sketches, type=pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "keys", "sketch"])
+            fps = [_majority(shingle_hashes(t.as_py(), words)) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], names=["doc_id", "fp"])
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"doc_id {kind}, fp long, keys array<long>, sketch binary")
+    return picked.mapInArrow(run, f"doc_id {kind}, fp long")
+
+
+def blocking(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, block keys, a sketch of them, and the size and the profile of the set of shingles of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), words)) for t in b.column(1)]
+            keys = [_block_keys(x) for x in sets]
+            columns = [b.column(0), pa.array(keys, type=pa.list_(pa.int64())), pa.array([_sketch(k) for k in keys], type=pa.binary())]
+            columns += [pa.array([len(x) for x in sets], type=pa.int64()), pa.array([profile(x).tobytes() for x in sets], type=pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "keys", "sketch", "size", "profile"])
+
+    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    kind = picked.schema["doc_id"].dataType.simpleString()
+    return picked.mapInArrow(run, f"doc_id {kind}, keys array<long>, sketch binary, size long, profile binary")
 
 
 def _masks(bits: int, most: int) -> list[int]:
@@ -290,50 +333,71 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def blocked_self_join(texts: DataFrame, budget: int, agree: int = AGREE, small: int = 256, node_rows: int = 4096, group_rows: int = 8192) -> DataFrame:
-    """Edges (u, v) that connect the texts (name, fp, keys, sketch) that share a block key, have fingerprints within `budget` bits and
-    agree in at least `agree` places of their sketches.
+def _slabs(left: np.ndarray, first: np.ndarray, end: np.ndarray, slab: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of each row of left with those from its first to before its end, about `slab` pairs at a time."""
+    counts = np.maximum(end - first, 0)
+    upto = np.cumsum(counts)
+    at = 0
+    while at < len(left):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + slab, side="right")))
+        owner, other = _expand(first[at:to], counts[at:to])
+        yield left[at:to][owner], other
+        at = to
+
+
+def blocked_self_join(texts: DataFrame, similarity: float, agree: int = AGREE, small: int = 256, node_rows: int = 4096, group_rows: int = 8192) -> DataFrame:
+    """Edges (u, v) that connect the texts (name, keys, sketch, size, profile) that share a block key, agree in at least `agree` places of
+    their sketches and may be similar by their sizes and profiles.
 
-    Keys of up to `small` texts are compared many to a group, in numpy; a larger one is dealt into blocks whose pairs
-    walk their tries together."""
-    rows = cut_lineage(texts.select("name", "fp", "sketch", F.explode("keys").alias("key")))
+    Keys of up to `small` texts are compared many to a group; a larger one is dealt into blocks, and each pair of blocks is a group."""
+    rows = cut_lineage(texts.select("name", F.explode("keys").alias("key")))
     shared = cut_lineage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     met = cut_lineage(rows.join(shared, "key"))
     groups = max(1, math.ceil(met.where(F.col("n") <= small).count() / group_rows))
+    held = ["name", "sketch", "size", "profile"]
 
     def links(rows: pd.DataFrame, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
         names, at = np.unique(rows["name"].to_numpy(np.int64), return_inverse=True)
-        fps = rows["fp"].to_numpy(np.int64).view(np.uint64)
         sketch = np.frombuffer(b"".join(rows["sketch"]), dtype="<u2").reshape(-1, BLOCK_KEYS)
+        profiles, sizes = [np.frombuffer(p, dtype=np.uint8) for p in rows["profile"]], rows["size"].to_numpy(np.int64)
         parent = np.arange(len(names))
         kept: list[tuple[int, int]] = []
         for i, j in pairs:
-            near = _popcount(fps[i] ^ fps[j]) <= budget
-            i, j = i[near], j[near]
+            open_ = parent[at[i]] != parent[at[j]]  # texts that are together already need no link
+            i, j = i[open_], j[open_]
             near = (sketch[i] == sketch[j]).sum(axis=1) >= agree
+            i, j = i[near], j[near]
+            near = may_be_similar(profiles, sizes, i, j, similarity)
             kept += _forest(parent, at[i[near]], at[j[near]])
         return pd.DataFrame([(int(names[i]), int(names[j])) for i, j in kept], columns=["u", "v"], dtype="int64")
 
+    def bounds(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The least and the greatest size of a set that may be similar to one of each size."""
+        return np.ceil(sizes * similarity - 1e-4).astype(np.int64), np.floor(sizes / similarity + 1e-4).astype(np.int64)
+
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("key", ignore_index=True)
-        _, first, size = np.unique(rows["key"].to_numpy(), return_index=True, return_counts=True)
+        rows = rows.sort_values(["key", "size"], ignore_index=True)
+        sizes, (_, kind) = rows["size"].to_numpy(np.int64), np.unique(rows["key"].to_numpy(), return_inverse=True)
         here = np.arange(len(rows))
-        left, right = _expand(here + 1, np.repeat(first + size, size) - here - 1)  # each row with those after it in its key
-        slab = 1 << 21
-        return links(rows, ((left[k : k + slab], right[k : k + slab]) for k in range(0, len(left), slab)))
+        order = (kind << 40) + sizes
+        # Each row with those after it in its key, as far as sizes go.
+        return links(rows, _slabs(here, here + 1, np.searchsorted(order, (kind << 40) + bounds(sizes)[1], side="right"), 1 << 16))
 
     def join_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.assign(order=rows["fp"].to_numpy(np.int64).view(np.uint64)).sort_values(["side", "order"], ignore_index=True)
-        fps, n = rows["order"].to_numpy(), int((~rows["side"].to_numpy(bool)).sum())
+        rows = rows.sort_values(["side", "size"], ignore_index=True)
+        sizes, n = rows["size"].to_numpy(np.int64), int((~rows["side"].to_numpy(bool)).sum())
+        least, most = bounds(sizes[:n])
+        here = np.arange(n)
         if key[1] == key[2]:
-            return links(rows, trie_pairs(fps, fps, 0, budget, budget, True))
-        return links(rows, ((i, j + n) for i, j in trie_pairs(fps[:n], fps[n:], 0, budget, budget)))
+            return links(rows, _slabs(here, here + 1, np.searchsorted(sizes, most, side="right"), 1 << 16))
+        return links(rows, _slabs(here, n + np.searchsorted(sizes[n:], least), n + np.searchsorted(sizes[n:], most, side="right"), 1 << 16))
 
-    few = met.where(F.col("n") <= small).select("name", "fp", "sketch", "key", F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group"))
+    few = met.where(F.col("n") <= small).select("name", "key", F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group"))
+    few = few.join(texts.select(*held), "name")
     blocks = F.ceil(F.col("n") / node_rows).cast("int")
-    dealt = met.where(F.col("n") > small).select("name", "fp", "sketch", "key", blocks.alias("blocks"), F.pmod(F.hash("name", F.lit(7)), blocks).alias("mine"))
-    many = dealt.select("name", "fp", "sketch", "key", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("theirs")).select(
-        "name", "fp", "sketch", "key", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side")
+    dealt = met.where(F.col("n") > small).select("name", "key", blocks.alias("blocks"), F.pmod(F.hash("name", F.lit(7)), blocks).alias("mine")).join(texts.select(*held), "name")
+    many = dealt.select(*held, "key", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("theirs")).select(
+        *held, "key", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side")
     )
     schema = "u long, v long"
     return few.groupBy("group").applyInPandas(compare, schema).unionByName(many.groupBy("key", "low", "high").applyInPandas(join_group, schema))
@@ -413,18 +477,18 @@ def verified_links(members: DataFrame, groups: int, words: int, similarity: floa
     return met.groupBy("few", "unit", "low", "high").applyInPandas(verify, "u long, v long")
 
 
-def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, budget: int = CANDIDATE_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of docs for each group of similar texts: that of the smallest id (null ids last), then of the smallest text hash.
 
     Texts are similar whose sets of shingles have a Jaccard similarity of `similarity` or more; groups are their connected components.
-    Candidates come from the blocked join of fingerprints, and each link is then verified on the sets themselves."""
+    Candidates come from the join by block keys, and each link is then verified on the sets themselves."""
     no_id, name, text = F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(F.coalesce(text_col, F.lit("")))
     key = F.struct(no_id.alias("no_id"), F.col(id_col).alias("id"), name.alias("name"), text.alias("text"))
     keyed = docs.select(key.alias("row"), F.col(text_col).alias("text"))
-    marked = cut_lineage(fingerprints(keyed, words, "row", "text", block_keys=True).withColumnRenamed("doc_id", "row"))
+    marked = cut_lineage(blocking(keyed, words, "row", "text").withColumnRenamed("doc_id", "row"))
     # One row stands for each distinct text, so copies are not compared.
-    texts = cut_lineage(marked.groupBy(F.col("row.text").alias("name")).agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("fp", "keys", "sketch")]))
-    near = components(blocked_self_join(texts, budget)).withColumnRenamed("node", "name")
+    texts = cut_lineage(marked.groupBy(F.col("row.text").alias("name")).agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("keys", "sketch", "size", "profile")]))
+    near = components(blocked_self_join(texts, similarity)).withColumnRenamed("node", "name")
     labelled = cut_lineage(texts.select("name", "row").join(near, "name"))
     crowded = cut_lineage(labelled.groupBy("label").agg(F.count("*").alias("n")).where("n > 1"))
     asked = labelled.join(crowded, "label").select("row.no_id", F.col("row.name").alias("id_text"), "name", "label", "n")

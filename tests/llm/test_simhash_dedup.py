@@ -147,6 +147,32 @@ def test_filter_on_documents(documents):
     assert {r["doc_id"] for r in s.keep_one_of_each(documents).collect()} == {rows[k][0] for k in set(label.tolist())}
 
 
+def test_filter_finds_copies_with_a_repeated_phrase(spark):
+    """A phrase repeated in one copy shifts the fingerprint, which counts repeats, but hardly the set of shingles."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    rows = []
+    for k, (n, phrase, times) in enumerate([(2000, 10, 45), (1000, 10, 20), (1000, 1, 200)] * 4):
+        text = " ".join(word() for _ in range(n))
+        rows += [(2 * k, text), (2 * k + 1, text + " " + " ".join([" ".join(word() for _ in range(phrase))] * times))]
+    assert (jaccard_groups([t for _, t in rows], 5, 0.8) == np.repeat(np.arange(0, 24, 2), 2)).all()
+    assert max((s.fingerprint(a, 5) ^ s.fingerprint(b, 5)).bit_count() for (_, a), (_, b) in zip(rows[::2], rows[1::2], strict=True)) > 20
+    assert {r["doc_id"] for r in s.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == set(range(0, 24, 2))
+
+
+def test_profiles_leave_out_no_similar_pair():
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 63, 6000, dtype=np.uint64)
+    sets = [np.unique(base[a:b]) for a in (0, 5, 40, 300, 900) for b in (a + 7, a + 60, 500, 620, 4000, 5000, 6000) if b > a]
+    sets += [np.full(1, 7, dtype=np.uint64), np.empty(0, dtype=np.uint64), np.arange(300, dtype=np.uint64) << np.uint64(20), np.arange(290, dtype=np.uint64) << np.uint64(20)]
+    left, right = np.triu_indices(len(sets))
+    shared = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(left, right, strict=True)])
+    sizes = np.array([len(x) for x in sets])
+    similar = shared >= 0.8 * (sizes[left] + sizes[right] - shared)
+    hit = s.may_be_similar([s.profile(x) for x in sets], sizes, left, right, 0.8, slab=1000)
+    assert hit[similar].all() and 0 < similar.sum() and not hit.all()
+
+
 def test_shared_counts():
     rng = np.random.default_rng(6)
     sets = [np.unique(rng.integers(0, 40, rng.integers(0, 30))) for _ in range(12)]
