@@ -21,8 +21,8 @@ its links, never all pairs, so the rows it makes are fewer than the rows it read
 Filtering. To filter a corpus, texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more count as copies. Their
 fingerprints may be any number of bits apart, as those count repeated shingles, so the filter does not use them. Each text names the
 first of its shingles in each of 12 random orders, and texts are compared where they share such a shingle. Two texts of similarity J
-have no such shingle in common with probability (1 - J) ** 12, which is 4e-9 at 0.8. Candidates must also agree in 4 of the 12, which
-parts texts that only share a passage. Besides, a pair is left out only when it can't be similar: the sizes of the sets are too far
+have no such shingle in common with probability (1 - J) ** 12, which is 4e-9 at 0.8.
+Of the pairs that share one, a pair is left out only when it can't be similar: the sizes of the sets are too far
 apart, or the numbers of shingles by the last bits of their hashes differ by more in all than the sets may. Such numbers never differ by
 more than the sets do, so no similar pair is lost. Links found so are candidates; each candidate group is then verified on the sets of shingles, exactly.
 
@@ -58,8 +58,6 @@ _LANES = sum((((np.arange(256, dtype=np.uint64) >> np.uint64(i)) & np.uint64(1))
 
 #: Block keys: so many orders of a text's shingles, each given by an odd factor and a number to flip bits with.
 BLOCK_KEYS = 12
-#: Texts of similarity 0.8 agree in fewer than 4 of 12 block keys with probability 6e-5.
-AGREE = 4
 _ORDERS = np.random.default_rng(SEED).integers(0, 1 << 63, size=(BLOCK_KEYS, 2), dtype=np.uint64) | np.array([0, 1], dtype=np.uint64)
 
 
@@ -101,11 +99,6 @@ def _block_keys(hashes: np.ndarray) -> list[int]:
     return (first ^ (np.arange(BLOCK_KEYS, dtype=np.uint64) << np.uint64(60))).view(np.int64).tolist()
 
 
-def _sketch(keys: list[int]) -> bytes:
-    """16 bits of each block key: texts of similarity J agree in each with probability J."""
-    return np.resize(np.array(keys, dtype=np.int64), BLOCK_KEYS).astype("<u2").tobytes()
-
-
 def profile(distinct: np.ndarray) -> np.ndarray:
     """How many of the distinct hashes have each ending, 255 at most: a byte for each of 2 ** level endings."""
     level = max(LEAST_LEVEL, math.ceil(math.log2(max(len(distinct), 1) / 8)))
@@ -151,19 +144,19 @@ def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
 
 
 def blocking(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, block keys, a sketch of them, and the size and the profile of the set of shingles of each row."""
+    """doc_id, block keys, and the size and the profile of the set of shingles of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [np.unique(shingle_hashes(t.as_py(), words)) for t in b.column(1)]
             keys = [_block_keys(x) for x in sets]
-            columns = [b.column(0), pa.array(keys, type=pa.list_(pa.int64())), pa.array([_sketch(k) for k in keys], type=pa.binary())]
+            columns = [b.column(0), pa.array(keys, type=pa.list_(pa.int64()))]
             columns += [pa.array([len(x) for x in sets], type=pa.int64()), pa.array([profile(x).tobytes() for x in sets], type=pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "keys", "sketch", "size", "profile"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "keys", "size", "profile"])
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"doc_id {kind}, keys array<long>, sketch binary, size long, profile binary")
+    return picked.mapInArrow(run, f"doc_id {kind}, keys array<long>, size long, profile binary")
 
 
 def _masks(bits: int, most: int) -> list[int]:
@@ -345,28 +338,24 @@ def _slabs(left: np.ndarray, first: np.ndarray, end: np.ndarray, slab: int) -> I
         at = to
 
 
-def blocked_self_join(texts: DataFrame, similarity: float, agree: int = AGREE, small: int = 256, node_rows: int = 4096, group_rows: int = 8192) -> DataFrame:
-    """Edges (u, v) that connect the texts (name, keys, sketch, size, profile) that share a block key, agree in at least `agree` places of
-    their sketches and may be similar by their sizes and profiles.
+def blocked_self_join(texts: DataFrame, similarity: float, small: int = 256, node_rows: int = 4096, group_rows: int = 8192) -> DataFrame:
+    """Edges (u, v) that connect the texts (name, keys, size, profile) that share a block key and may be similar by their sizes and profiles.
 
     Keys of up to `small` texts are compared many to a group; a larger one is dealt into blocks, and each pair of blocks is a group."""
     rows = cut_lineage(texts.select("name", F.explode("keys").alias("key")))
     shared = cut_lineage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     met = cut_lineage(rows.join(shared, "key"))
     groups = max(1, math.ceil(met.where(F.col("n") <= small).count() / group_rows))
-    held = ["name", "sketch", "size", "profile"]
+    held = ["name", "size", "profile"]
 
     def links(rows: pd.DataFrame, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
         names, at = np.unique(rows["name"].to_numpy(np.int64), return_inverse=True)
-        sketch = np.frombuffer(b"".join(rows["sketch"]), dtype="<u2").reshape(-1, BLOCK_KEYS)
         profiles, sizes = [np.frombuffer(p, dtype=np.uint8) for p in rows["profile"]], rows["size"].to_numpy(np.int64)
         parent = np.arange(len(names))
         kept: list[tuple[int, int]] = []
         for i, j in pairs:
             open_ = parent[at[i]] != parent[at[j]]  # texts that are together already need no link
             i, j = i[open_], j[open_]
-            near = (sketch[i] == sketch[j]).sum(axis=1) >= agree
-            i, j = i[near], j[near]
             near = may_be_similar(profiles, sizes, i, j, similarity)
             kept += _forest(parent, at[i[near]], at[j[near]])
         return pd.DataFrame([(int(names[i]), int(names[j])) for i, j in kept], columns=["u", "v"], dtype="int64")
@@ -487,7 +476,7 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, i
     keyed = docs.select(key.alias("row"), F.col(text_col).alias("text"))
     marked = cut_lineage(blocking(keyed, words, "row", "text").withColumnRenamed("doc_id", "row"))
     # One row stands for each distinct text, so copies are not compared.
-    texts = cut_lineage(marked.groupBy(F.col("row.text").alias("name")).agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("keys", "sketch", "size", "profile")]))
+    texts = cut_lineage(marked.groupBy(F.col("row.text").alias("name")).agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("keys", "size", "profile")]))
     near = components(blocked_self_join(texts, similarity)).withColumnRenamed("node", "name")
     labelled = cut_lineage(texts.select("name", "row").join(near, "name"))
     crowded = cut_lineage(labelled.groupBy("label").agg(F.count("*").alias("n")).where("n > 1"))

@@ -160,6 +160,25 @@ def test_filter_finds_copies_with_a_repeated_phrase(spark):
     assert {r["doc_id"] for r in s.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == set(range(0, 24, 2))
 
 
+def test_similar_texts_that_share_few_block_keys_are_linked(spark):
+    """Copies of similarity over 0.9 whose edits hit all but two or so of the shingles that are first in an order."""
+    rng = random.Random(10)
+    rows = []
+    for k in range(6):
+        text = [f"w{rng.randrange(10**7)}" for _ in range(1000)]
+        hashes = s.shingle_hashes(" ".join(text), 5)
+        first = ((hashes[None, :] ^ s._ORDERS[:, :1]) * s._ORDERS[:, 1:]).argmin(axis=1)
+        copy = list(text)
+        for at in first[:10]:
+            copy[at + 2] = f"x{rng.randrange(10**7)}"
+        sets = [np.unique(s.shingle_hashes(" ".join(t), 5)) for t in (text, copy)]
+        assert len(np.intersect1d(*sets)) > 0.9 * len(np.union1d(*sets))
+        if 1 <= len(set(s._block_keys(sets[0])) & set(s._block_keys(sets[1]))) <= 3:
+            rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(copy))]
+    assert len(rows) >= 6
+    assert {r["doc_id"] for r in s.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {i for i, _ in rows if i % 2 == 0}
+
+
 def test_profiles_leave_out_no_similar_pair():
     rng = np.random.default_rng(9)
     base = rng.integers(0, 1 << 63, 6000, dtype=np.uint64)
