@@ -91,6 +91,81 @@ def identity_cascade_logout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.resolve_identity(probes, resolve.user_keys(users, identities), PROVIDER, "all")
 
 
+# The inputs above have keys modulo fixed numbers, which several users share at any size but the smallest. Below, keys follow the whole
+# c_custkey, a tenth of the users share one of each kind, and all levels occur at every size.
+LEVELS_PROVIDER = "Orders"
+
+
+def cascade_levels_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Customers as users, of whom every twentieth has the key of another (in turn for each kind of key), suppliers and every fourth
+    customer as linked identities, and one probe for each event that asks for its user's keys."""
+    c = F.col("c_custkey")
+    text = lambda prefix, n: F.concat(F.lit(prefix), n.cast("string"))
+    key = lambda prefix, r: text(prefix, F.when(c % 20 == 10 + r, c - 10).otherwise(c))
+    prefix = F.when(c % 3 == 0, "orders-").when(c % 3 == 1, "Orders-").otherwise("")
+    users = table(spark, sf_dir, "customer").select(
+        c.alias("user_id"),
+        F.concat(prefix, text("name", c)).alias("username"),
+        key("mail", 0).alias("email"),
+        F.to_json(F.struct(key("orcid", 1).alias("identifier_orcid"), key("member", 2).alias("identifier_kc_username"))).alias("user_profile"),
+    )
+    suppliers = table(spark, sf_dir, "supplier").select(F.lit("supplier").alias("method"), F.col("s_suppkey").cast("string").alias("id"), F.col("s_suppkey").alias("user_id"))
+    legacy = table(spark, sf_dir, "customer").where(c % 4 == 3).select(F.lit(LEVELS_PROVIDER).alias("method"), text("name", c).alias("id"), c.alias("user_id"))
+    e, u = F.col("event_id"), F.col("user_id")
+    probes = table(spark, sf_dir, "events").select(
+        e.alias("probe_id"),
+        F.when(e % 2 == 0, "supplier").alias("external_method"),
+        F.when(e % 8 == 0, u.cast("string")).otherwise(text("x", u)).alias("external_id"),
+        F.when(e % 8 == 1, text("orcid", u)).alias("orcid"),
+        F.when((e % 8).isin(2, 3), text("member", u)).when((e % 8).isin(4, 5, 6), text("name", u)).when(e % 8 == 7, text("none", u)).alias("member_name"),
+        F.when(e % 4 != 2, text("mail", u)).otherwise("").alias("email"),
+    )
+    return users, suppliers.unionByName(legacy), probes
+
+
+CASCADE_LEVELS_SQL = """
+WITH users AS (
+  SELECT c_custkey AS user_id, CASE c_custkey % 3 WHEN 0 THEN 'orders-' WHEN 1 THEN 'Orders-' ELSE '' END || 'name' || c_custkey AS username,
+    'mail' || CASE WHEN c_custkey % 20 = 10 THEN c_custkey - 10 ELSE c_custkey END AS email, 'orcid' || CASE WHEN c_custkey % 20 = 11 THEN c_custkey - 10 ELSE c_custkey END AS orcid,
+    'member' || CASE WHEN c_custkey % 20 = 12 THEN c_custkey - 10 ELSE c_custkey END AS member FROM customer
+), probes AS (
+  SELECT event_id AS probe_id, CASE WHEN event_id % 2 = 0 THEN 'supplier' END AS method, CASE WHEN event_id % 8 = 0 THEN CAST(user_id AS VARCHAR) ELSE 'x' || user_id END AS external_id,
+    CASE WHEN event_id % 8 = 1 THEN 'orcid' || user_id END AS orcid,
+    CASE WHEN event_id % 8 IN (2, 3) THEN 'member' || user_id WHEN event_id % 8 IN (4, 5, 6) THEN 'name' || user_id WHEN event_id % 8 = 7 THEN 'none' || user_id END AS name,
+    CASE WHEN event_id % 4 <> 2 THEN 'mail' || user_id ELSE '' END AS email FROM events
+), hits AS (
+  SELECT DISTINCT * FROM (
+    SELECT probe_id, 1 AS level, s_suppkey AS user_id FROM probes JOIN supplier ON method = 'supplier' AND external_id = CAST(s_suppkey AS VARCHAR)
+    UNION ALL SELECT probe_id, 2, user_id FROM probes p JOIN users u ON p.orcid = u.orcid
+    UNION ALL SELECT probe_id, 3, user_id FROM probes p JOIN users u ON p.name = u.member
+    UNION ALL SELECT probe_id, 4, c_custkey FROM probes p JOIN customer ON method IS NOT NULL AND c_custkey % 4 = 3 AND p.name = 'name' || c_custkey
+    UNION ALL SELECT probe_id, 5, user_id FROM probes p JOIN users u ON p.name = u.username
+    UNION ALL SELECT probe_id, 6, user_id FROM probes p JOIN users u ON method IS NOT NULL AND 'Orders-' || p.name = u.username
+    UNION ALL SELECT probe_id, 7, user_id FROM probes p JOIN users u ON method IS NOT NULL AND 'orders-' || p.name = u.username
+    UNION ALL SELECT probe_id, 8, user_id FROM probes p JOIN users u ON p.email <> '' AND p.email = u.email)
+), counted AS (
+  SELECT probe_id, level, count(*) AS n, min(user_id) AS user_id FROM hits GROUP BY probe_id, level
+), open AS (
+  SELECT * FROM counted c WHERE n = 1 AND NOT (level BETWEEN 3 AND 7 AND EXISTS (SELECT 1 FROM counted m WHERE m.probe_id = c.probe_id AND m.level = 3 AND m.n > 1))
+)
+"""
+
+
+@register("identity_cascade_levels", CASCADE_LEVELS_SQL + "SELECT probe_id, user_id, level FROM (SELECT *, row_number() OVER (PARTITION BY probe_id ORDER BY level) AS r FROM open) WHERE r = 1")
+def identity_cascade_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users, identities, probes = cascade_levels_inputs(spark, sf_dir)
+    return resolve.resolve_identity(probes, resolve.user_keys(users, identities), LEVELS_PROVIDER, "fallthrough")
+
+
+@register(
+    "identity_cascade_levels_notices",
+    CASCADE_LEVELS_SQL + "SELECT probe_id, user_id, level FROM (SELECT *, row_number() OVER (PARTITION BY probe_id ORDER BY level) AS r FROM open WHERE level BETWEEN 3 AND 7) WHERE r = 1",
+)
+def identity_cascade_levels_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users, identities, probes = cascade_levels_inputs(spark, sf_dir)
+    return resolve.resolve_identity(probes, resolve.user_keys(users, identities), LEVELS_PROVIDER, "none")
+
+
 @register(
     "unique_or_nothing",
     "SELECT c.c_custkey, u.owner FROM customer c LEFT JOIN (SELECT c_acctbal, min(c_custkey) AS owner FROM customer GROUP BY c_acctbal HAVING count(*) = 1) u ON c.c_acctbal = u.c_acctbal",
