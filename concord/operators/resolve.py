@@ -1,7 +1,8 @@
 """Entity resolution: which local user a set of remote keys means.
 
 The reference point is a cascade of lookups, tried in order until one gives an unambiguous hit. Here all keys of all
-probes meet all keys of all users in one equality join; levels and ambiguity are settled by counting."""
+probes meet all keys of all users in one equality join; levels and ambiguity are settled by counting. Where only unambiguous
+keys resolve, users are counted for each key before the join, so that a probe meets one row a key however many share it."""
 
 from __future__ import annotations
 
@@ -56,11 +57,14 @@ def resolve_identity(probes: DataFrame, keys: DataFrame, provider: str, policy:
     asked = probe_keys(probes, provider)
     if policy != "fallthrough":
         asked = asked.where(F.col("level").isin(list(MEMBER_LEVELS)))
-    hits = asked.join(keys, ["kind", "key"]).select("probe_id", "level", "user_id").distinct()
     if policy == "all":
+        hits = asked.join(keys, ["kind", "key"]).select("probe_id", "level", "user_id").distinct()
         first = F.min("level").over(Window.partitionBy("probe_id"))
         return hits.withColumn("first", first).where("level = first").select("probe_id", "user_id", "level")
-    counted = hits.groupBy("probe_id", "level").agg(F.count("*").alias("n"), F.min("user_id").alias("user_id"))
+    owners = keys.select("kind", "key", "user_id").distinct().groupBy("kind", "key").agg(F.count("*").alias("n"), F.min("user_id").alias("user_id"))
+    hits = asked.join(owners, ["kind", "key"]).select("probe_id", "level", "n", "user_id").distinct()
+    # A probe that is repeated with other keys may have several rows at a level.
+    counted = hits.groupBy("probe_id", "level").agg(F.greatest(F.max("n"), F.count("*")).alias("n"), F.min("user_id").alias("user_id"))
     of_probe = Window.partitionBy("probe_id")
     many = F.max((F.col("level") == MEMBER) & (F.col("n") > 1)).over(of_probe)
     stopped = F.col("many") & F.col("level").isin(list(MEMBER_LEVELS))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -250,3 +251,14 @@ def test_throttle_follows_the_last_emitted_event(spark):
     assert out == {(1, 0), (1, 61), (1, 122), (1, 400), (2, 5)}
     assert throttle.throttle_in_state(None, [400, 0, 61, 60], 60) == (400, [0, 61, 400])
     assert throttle.throttle_in_state(100, [50, 160, 161], 60) == (161, [161])
+
+
+@pytest.mark.parametrize("policy", ["fallthrough", "none"])
+def test_shared_keys_are_counted_before_probes_meet_them(spark, policy):
+    """Half of the users share one member name, which half of the probes ask for; repeated probes may name several keys."""
+    keys = spark.createDataFrame([("member", "crowd" if u % 2 else f"m{u}", u) for u in range(100)] * 2, "kind string, key string, user_id long")
+    names = [(p, "crowd" if p % 2 else f"m{p}") for p in range(100)] + [(0, "m2"), (4, "m4"), (6, "crowd")]
+    probes = spark.createDataFrame([(p, None, None, None, n, None) for p, n in names], "probe_id long, external_method string, external_id string, orcid string, member_name string, email string")
+    found = resolve.resolve_identity(probes, keys, "p", policy)
+    assert sorted((r["probe_id"], r["user_id"], r["level"]) for r in found.collect()) == [(p, p, 3) for p in range(2, 100, 2) if p != 6]
+    assert re.search(r"Aggregate \[kind#\d+, key#\d+\], ", found._jdf.queryExecution().optimizedPlan().toString())
