@@ -262,3 +262,8 @@ def test_shared_keys_are_counted_before_probes_meet_them(spark, policy):
     found = resolve.resolve_identity(probes, keys, "p", policy)
     assert sorted((r["probe_id"], r["user_id"], r["level"]) for r in found.collect()) == [(p, p, 3) for p in range(2, 100, 2) if p != 6]
     assert re.search(r"Aggregate \[kind#\d+, key#\d+\], ", found._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_outcome_lists_are_whole(spark):
+    marked = spark.range(2500).select("id", F.when(F.col("id") < 2400, "success").otherwise("timeout").alias("bucket"))
+    assert sorted(rows(report.outcome_lists(marked, "id"))) == sorted(("success" if i < 2400 else "timeout", str(i)) for i in range(2500))
