@@ -10,7 +10,11 @@ class Config:
     """provider is the remote service's name as it appears in role names, prefixed user names and notices."""
 
     provider: str = "provider"
-    aliases: tuple[str, ...] = ("cilogon",)
+    aliases: tuple[str, ...] = ("broker",)
+    #: Fields of a stored profile: the user's name at the remote service, and where a replaced e-mail is kept.
+    member_field: str = "identifier_kc_username"
+    old_email_field: str = "identifier_email"
+    # Fixed values down to backoff_step: what a notice may say, administration roles and the default times.
     allowed_events: dict[str, tuple[str, ...]] = field(
         default_factory=lambda: {"users": ("created", "updated", "deleted"), "groups": ("created", "updated", "deleted"), "associations": ("associated",)}
     )

@@ -19,9 +19,15 @@ def normalise(raw: Column) -> Column:
 
 
 def alias_table(spark, config: Config) -> DataFrame:
-    """(endpoint, idp, auth_method): the provider's own endpoint uses its first alias, an alias names the provider and itself."""
+    """(idp, provider, auth_method): the provider's own name uses its first alias, an alias names the provider and itself."""
     own = [(config.provider, config.provider, config.aliases[0] if config.aliases else config.provider)]
-    return spark.createDataFrame(own + [(a, config.provider, a) for a in config.aliases], "endpoint string, idp string, auth_method string")
+    return spark.createDataFrame(own + [(a, config.provider, a) for a in config.aliases], "idp string, provider string, auth_method string")
+
+
+def with_sender(notices: DataFrame, spark, config: Config) -> DataFrame:
+    """notices with idp, provider and auth_method by the `idp` of the body; those that name none, or one that is not known, go. notices has raw."""
+    named = notices.withColumn("idp", F.get_json_object("raw", "$.idp"))
+    return named.join(F.broadcast(alias_table(spark, config)), "idp")  # configuration
 
 
 def expand(notices: DataFrame) -> DataFrame:
@@ -31,6 +37,29 @@ def expand(notices: DataFrame) -> DataFrame:
     return by_type.withColumn("item", F.explode("list")).select(*[c for c in by_type.columns if c != "list"], "item.*")
 
 
+def expand_judged(notices: DataFrame, config: Config) -> DataFrame:
+    """As expand, with what the request alone tells of each item and of its request: allowed, malformed, broken (an item of the request is
+    malformed) and odd_types (the request has a type that is not configured, if only with an empty list).
+
+    An item of a configured type needs an event; if that is allowed it needs an id, and an association a member too. Items of
+    other types, or with another event, are rejected as they are. A null counts as absent. Requests are judged before their items are taken apart, so nothing is shuffled."""
+    types = F.array(*[F.lit(t) for t in config.allowed_events])
+    pairs = F.array(*[F.concat_ws(" ", F.lit(t), F.lit(e)) for t, events in config.allowed_events.items() for e in events])
+
+    def judged(kind: Column, item: Column) -> Column:
+        allowed = F.coalesce(F.array_contains(pairs, F.concat(kind, F.lit(" "), item["event"])), F.lit(False))
+        lacks = item["id"].isNull() | ((kind == "associations") & item["kc_id"].isNull())
+        malformed = F.array_contains(types, kind) & (item["event"].isNull() | (allowed & lacks))
+        return F.struct(kind.alias("entity_type"), item["id"].alias("id"), item["event"].alias("event"), item["kc_id"].alias("kc_id"), allowed.alias("allowed"), malformed.alias("malformed"))
+
+    parsed = notices.withColumn("by_type", F.from_json(normalise(F.col("raw")), ITEMS)).drop("raw")
+    odd = F.exists(F.map_keys("by_type"), lambda t: ~F.array_contains(types, t))
+    items = F.flatten(F.transform(F.map_entries("by_type"), lambda e: F.transform(F.coalesce(e["value"], F.array().cast("array<struct<id:string,event:string,kc_id:string>>")), lambda i: judged(e["key"], i))))
+    whole = parsed.withColumn("items", items).withColumn("odd_types", odd).drop("by_type")
+    broken = F.exists("items", lambda i: i["malformed"])
+    return whole.withColumn("broken", broken).withColumn("item", F.explode("items")).drop("items").select("*", "item.*").drop("item")
+
+
 def allowed_table(spark, config: Config) -> DataFrame:
     rows = [(kind, event) for kind, events in config.allowed_events.items() for event in events]
     return spark.createDataFrame(rows, "entity_type string, event string")
@@ -57,22 +86,24 @@ def route(entity_type: Column, event: Column) -> Column:
 
 
 def batch_status(judged: DataFrame, request: str = "request_id") -> DataFrame:
-    """HTTP status and counts of each request. judged: request, malformed, allowed and known (booleans for each item).
+    """HTTP status and counts of each request. judged: request, malformed, allowed and known (booleans for each item), and optionally odd_types.
 
     A malformed item fails the whole request before anything is enqueued; then valid items decide, rejected ones turn 202 into
     400, and without valid items unknown entities give 404, all else 400."""
     malformed, valid = F.col("malformed"), F.col("allowed") & F.col("known")
+    odd = F.bool_or("odd_types") if "odd_types" in judged.columns else F.lit(False)
     sums = judged.groupBy(request).agg(
         F.bool_or(malformed).alias("broken"),
+        odd.alias("odd"),
         F.count_if(~malformed & valid).alias("n_valid"),
         F.count_if(~malformed & ~F.col("allowed")).alias("n_rejected"),
         F.count_if(~malformed & F.col("allowed") & ~F.col("known")).alias("n_unknown"),
     )
     status = (
         F.when(F.col("broken"), 400)
-        .when((F.col("n_valid") > 0) & (F.col("n_rejected") > 0), 400)
+        .when((F.col("n_valid") > 0) & (F.col("odd") | (F.col("n_rejected") > 0)), 400)
         .when(F.col("n_valid") > 0, 202)
-        .when((F.col("n_unknown") > 0) & (F.col("n_rejected") == 0), 404)
+        .when(F.col("n_unknown") > 0, 404)
         .otherwise(400)
     )
     enqueued = F.when(F.col("broken"), 0).otherwise(F.col("n_valid"))

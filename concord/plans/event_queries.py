@@ -66,7 +66,7 @@ def event_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), s AS (
       SELECT request_id, count(*) FILTER (ok AND known) AS n_enqueued, count(*) FILTER (NOT ok) AS n_rejected, count(*) FILTER (ok AND NOT known) AS n_unknown FROM j GROUP BY request_id
     )
-    SELECT request_id, CAST(CASE WHEN n_enqueued > 0 AND n_rejected > 0 THEN 400 WHEN n_enqueued > 0 THEN 202 WHEN n_unknown > 0 AND n_rejected = 0 THEN 404 ELSE 400 END AS INTEGER) AS status,
+    SELECT request_id, CAST(CASE WHEN n_enqueued > 0 AND n_rejected > 0 THEN 400 WHEN n_enqueued > 0 THEN 202 WHEN n_unknown > 0 THEN 404 ELSE 400 END AS INTEGER) AS status,
       n_enqueued, n_rejected, n_unknown FROM s""",
 )
 def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
