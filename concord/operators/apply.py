@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from concord.session import cut_lineage
+
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """target with the rows of changes in place of those with their keys, and the others added. One row a key in changes."""
@@ -32,15 +34,18 @@ def link_identities(identities: DataFrame, requests: DataFrame) -> DataFrame:
 def create_users(users: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New users for requests (username, email) whose e-mail nobody has, and the requests that cannot be met (no usable name or e-mail).
 
-    Ids go on from the highest one in use, in the order of e-mails: a window over the requests of one batch."""
+    Of several requests for one e-mail the smallest name is taken. Ids go on from the highest one in use, in the order of e-mails: rows are
+    sorted by range, and each range starts where the counts of those before it end."""
     usable = F.coalesce((F.col("username") != "") & F.col("email").contains("@"), F.lit(False))
     failed = requests.where(~usable)
-    new = requests.where(usable).dropDuplicates(["email"]).join(users.select("email"), "email", "left_anti")
-    top = users.agg(F.max("user_id")).first()[0]
-    start = 0 if top is None else top + 1
-    # zipWithIndex numbers rows from counts of each partition, without bringing them together.
-    numbered = new.select("email", "username").orderBy("email").rdd.zipWithIndex().map(lambda r: (start + r[1], r[0][1], r[0][0], True))
-    return new.sparkSession.createDataFrame(numbered, "user_id long, username string, email string, active boolean"), failed
+    new = requests.where(usable).groupBy("email").agg(F.min("username").alias("username")).join(users.select("email"), "email", "left_anti")
+    dealt = new.repartitionByRange("email").sortWithinPartitions("email").withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
+    dealt = cut_lineage(dealt.withColumn("at", F.col("at").bitwiseAND(F.lit((1 << 33) - 1))))  # the number within the partition
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = dealt.groupBy("part").agg(F.count("*").alias("n")).select("part", before.alias("before"))  # a row for each partition
+    top = F.coalesce(users.agg(F.max("user_id")).scalar(), F.lit(-1))
+    numbered = dealt.join(F.broadcast(starts), "part")
+    return numbered.select((top + 1 + F.col("before") + F.col("at")).alias("user_id"), "username", "email", F.lit(True).alias("active")), failed
 
 
 def find_or_create_roles(roles: DataFrame, wanted: DataFrame) -> DataFrame:

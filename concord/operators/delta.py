@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from concord.functions.names import is_managed
-from concord.functions.values import truthy
+from concord.functions.values import symmetric_difference, truthy
 
 
 def remote_roles(groups: DataFrame, provider: str, superadmins: DataFrame, superadmin_roles: tuple[str, ...]) -> DataFrame:
@@ -54,34 +55,44 @@ def list_difference(original: DataFrame, update: DataFrame, on: list[str]) -> Da
     return new.unionByName(old)
 
 
-def to_paths(df: DataFrame, id_col: str, prefix: str = "") -> DataFrame:
-    """(id, path, value as text, truthy) of every leaf; struct columns are entered, their paths joined by dots."""
-    leaves: list[tuple[str, str]] = []
+def leaves(schema: StructType, id_col: str) -> dict[str, DataType]:
+    """The path of every leaf with its type; structs are entered, their paths joined by dots, each part in backquotes."""
+    found: dict[str, DataType] = {}
 
-    def enter(path: str, kind) -> None:
-        if kind.typeName() == "struct":
+    def enter(path: str, kind: DataType) -> None:
+        if isinstance(kind, StructType):
             for f in kind.fields:
-                enter(f"{path}.`{f.name}`", f.dataType)
+                enter(f"{path}.`{f.name}`" if path else f"`{f.name}`", f.dataType)
         else:
-            leaves.append((path, kind.simpleString()))
+            found[path] = kind
 
-    for f in df.schema.fields:
-        if f.name != id_col:
-            enter(f"`{f.name}`", f.dataType)
-    text = lambda path, kind: F.to_json(F.col(path)) if kind.startswith(("array", "map")) else F.col(path).cast("string")
-    rows = [F.struct(F.lit(prefix + p.replace("`", "")).alias("path"), text(p, k).alias("value"), truthy(F.col(p), k).alias("truthy")) for p, k in leaves]
-    return df.select(F.col(id_col).alias("id"), F.explode(F.array(*rows)).alias("leaf")).select("id", "leaf.*")
+    enter("", StructType([f for f in schema.fields if f.name != id_col]))
+    return found
 
 
 def sparse_diff(original: DataFrame, update: DataFrame, id_col: str, keep_falsy: bool = False) -> DataFrame:
     """(id, path, new_value) of the leaves of update that differ from original.
 
-    Paths that only original has are left out. Values that are empty, zero, false or null are left out as well, unless keep_falsy.
-    A row that original lacks is new in all its leaves."""
-    old = to_paths(original, id_col).select("id", "path", F.col("value").alias("old_value"), F.lit(True).alias("known"))
-    new = to_paths(update, id_col)
-    changed = new.join(old, ["id", "path"], "left").where(F.col("known").isNull() | ~F.col("value").eqNullSafe(F.col("old_value")))
-    return changed.where(F.lit(keep_falsy) | F.col("truthy")).select("id", "path", F.col("value").alias("new_value"))
+    A list that differs is given as its symmetric difference: elements that only update has, then those that only original has; the order of
+    elements and repeats make no difference. Paths that only original has are left out. Values that are empty, zero, false or null are left
+    out as well, unless keep_falsy. A row that original lacks is new in all its leaves. The two sides meet in one join; only what differs becomes a row."""
+    old_leaves = leaves(original.schema, id_col)
+    met = update.select(F.col(id_col).alias("id"), F.struct(*[c for c in update.columns if c != id_col]).alias("u"))
+    met = met.join(original.select(F.col(id_col).alias("id"), F.struct(*[c for c in original.columns if c != id_col]).alias("o"), F.lit(True).alias("known")), "id", "left")
+
+    def changed(path: str, kind: DataType) -> Column:
+        name, new = F.lit(path.replace("`", "")), F.col(f"u.{path}")
+        old = F.col(f"o.{path}") if path in old_leaves else F.lit(None).cast(kind)
+        if isinstance(kind, ArrayType):
+            none = F.array().cast(kind)
+            value = symmetric_difference(F.coalesce(new, none), F.coalesce(old, none))
+            return F.when((F.size(value) > 0) | (F.lit(keep_falsy) & F.col("known").isNull()), F.struct(name.alias("path"), F.to_json(value).alias("value")))
+        text = (lambda c: F.to_json(c)) if isinstance(kind, MapType) else (lambda c: c.cast("string"))
+        differs = F.col("known").isNull() | ~text(new).eqNullSafe(text(old))
+        return F.when(differs & (F.lit(keep_falsy) | truthy(new, kind.simpleString())), F.struct(name.alias("path"), text(new).alias("value")))
+
+    rows = F.array_compact(F.array(*[changed(p, k) for p, k in leaves(update.schema, id_col).items()]))
+    return met.select("id", F.explode(rows).alias("leaf")).select("id", "leaf.path", F.col("leaf.value").alias("new_value"))
 
 
 def nest_diff(diff: DataFrame) -> DataFrame:

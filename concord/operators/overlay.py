@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.functions.values import filled, has_key, name_parts, or_else
 
 
-def profile_overlay(local: DataFrame, remote: DataFrame) -> DataFrame:
+def profile_overlay(local: DataFrame, remote: DataFrame, member_field: str = "identifier_kc_username") -> DataFrame:
     """New rows of the users that a remote profile is known for.
 
     local: user_id, username, email, active, preferences (map), user_profile (map). remote: user_id, username, email, name, first_name,
@@ -19,7 +19,7 @@ def profile_overlay(local: DataFrame, remote: DataFrame) -> DataFrame:
         F.col("username").alias("r_username"),
         F.col("email").alias("r_email"),
         F.map_from_arrays(
-            F.array(F.lit("full_name"), F.lit("name_parts"), F.lit("identifier_kc_username")),
+            F.array(F.lit("full_name"), F.lit("name_parts"), F.lit(member_field)),
             F.array(or_else(F.col("name"), F.lit("")), name_parts(F.col("first_name"), F.col("last_name")), or_else(F.col("username"), F.lit(""))),
         ).alias("always"),
         F.map_filter(
@@ -48,20 +48,27 @@ def collision_guard(users: DataFrame, proposals: DataFrame, field: str) -> DataF
 
     A new value is taken only where no user has it; of several proposals for one value in a batch the lowest user id gets it. Where
     it is refused, the user keeps the old one. users: user_id and field; proposals: user_id and new_<field>."""
-    new, taken = f"new_{field}", f"{field}_taken"
-    held = users.groupBy(F.col(field).alias(new)).agg(F.count("*").alias(taken))
-    old = users.select("user_id", F.col(field).alias("__old"))
-    rank = F.row_number().over(Window.partitionBy(new).orderBy("user_id"))
-    met = proposals.join(old, "user_id").join(held, new, "left").withColumn("__rank", F.when(filled(F.col(new)) & ~F.col(new).eqNullSafe(F.col("__old")), rank))
-    changes = filled(F.col(new)) & ~F.col(new).eqNullSafe(F.col("__old"))
-    refused = changes & ((F.coalesce(taken, F.lit(0)) > 0) | (F.col("__rank") > 1))
-    value = F.when(changes & ~refused, F.col(new)).otherwise(F.col("__old"))
-    return met.select(*[c for c in proposals.columns if c != new], value.alias(field), F.coalesce(refused, F.lit(False)).alias(f"{field}_collides"), F.col(new))
-
-
-def keep_old_email(profile: Column, refused_or_old: Column, changed: Column) -> Column:
-    """The profile map with the previous e-mail under identifier_email where the address changed."""
-    return F.when(changed & filled(refused_or_old), overlay_map(profile, F.create_map(F.lit("identifier_email"), refused_or_old))).otherwise(profile)
+    new = f"new_{field}"
+    met = proposals.join(users.select("user_id", F.col(field).alias("__old")), "user_id")
+    changes = F.coalesce(filled(F.col(new)) & ~F.col(new).eqNullSafe(F.col("__old")), F.lit(False))
+    # Only real changes are compared with each other and with what is held: nulls and values that stay would pile up on a few keys.
+    asks = met.where(changes)
+    winners = asks.groupBy(new).agg(F.min("user_id").alias("__winner"))
+    free = winners.join(users.select(F.col(field).alias(new)), new, "left_anti")
+    judged = asks.join(free, new, "left").withColumn("__refused", ~F.col("user_id").eqNullSafe(F.col("__winner"))).drop("__winner")
+    every = judged.select(*met.columns, "__refused").unionByName(met.where(~changes).withColumn("__refused", F.lit(False)))
+    value = F.when(~changes | F.col("__refused"), F.col("__old")).otherwise(F.col(new))
+    return every.select(*[c for c in proposals.columns if c != new], value.alias(field), F.col("__refused").alias(f"{field}_collides"), F.col(new))
+
+
+def keep_old_email(profile: Column, refused_or_old: Column, changed: Column, field: str = "identifier_email") -> Column:
+    """The profile map with the previous e-mail under `field` where the address changed."""
+    return F.when(changed & filled(refused_or_old), overlay_map(profile, F.create_map(F.lit(field), refused_or_old))).otherwise(profile)
+
+
+def stored_profile(text: Column) -> Column:
+    """The profile map of stored JSON text; empty where the text is null or no JSON object, so that a user with a corrupt profile starts afresh."""
+    return F.coalesce(F.from_json(F.when(F.json_object_keys(text).isNotNull(), text), "map<string,string>"), F.create_map().cast("map<string,string>"))
 
 
 VISIBILITY = {"public": "public", "private": "restricted", "hidden": "restricted"}

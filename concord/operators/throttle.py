@@ -2,26 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def throttle(events: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
-    """(key, ts) of the emitted events.
-
-    An event that follows its predecessor by more than the interval is always emitted, whatever came before. So a
-    user's events fall into independent sessions at such gaps, each is folded on its own, and a group is only as large as a
-    run of events without a gap. Equal times count once."""
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    gap = F.lit(seconds * 1_000_000)
-    ordered = Window.partitionBy(key).orderBy("us")
-    rows = events.select(F.col(key), us.alias("us")).where("us IS NOT NULL").distinct()
-    starts = rows.withColumn("start", F.coalesce(F.col("us") - F.lag("us").over(ordered) > gap, F.lit(True)).cast("long"))
-    sessions = starts.withColumn("session", F.sum("start").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    times = sessions.groupBy(key, "session").agg(F.array_sort(F.collect_list("us")).alias("times"))
-    none = F.array().cast("array<bigint>")
-    emitted = F.aggregate("times", none, lambda out, t: F.when((F.size(out) == 0) | (t - F.try_element_at(out, F.lit(-1)) > gap), F.concat(out, F.array(t))).otherwise(out))
-    return times.select(key, F.explode(emitted).alias("us")).select(key, F.timestamp_micros("us").alias(ts))
+    """(key, ts) of the emitted events. Equal times count once; null times are left out.
+
+    What is emitted depends on the emission before, so a user's events are taken in order: they are dealt by user, sorted by Spark (which
+    spills) and run through in one pass that holds a batch and the last emission, however many events a user has."""
+    gap = seconds * 1_000_000
+    kind = events.schema[key].dataType.simpleString()
+    rows = events.select(F.col(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("us")).where("us IS NOT NULL")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        user, last, begun = None, 0, False
+        for b in batches:
+            times, codes = b.column(1).to_numpy(), b.column(0).dictionary_encode().indices.fill_null(-1).to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else []
+            picked = []
+            for at, end in zip(starts, [*starts[1:], len(codes)], strict=True):
+                here = b.column(0)[at].as_py()
+                if not begun or here != user:
+                    user, last, begun = here, int(times[at]) - gap - 1, True
+                while (at := at + int(np.searchsorted(times[at:end], last + gap, side="right"))) < end:  # a step for each emission
+                    picked.append(at)
+                    last = int(times[at])
+            yield b.take(pa.array(picked, type=pa.int64()))
+
+    ordered = rows.repartition(key).sortWithinPartitions(key, "us")
+    return ordered.mapInArrow(run, f"`{key}` {kind}, us long").select(key, F.timestamp_micros("us").alias(ts))
 
 
 def throttle_in_state(last: int | None, times: list[int], gap: int) -> tuple[int | None, list[int]]:
