@@ -24,6 +24,10 @@ def _users(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def notices_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notice_bodies(table(spark, sf_dir, "events"))
+
+
+def notice_bodies(events: DataFrame) -> DataFrame:
     """Each event as a request with one item: clicks and views are user notices, purchases and sign-ups group notices, errors associations."""
     e = F.col("event_type")
     text = F.col("user_id").cast("string")
@@ -34,7 +38,7 @@ def notices_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     # An association names the new subject, and the member by another key; the envelope has no updates.
     link = F.array(F.struct(F.concat(F.lit("new-"), text).alias("id"), F.lit("associated").alias("event"), text.alias("kc_id")))
     bare = F.to_json(F.struct(F.lit("market").alias("idp"), F.struct(link.alias("associations")).alias("associations")))
-    return table(spark, sf_dir, "events").select(F.col("event_id").alias("request_id"), F.lit("market").alias("endpoint"), F.when(e == "error", bare).otherwise(plain).alias("raw"))
+    return events.select(F.col("event_id").alias("request_id"), F.when(e == "error", bare).otherwise(plain).alias("raw"))
 
 
 NOTICES_SQL = """
@@ -64,6 +68,10 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
       CASE WHEN event_type <> 'error' AND k >= 20 AND k % 7 <> 0 THEN s_suppkey END AS user_id FROM t LEFT JOIN supplier ON s_suppkey = t.user_id""",
 )
 def login_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logins(spark, sf_dir).select("login_id", "status", "user_id")
+
+
+def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event is a login token: errors are sealed with another secret, k is the time of expiry and decides the nonce."""
     k = F.get_json_object("props", "$.k").cast("int")
     sub = F.concat(F.lit("sub-"), F.col("user_id").cast("string"))
@@ -71,7 +79,7 @@ def login_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     token = codec.seal(raw, F.when(F.col("event_type") == "error", "wrong").otherwise("right"))
     tokens = table(spark, sf_dir, "events").select(F.col("event_id").alias("login_id"), token.alias("token"))
     nonces = spark.range(100).where("id % 7 <> 0").select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("nonce"))
-    return pipelines.broker_login(tokens, "right", nonces, *_users(spark, sf_dir), "20.0", CONFIG).select("login_id", "status", "user_id")
+    return pipelines.broker_login(tokens, "right", nonces, *_users(spark, sf_dir), "20.0", CONFIG)
 
 
 @register(

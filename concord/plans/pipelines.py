@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concord.config import Config
@@ -33,18 +33,18 @@ def sync_users(users: DataFrame, user_roles: DataFrame, requests: DataFrame, pro
 
     users: see schemas.USERS. requests: user_id. profiles: user_id, profile, status. Fields and memberships of one batch
     belong to one new state each, so a user never has one without the other once both are written."""
-    known = requests.join(users, "user_id", "left_semi")
+    known = requests.select("user_id").distinct().join(users, "user_id", "left_semi")
     ok = profiles.where("status = 'ok'").join(known, "user_id", "left_semi")
     remote = ok.select("user_id", "profile.*")
-    proposed = overlay.profile_overlay(users, remote)
-    guarded = overlay.collision_guard(users, proposed.select("user_id", F.col("username").alias("new_username")), "username").select("user_id", "username", "username_collides")
-    mails = overlay.collision_guard(users, proposed.select("user_id", F.col("email").alias("new_email")), "email").select("user_id", "email", "email_collides")
+    proposed = overlay.profile_overlay(users, remote, config.member_field)
+    guarded = overlay.collision_guard(users, proposed.select("user_id", F.col("username").alias("new_username")), "username").select("user_id", "username")
+    mails = overlay.collision_guard(users, proposed.select("user_id", F.col("email").alias("new_email")), "email").select("user_id", "email")
     old_mail = users.select("user_id", F.col("email").alias("old_email"))
     settled = proposed.drop("username", "email").join(guarded, "user_id").join(mails, "user_id").join(old_mail, "user_id")
     changed = ~F.col("email").eqNullSafe(F.col("old_email"))
-    written = settled.withColumn("user_profile", overlay.keep_old_email(F.col("user_profile"), F.col("old_email"), changed))
-    rows = written.select("user_id", "username", "email", "active", "preferences", "user_profile")
-    changes = delta.sparse_diff(_flat(users), _flat(rows), "user_id")
+    written = settled.withColumn("user_profile", overlay.keep_old_email(F.col("user_profile"), F.col("old_email"), changed, config.old_email_field))
+    rows = cut_lineage(written.select("user_id", "username", "email", "active", "preferences", "user_profile"))  # four results follow from it
+    changes = delta.sparse_diff(_flat(users, config), _flat(rows, config), "user_id")
     granted = delta.remote_roles(
         remote.select("user_id", F.explode("groups").alias("g")).select("user_id", F.col("g.id").alias("group_id"), "g.role"), config.provider, remote.where("is_superadmin").select("user_id"), config.superadmin_roles
     )
@@ -53,7 +53,7 @@ def sync_users(users: DataFrame, user_roles: DataFrame, requests: DataFrame, pro
     others = user_roles.join(remote.select("user_id"), "user_id", "left_anti").select("user_id", "role")
     n_changes = changes.select(F.col("id").alias("user_id")).union(memberships.where("change <> 'unchanged'").select("user_id")).groupBy("user_id").agg(F.count("*").alias("n"))
     judged = (
-        requests.join(known.withColumn("known", F.lit(True)), "user_id", "left").join(profiles.select("user_id", "status"), "user_id", "left").join(n_changes, "user_id", "left")
+        requests.select("user_id").distinct().join(known.withColumn("known", F.lit(True)), "user_id", "left").join(profiles.select("user_id", "status"), "user_id", "left").join(n_changes, "user_id", "left")
     )
     bucket = report.bucket(F.coalesce("known", F.lit(False)), F.coalesce("status", F.lit("not_found")), F.coalesce("n", F.lit(0)))
     return UserSync(
@@ -65,9 +65,9 @@ def sync_users(users: DataFrame, user_roles: DataFrame, requests: DataFrame, pro
     )
 
 
-def _flat(users: DataFrame) -> DataFrame:
+def _flat(users: DataFrame, config: Config) -> DataFrame:
     """Maps as structs of the fields a diff looks at, so that paths are fixed."""
-    fields = ("full_name", "name_parts", "identifier_kc_username", "affiliations", "identifier_orcid")
+    fields = ("full_name", "name_parts", config.member_field, "affiliations", "identifier_orcid")
     profile = F.struct(*[F.try_element_at("user_profile", F.lit(f)).alias(f) for f in fields])
     shown = F.struct(*[F.try_element_at("preferences", F.lit(f)).alias(f) for f in ("visibility", "email_visibility")])
     return users.select("user_id", "username", "email", "active", shown.alias("preferences"), profile.alias("user_profile"))
@@ -98,34 +98,76 @@ class NoticeBatch:
 
 
 def receive_notices(raw: DataFrame, users: DataFrame, identities: DataFrame, config: Config) -> NoticeBatch:
-    """Routed items and the status of each request. raw: request_id, endpoint, raw. users: as resolve.user_keys takes them."""
+    """Items and the status of each request. raw: request_id, raw. users: as resolve.user_keys takes them.
+
+    Only an item that is enqueued has a route: none has of a request that is broken, and a request whose body names no known sender has no items."""
     spark: SparkSession = raw.sparkSession
-    known_endpoint = raw.join(F.broadcast(notices.alias_table(spark, config)), "endpoint", "left")
-    items = cut_lineage(notices.expand(known_endpoint).withColumn("item_id", F.monotonically_increasing_id()))  # numbers that all that follows agrees on
+    items = notices.expand_judged(notices.with_sender(raw.select("request_id", "raw"), spark, config), config)
+    judged = cut_lineage(items.withColumn("item_id", F.monotonically_increasing_id()))  # numbers that all that follows agrees on
     item = F.col("entity_type").isin("users", "associations")
-    table = notices.allowed_table(spark, config)
-    judged = items.join(F.broadcast(table.withColumn("allowed", F.lit(True))), ["entity_type", "event"], "left").withColumn("allowed", F.coalesce("allowed", F.lit(False)))
     member = F.when(F.col("entity_type") == "associations", F.col("kc_id")).otherwise(F.col("id"))
-    probes = judged.where(item).select(
-        F.col("item_id").alias("probe_id"), F.col("auth_method").alias("external_method"), F.lit(None).cast("string").alias("external_id"), F.lit(None).cast("string").alias("orcid"), member.alias("member_name"), F.lit(None).cast("string").alias("email")
+    none = F.lit(None).cast("string")
+    probes = judged.where(item & F.col("allowed") & ~F.col("broken")).select(
+        F.col("item_id").alias("probe_id"), F.col("auth_method").alias("external_method"), none.alias("external_id"), none.alias("orcid"), member.alias("member_name"), none.alias("email")
     )
-    found = resolve.resolve_identity(probes, resolve.user_keys(users, identities), config.provider, "none").select(F.col("probe_id").alias("item_id"), "user_id")
+    found = resolve.resolve_identity(probes, resolve.user_keys(users, identities, config.member_field), config.provider, "none").select(F.col("probe_id").alias("item_id"), "user_id")
     linked = resolve.first_match(found.join(judged.select("item_id", F.col("auth_method").alias("method")), "item_id"), identities.select("user_id", "method", F.col("id").alias("oauth_id")), ["user_id", "method"], ["oauth_id"])
-    met = judged.join(linked.select("item_id", "user_id", "oauth_id"), "item_id", "left")
-    met = met.withColumn("malformed", F.col("id").isNull() | F.col("event").isNull()).withColumn("known", ~item | F.col("user_id").isNotNull())
-    routed = met.withColumn("route", F.when(F.col("allowed") & F.col("known") & ~F.col("malformed"), notices.route(F.col("entity_type"), F.col("event"))))
+    met = judged.join(linked.select("item_id", "user_id", "oauth_id"), "item_id", "left").withColumn("known", ~item | F.col("user_id").isNotNull())
+    routed = met.withColumn("route", F.when(F.col("allowed") & F.col("known") & ~F.col("broken"), notices.route(F.col("entity_type"), F.col("event"))))
     status = notices.batch_status(met)
     answered = raw.select("request_id").distinct().join(status, "request_id", "left").fillna({"status": 400, "n_enqueued": 0, "n_rejected": 0, "n_unknown": 0})
     return NoticeBatch(routed, answered)
 
 
+def task_summaries(sync: UserSync, tasks: DataFrame) -> DataFrame:
+    """(user_id, bucket, summary): a JSON row for each user task that was run. tasks: user_id, idp, remote_id, kc_username, one row a user.
+
+    The summary has the task's own fields, the user it was completed for (null where nobody was), the roles held afterwards, role changes
+    by kind and changed fields by path. A user that was asked for without a task has null fields of it."""
+    texts = lambda c: F.array_sort(F.collect_list(c))
+    kinds = [texts(F.when(F.col("change") == k, F.col("role"))).alias(k) for k in ("added", "dropped", "unchanged")]
+    of_roles = sync.memberships.groupBy("user_id").agg(*kinds)
+    of_fields = sync.changes.groupBy(F.col("id").alias("user_id")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("path", "new_value")))).alias("fields"))
+    held = sync.user_roles.join(sync.outcomes.select("user_id"), "user_id", "left_semi").groupBy("user_id").agg(texts("role").alias("groups"))
+    met = sync.outcomes
+    for side in (tasks, of_roles, of_fields, held):
+        met = met.join(side, "user_id", "left")
+    completed = F.when(F.col("bucket").isin("success", "unchanged"), F.col("user_id"))
+    none = F.array().cast("array<string>")
+    group_changes = F.struct(*[F.coalesce(k, none).alias(k) for k in ("added", "dropped", "unchanged")])
+    fields = F.coalesce("fields", F.create_map().cast("map<string,string>"))
+    summary = F.struct("user_id", "idp", "remote_id", "kc_username", completed.alias("completed_user_id"), F.coalesce("groups", none).alias("groups"), group_changes.alias("group_changes"), fields.alias("user_field_changes"))
+    return met.select("user_id", "bucket", F.to_json(summary, {"ignoreNullFields": "false"}).alias("summary"))
+
+
 def associate(requests: DataFrame, identities: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New identities and the status of each association request (method, id, user_id)."""
     return apply.link_identities(identities, requests), apply.guarded_links(requests, identities)
 
 
+@dataclass
+class Associations:
+    identities: DataFrame
+    sync: UserSync
+    status: DataFrame
+
+
+def associate_users(requests: DataFrame, users: DataFrame, user_roles: DataFrame, identities: DataFrame, profiles: DataFrame, config: Config) -> Associations:
+    """Links the requested identities to users and syncs the users that were linked or were so already.
+
+    requests: method, id, user_id. users, user_roles and profiles: as sync_users takes them. status: method, id, user_id, status (associated or error) and
+    reason (user not found, or identity of another user; else null)."""
+    known = requests.select("method", "id", "user_id").join(users.select("user_id", F.lit(True).alias("known")), "user_id", "left")
+    links, judged = associate(known.where("known").select("method", "id", "user_id"), identities)
+    judged = cut_lineage(judged)
+    linked = judged.where("status <> 'error'").select("user_id").distinct()
+    owned = judged.withColumn("reason", F.when(F.col("status") == "error", "identity of another user")).withColumn("status", F.when(F.col("status") == "error", "error").otherwise("associated"))
+    lost = known.where("known IS NULL").select("method", "id", "user_id", F.lit("error").alias("status"), F.lit("user not found").alias("reason")).distinct()
+    return Associations(links, sync_users(users, user_roles, linked, profiles, config), owned.select("method", "id", "user_id", "status", "reason").unionByName(lost))
+
+
 def broker_login(tokens: DataFrame, secret: str, nonces: DataFrame, users: DataFrame, identities: DataFrame, now, config: Config, method: str | None = None) -> DataFrame:
-    """(login_id, status, user_id, level) of sealed tokens (login_id, token): bad_token, expired, bad_nonce, new_user or ok."""
+    """(login_id, status, user_id, level, sub) of sealed tokens (login_id, token): bad_token, expired, bad_nonce, new_user or ok."""
     opened = tokens.withColumn("raw", codec.unseal(F.col("token"), F.lit(secret))).withColumn("t", F.from_json("raw", schemas.TOKEN))
     read = opened.select("login_id", "t.*", F.get_json_object("raw", "$.exp").alias("exp_text"))
     good_nonce = nonces.select("nonce").distinct().withColumn("issued", F.lit(True))
@@ -140,16 +182,51 @@ def broker_login(tokens: DataFrame, secret: str, nonces: DataFrame, users: DataF
         F.col("kc_username").alias("member_name"),
         or_else(F.col("primary_email"), F.col("userinfo.email")).alias("email"),
     )
-    found = resolve.resolve_identity(probes, resolve.user_keys(users, identities), config.provider, "fallthrough").withColumnRenamed("probe_id", "login_id")
+    found = resolve.resolve_identity(probes, resolve.user_keys(users, identities, config.member_field), config.provider, "fallthrough").withColumnRenamed("probe_id", "login_id")
     status = F.coalesce("status", F.when(F.col("user_id").isNull(), "new_user").otherwise("ok"))
-    return judged.join(found, "login_id", "left").select("login_id", status.alias("status"), "user_id", "level")
+    return judged.join(found, "login_id", "left").select("login_id", status.alias("status"), "user_id", "level", F.col("userinfo.sub").alias("sub"))
+
+
+@dataclass
+class Logins:
+    users: DataFrame
+    identities: DataFrame
+    sync: UserSync
+    outcomes: DataFrame
+
+
+def complete_logins(logins: DataFrame, profiles: DataFrame, users: DataFrame, user_roles: DataFrame, identities: DataFrame, config: Config, method: str | None = None) -> Logins:
+    """What follows a login that was let in: unknown users are created from their profile, the subject is linked, and the user is synced.
+
+    logins: as broker_login returns them. profiles: sub, profile, status, one row a subject. users: see schemas.USERS.
+    outcomes: login_id, user_id and outcome: that of the token where it was refused; created or logged_in; else, for an unknown user
+    without a profile, timeout or failure. A sync that fails does not stop a known user's login. A subject that another user owns stays with
+    that user. Of several new subjects with one e-mail all become one user, and the first by name of the subject is linked if one link is free."""
+    method = method or config.aliases[0]
+    let_in = cut_lineage(logins.where("status IN ('ok', 'new_user')").join(profiles.select("sub", "profile", F.col("status").alias("fetched")), "sub", "left"))
+    wanted = let_in.where("status = 'new_user' AND fetched = 'ok'").select("profile.username", "profile.email").distinct()
+    created, _ = apply.create_users(users, wanted)
+    created = cut_lineage(created)
+    fresh = {"preferences": F.create_map().cast("map<string,string>"), "user_profile": F.create_map().cast("map<string,string>")}
+    known = users.unionByName(created.withColumns(fresh), allowMissingColumns=True)
+    joined = let_in.join(created.select(F.col("email").alias("new_email"), F.col("user_id").alias("new_id")), (F.col("status") == "new_user") & (F.col("fetched") == "ok") & (F.col("profile.email") == F.col("new_email")), "left")
+    settled = cut_lineage(joined.withColumn("user_id", F.coalesce("user_id", "new_id")))
+    of_user = settled.where("user_id IS NOT NULL AND sub IS NOT NULL")
+    links = apply.link_identities(identities, of_user.select(F.lit(method).alias("method"), F.col("sub").alias("id"), "user_id").distinct())
+    # A user who comes with several subjects is synced from the first of them that could be read.
+    first = F.row_number().over(Window.partitionBy("user_id").orderBy(F.coalesce(F.col("fetched") != "ok", F.lit(True)), "sub"))
+    fetched = of_user.select("user_id", "sub", "profile", F.coalesce("fetched", F.lit("not_found")).alias("fetched")).withColumn("n", first).where("n = 1")
+    sync = sync_users(known, user_roles, of_user.select("user_id"), fetched.select("user_id", "profile", F.col("fetched").alias("status")), config)
+    outcome = F.when(F.col("new_id").isNotNull(), "created").when(F.col("user_id").isNotNull(), "logged_in").when(F.col("fetched") == "timeout", "timeout").otherwise("failure")
+    refused = logins.where("status NOT IN ('ok', 'new_user')").select("login_id", F.lit(None).cast("long").alias("user_id"), F.col("status").alias("outcome"))
+    return Logins(sync.users, links, sync, settled.select("login_id", "user_id", outcome.alias("outcome")).unionByName(refused))
 
 
 def logout(requests: DataFrame, users: DataFrame, identities: DataFrame, sessions: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
     """Sessions that remain, and for each request (request_id, user_name) its status (200 or 404) and the sessions it ended."""
     none = F.lit(None).cast("string")
     probes = requests.select(F.col("request_id").alias("probe_id"), F.lit(config.aliases[0]).alias("external_method"), none.alias("external_id"), none.alias("orcid"), F.col("user_name").alias("member_name"), none.alias("email"))
-    found = resolve.resolve_identity(probes, resolve.user_keys(users, identities), config.provider, "all").withColumnRenamed("probe_id", "request_id")
+    found = resolve.resolve_identity(probes, resolve.user_keys(users, identities, config.member_field), config.provider, "all").withColumnRenamed("probe_id", "request_id")
     ended = found.join(sessions, "user_id", "left").groupBy("request_id").agg(F.count("session_id").alias("n_sessions"))
     status = requests.join(ended, "request_id", "left").select("request_id", F.when(F.col("n_sessions").isNull(), 404).otherwise(200).alias("status"), F.coalesce("n_sessions", F.lit(0)).alias("n_sessions"))
     return sessions.join(found.select("user_id").distinct(), "user_id", "left_anti"), status
@@ -167,6 +244,16 @@ def batch_update_targets(ids: DataFrame, identities: DataFrame, sources: list[st
     return resolve.by_source_priority(ids.select("id"), tables, "id").select("id", "matched_source", "value.user_id", "value.external_id")
 
 
+def batch_update(items: DataFrame, users: DataFrame, user_roles: DataFrame, identities: DataFrame, profiles: DataFrame, sources: list[str], config: Config, by: str = "user_id") -> tuple[UserSync, DataFrame]:
+    """The sync of the users that command-line items mean, and (id, matched_source, user_id, bucket) of every id.
+
+    items: item. profiles: as sync_users takes them. An id without an identity in any source is not_found_local; the others are in the bucket of their user's sync."""
+    targets = cut_lineage(batch_update_targets(batch_update_ids(items), identities, sources, by))
+    sync = sync_users(users, user_roles, targets.where("user_id IS NOT NULL").select("user_id").distinct(), profiles, config)
+    met = targets.join(sync.outcomes, "user_id", "left")
+    return sync, met.select("id", "matched_source", "user_id", F.coalesce("bucket", F.lit("not_found_local")).alias("bucket"))
+
+
 def login_names(users: DataFrame, config: Config) -> DataFrame:
     """users with the bare remote name of a prefixed user name."""
     return users.withColumn("remote_name", F.when(filled(F.col("username")), strip_provider(F.col("username"), config.provider)))

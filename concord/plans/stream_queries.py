@@ -5,24 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concord.plans import flow_queries
 from concord.plans.entry import register
 from concord.plans.event_queries import ROUTE_SQL, THROTTLE_SECONDS, THROTTLE_SQL, as_notice
 from concord.session import shared_path, table
 from concord.streaming import streams
 
 BATCHES = 3
+FILES = 4
 
 
-def arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as a stream: one folder of files for each third of the time span, one folder a micro-batch."""
+def arriving(spark: SparkSession, sf_dir: str, rows=None) -> DataFrame:
+    """events (or what rows makes of them) as a stream: the files of each third of the time span, one third after the other, FILES of them a micro-batch.
+
+    Within a third a user's events are in one file, so that however the files are dealt, each user's arrive in the order of time."""
     path = shared_path(spark, "arriving")
     events = table(spark, sf_dir, "events").where("ts IS NOT NULL")
     span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
     for k in range(BATCHES):
         low, high = (span["a"] + (span["b"] - span["a"]) * i / BATCHES for i in (k, k + 1))
         part = events.where((F.col("ts") >= F.lit(low)) & ((F.col("ts") < F.lit(high)) | F.lit(k == BATCHES - 1)))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part = part.repartition(FILES, "user_id")
+        (part if rows is None else rows(part)).write.mode("append").parquet(path)
+    schema = (events if rows is None else rows(events)).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 def _landed(stream: DataFrame) -> DataFrame:
@@ -44,3 +50,10 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = arriving(spark, sf_dir).select("event_id", kind.alias("entity_type"), event.alias("event"))
     configured = spark.createDataFrame([("users", "created"), ("users", "updated"), ("groups", "updated"), ("groups", "deleted")], "entity_type string, event string")
     return _landed(streams.route_stream(items, configured)).groupBy("route").agg(F.count("*").alias("n"))
+
+
+@register("stream_notices", f"SELECT {ROUTE_SQL} AS route, count(*) AS n FROM events GROUP BY 1")
+def stream_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request bodies that arrive as text are checked, taken apart and routed."""
+    bodies = arriving(spark, sf_dir, lambda events: flow_queries.notice_bodies(events).select(F.col("raw").alias("value")))
+    return _landed(streams.notice_stream(bodies, flow_queries.CONFIG)).groupBy("route").agg(F.count("*").alias("n"))

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from concord.config import Config
+from concord.operators import notices
 from concord.operators.notices import allowed, route
 from concord.operators.throttle import throttle_in_state
 
@@ -17,7 +19,8 @@ def throttle_stream(events: DataFrame, key: str, ts: str, seconds: int) -> DataF
     """(key, ts) of the emitted events of a stream. State is one number a user: the last emitted time.
 
     Agrees with the batch form when a user's events arrive in the order of time; an event earlier than the last emitted one is
-    within the interval and so is not emitted."""
+    within the interval and so is not emitted. Where the stream has a watermark on ts, the state of a user goes once the watermark is past the
+    interval after the last emission: what comes later is emitted anyway, and what comes earlier is late and dropped by the watermark. Without one it stays."""
     gap = seconds * 1_000_000
     kind = events.schema[key].dataType.simpleString()
     rows = events.select(F.col(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("us")).where("us IS NOT NULL")
@@ -40,6 +43,15 @@ def route_stream(items: DataFrame, table: DataFrame) -> DataFrame:
     return allowed(items, table).withColumn("route", route(F.col("entity_type"), F.col("event")))
 
 
+def notice_stream(bodies: DataFrame, config: Config) -> DataFrame:
+    """A stream of request bodies (text column `value`) as routed items: idp, provider, auth_method, entity_type, id, event, kc_id and route.
+
+    Stateless: senders, types, events and keys are checked as in a batch, and items of a broken request go; users are looked up where the route is worked off."""
+    named = notices.with_sender(bodies.select(F.col("value").alias("raw")), bodies.sparkSession, config)
+    items = notices.expand_judged(named, config).where("allowed AND NOT broken")
+    return items.select("idp", "provider", "auth_method", "entity_type", "id", "event", "kc_id", notices.route(F.col("entity_type"), F.col("event")).alias("route"))
+
+
 def write_routes(routed: DataFrame, path: str, checkpoint: str):
     """Starts a query that appends each micro-batch below path, in a folder for each route; a batch that is repeated replaces itself."""
 

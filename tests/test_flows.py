@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from concord.config import Config
 from concord.functions import codec
+from concord.operators import overlay
 from concord.plans import pipelines
 from concord.sources import snapshots, tables
 from concord.streaming import streams
@@ -100,19 +101,29 @@ class TestEntryPoints:
         return users, spark.createDataFrame([("cilogon", "sub-ann", 1)], "method string, id string, user_id long")
 
     def test_notices(self, spark, local):
-        texts = [
-            '{"updates": {"users": [{"id": "ann", "event": "updated"}, {"id": "nobody", "event": "updated"}]}}',
-            '{"updates": {"users": [{"id": "ann", "event": "exploded"}]}}',
-            '{"associations": {"associations": [{"id": "new", "event": "associated", "kc_id": "bob"}]}}',
-            '{"updates": {"users": [{"id": "nobody", "event": "updated"}]}}',
-            '{"updates": {"users": [{"event": "updated"}]}}',
-            "nonsense",
+        bodies = [
+            {"idp": "p", "updates": {"users": [{"id": "ann", "event": "updated"}, {"id": "nobody", "event": "updated"}]}},
+            {"idp": "p", "updates": {"users": [{"id": "ann", "event": "exploded"}]}},
+            {"idp": "cilogon", "associations": {"associations": [{"id": "new", "event": "associated", "kc_id": "bob"}]}},
+            {"idp": "p", "updates": {"users": [{"id": "nobody", "event": "updated"}]}},
+            {"idp": "p", "updates": {"users": [{"event": "updated"}]}},
+            None,
+            {"idp": "elsewhere", "updates": {"users": [{"id": "ann", "event": "updated"}]}},
+            {"updates": {"users": [{"id": "ann", "event": "updated"}]}},
+            {"idp": "p", "updates": {"users": [{"id": "ann", "event": "updated"}, {"id": "ann"}], "groups": [{"id": "1", "event": "updated"}]}},
+            {"idp": "p", "updates": {"associations": [{"id": "new", "event": "associated"}]}},
+            {"idp": "p", "updates": {"things": [{}], "users": [{"id": "ann", "event": "updated"}]}},
+            {"idp": "p", "updates": {"things": [], "users": [{"id": "ann", "event": "updated"}]}},
+            {"idp": "p", "updates": {"users": [{"event": "exploded"}, {"id": "nobody", "event": "updated"}]}},
+            {"idp": "p", "updates": {}},
         ]
-        raw = spark.createDataFrame([(k, "p", t) for k, t in enumerate(texts)], "request_id long, endpoint string, raw string")
+        raw = spark.createDataFrame([(k, json.dumps(b) if b else "nonsense") for k, b in enumerate(bodies)], "request_id long, raw string")
         out = pipelines.receive_notices(raw, *local, CONFIG)
-        assert [(r[0], r[1]) for r in rows(out.status)] == [(0, 202), (1, 400), (2, 202), (3, 404), (4, 400), (5, 400)]
+        status = {r["request_id"]: (r["status"], r["n_enqueued"]) for r in out.status.collect()}
+        assert status == {0: (202, 1), 1: (400, 0), 2: (202, 1), 3: (404, 0), 4: (400, 0), 5: (400, 0), 6: (400, 0), 7: (400, 0), 8: (400, 0), 9: (400, 0), 10: (400, 1), 11: (400, 1), 12: (404, 0), 13: (400, 0)}
         routed = {(r["request_id"], r["route"], r["user_id"], r["oauth_id"]) for r in out.items.where("route IS NOT NULL").collect()}
-        assert routed == {(0, "update_user", 1, "sub-ann"), (2, "associate_user", 2, None)}
+        assert routed == {(0, "update_user", 1, "sub-ann"), (2, "associate_user", 2, None), (10, "update_user", 1, "sub-ann"), (11, "update_user", 1, "sub-ann")}
+        assert {r["request_id"] for r in out.items.collect()}.isdisjoint({5, 6, 7, 13})
 
     def test_login(self, spark, local):
         token = lambda sub, exp, nonce, name=None: json.dumps({"userinfo": {"sub": sub, "email": "eve@x"}, "nonce": nonce, "exp": exp, "kc_username": name, "primary_email": ""})
@@ -139,6 +150,58 @@ class TestEntryPoints:
         assert rows(new) == [("cilogon", "sub-ann", 1), ("p", "x", 2)] and {r[3] for r in rows(status)} == {"error", "linked"}
 
 
+class TestWrites:
+    """What follows logins, associations and command-line batches."""
+
+    @pytest.fixture
+    def users(self, spark):
+        return spark.createDataFrame([(1, "ann", "ann@x", True, {}, {"identifier_kc_username": "ann"}), (2, "bob", "bob@x", True, {}, {})], USERS)
+
+    @pytest.fixture
+    def identities(self, spark):
+        return spark.createDataFrame([("cilogon", "sub-ann", 1)], "method string, id string, user_id long")
+
+    @pytest.fixture
+    def no_roles(self, spark):
+        return spark.createDataFrame([], "user_id long, role string")
+
+    def profiles(self, spark, key, *named):
+        read = snapshots.profiles_by_member(spark.createDataFrame([(k, json.dumps(PROFILE | {"username": n, "email": f"{n}@x"}) if n else None, f) for k, n, f in named], f"{key} {'long' if key == 'user_id' else 'string'}, body string, failure string"), key)
+        return read.select(key, "profile", "status")
+
+    def test_logins(self, spark, users, identities, no_roles):
+        logins = spark.createDataFrame([(1, "ok", 1, 1, "sub-ann"), (2, "new_user", None, None, "sub-new"), (3, "new_user", None, None, "sub-lost"), (4, "expired", None, None, "s"), (5, "ok", 2, 8, "sub-bob"), (6, "new_user", None, None, "sub-late"), (7, "new_user", None, None, "sub-new2")], "login_id long, status string, user_id long, level int, sub string")
+        profiles = self.profiles(spark, "sub", ("sub-ann", "ann", None), ("sub-new", "cyd", None), ("sub-bob", None, "request_error"), ("sub-late", None, "timeout"), ("sub-new2", "dee", None))
+        out = pipelines.complete_logins(logins, profiles, users, no_roles, identities, CONFIG)
+        assert rows(out.outcomes) == [(1, 1, "logged_in"), (2, 3, "created"), (3, None, "failure"), (4, None, "expired"), (5, 2, "logged_in"), (6, None, "timeout"), (7, 4, "created")]
+        assert rows(out.identities) == [("cilogon", "sub-ann", 1), ("cilogon", "sub-bob", 2), ("cilogon", "sub-new", 3), ("cilogon", "sub-new2", 4)]
+        assert {r["user_id"]: r["username"] for r in out.users.collect()} == {1: "ann", 2: "bob", 3: "cyd", 4: "dee"}
+        assert {r["user_id"]: r["bucket"] for r in out.sync.outcomes.collect()} == {1: "success", 2: "failure", 3: "success", 4: "success"}
+        assert rows(out.sync.user_roles) == [(u, "p---1000576|admin") for u in (1, 3, 4)]
+
+    def test_associations(self, spark, users, identities, no_roles):
+        requests = spark.createDataFrame([("cilogon", "sub-bob", 2), ("cilogon", "sub-ann", 2), ("cilogon", "sub-ann", 1), ("cilogon", "s", 9)], "method string, id string, user_id long")
+        out = pipelines.associate_users(requests, users, no_roles, identities, self.profiles(spark, "user_id", (1, "ann", None), (2, "bob", None)), CONFIG)
+        assert rows(out.status) == [("cilogon", "s", 9, "error", "user not found"), ("cilogon", "sub-ann", 1, "associated", None), ("cilogon", "sub-ann", 2, "error", "identity of another user"), ("cilogon", "sub-bob", 2, "associated", None)]
+        assert rows(out.identities) == [("cilogon", "sub-ann", 1), ("cilogon", "sub-bob", 2)]
+        assert {r["user_id"] for r in out.sync.outcomes.collect()} == {1, 2}
+
+    def test_batch_and_summaries(self, spark, users, identities, no_roles):
+        items = spark.createDataFrame([("1-2",), ("x",)], "item string")
+        sync, outcome = pipelines.batch_update(items, users, no_roles, identities, self.profiles(spark, "user_id", (1, "ann", None)), ["cilogon", "p"], CONFIG)
+        assert rows(outcome) == [("1", "cilogon", 1, "success"), ("2", None, None, "not_found_local"), ("x", None, None, "not_found_local")]
+        tasks = spark.createDataFrame([(1, "p", "sub-ann", "ann")], "user_id long, idp string, remote_id string, kc_username string")
+        found = {r["user_id"]: json.loads(r["summary"]) for r in pipelines.task_summaries(sync, tasks).collect()}
+        assert found[1] == {
+            "user_id": 1, "idp": "p", "remote_id": "sub-ann", "kc_username": "ann", "completed_user_id": 1, "groups": ["p---1000576|admin"], "group_changes": {"added": ["p---1000576|admin"], "dropped": [], "unchanged": []},
+            "user_field_changes": {"preferences.email_visibility": "public", "preferences.visibility": "public", "user_profile.full_name": "Ann A", "user_profile.identifier_orcid": "o1", "user_profile.name_parts": '{"first":"Ann","last":""}'},
+        }
+
+    def test_corrupt_profile(self, spark):
+        df = spark.createDataFrame([("{bad",), (None,), ('{"a": "b"}',), ("[1]",)], "t string")
+        assert [r[0] for r in df.select(overlay.stored_profile(F.col("t"))).collect()] == [{}, {}, {"a": "b"}, {}]
+
+
 def test_versioned_table(spark, tmp_path):
     t = tables.VersionedTable(spark, str(tmp_path / "users"))
     with pytest.raises(FileNotFoundError):

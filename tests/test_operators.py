@@ -55,9 +55,14 @@ class TestSparseDiff:
         schema = "id long, name string, n int, tags array<string>, place struct<city:string,zip:string>"
         old = spark.createDataFrame([(1, "a", 1, ["x"], ("c", "z")), (3, "k", 1, ["x"], ("c", "z"))], schema)
         new = spark.createDataFrame([(1, "b", 0, [], ("c", "y")), (2, "n", 5, None, None)], schema)
-        assert rows(delta.sparse_diff(old, new, "id")) == [(1, "name", "b"), (1, "place.zip", "y"), (2, "n", "5"), (2, "name", "n")]
+        assert rows(delta.sparse_diff(old, new, "id")) == [(1, "name", "b"), (1, "place.zip", "y"), (1, "tags", '["x"]'), (2, "n", "5"), (2, "name", "n")]
         kept = rows(delta.sparse_diff(old, new, "id", keep_falsy=True))
-        assert (1, "n", "0") in kept and (1, "tags", "[]") in kept
+        assert (1, "n", "0") in kept and (1, "tags", '["x"]') in kept and (2, "tags", "[]") in kept
+
+    def test_lists_are_given_as_what_differs(self, spark):
+        old = spark.createDataFrame([(1, ["a", "b"]), (2, ["a", "b"]), (3, None)], "id long, tags array<string>")
+        new = spark.createDataFrame([(1, ["b", "c"]), (2, ["b", "a", "a"]), (3, ["a", "a"]), (4, ["d"])], "id long, tags array<string>")
+        assert rows(delta.sparse_diff(old, new, "id")) == [(1, "tags", '["c","a"]'), (3, "tags", '["a","a"]'), (4, "tags", '["d"]')]
 
     def test_nested_rendering(self, spark):
         diff = spark.createDataFrame([(1, "b", "2"), (1, "a", "1")], "id long, path string, new_value string")
