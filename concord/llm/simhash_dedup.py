@@ -10,13 +10,13 @@ Of two fingerprints within k bits, one 32-bit half differs in at most k // 2 bit
 runs over two tries, one that starts at each half, with budget k // 2 down to depth 32 and k below.
 That loses no link and keeps the frontier narrow.
 
-On Spark the top levels are unrolled: a fingerprint goes to every pair (own node, other node) of
-the first `depth` bits that the budget allows, found by XOR with the masks of few bits; depth is 5 at least, so that
-a small corpus too is spread over a cluster, and grows with the logarithm of the corpus. Nodes above
-`node_rows` fingerprints (a crowd of near copies) are dealt into blocks, and every pair of blocks is a
-group of its own, so a group holds at most about 2 * node_rows fingerprints whatever the data.
-Within a group numpy walks both subtries level by level; the group hands on a spanning forest of
-its links, never all pairs, so the rows it makes are fewer than the rows it reads.
+On Spark the top levels are unrolled. The fingerprints of one node at `depth` (its first bits; depth grows with the logarithm of
+the corpus) are gathered into blocks of about `node_rows`, each one row that holds an array: a crowd of near copies makes several
+blocks of one node, so no row and no group grows with the data. A block goes to every node pair
+(own node, other node) that the budget allows, found by XOR with the masks of few bits, and every pair of blocks is a group of two rows.
+Within a group numpy walks both subtries a level at a time, nearest nodes first and a bounded number of node pairs at a time; node pairs whose
+fingerprints are linked to each other already are left out. The group hands on a spanning forest of its links, never all
+pairs, so the rows it makes are fewer than the fingerprints it reads.
 
 Filtering. To filter a corpus, texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more count as copies. Their
 fingerprints may be any number of bits apart, as those count repeated shingles, so the filter does not use them. Each text names the
@@ -174,55 +174,86 @@ def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int64)
 
 
-def trie_pairs(a: np.ndarray, b: np.ndarray, depth: int, budget: int, half: int, same: bool = False, leaf: int = 24, slab: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of a and b (sorted, distinct, each of one node at `depth`) within `budget` bits, of which
-    at most `half` in the first 32. Node pairs are walked together, one bit a level, until both are small.
-    same: a is b, and a pair of nodes is walked in one order only."""
+class Links:
+    """Union-find over the fingerprints of a group: the links found, less those within one tree, are a spanning forest."""
+
+    def __init__(self, n: int, ia: np.ndarray, ib: np.ndarray):
+        self.parent, self.kept = np.arange(n), []
+        self.ia, self.ib = ia, ib
+        self._settle()
+
+    def _settle(self) -> None:
+        self.ra, self.rb = self.parent[self.ia], self.parent[self.ib]
+        self.ca, self.cb = (np.concatenate([[0], np.cumsum(r[1:] != r[:-1])]) for r in (self.ra, self.rb))
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        found = _forest(self.parent, self.ia[i], self.ib[j])
+        if found:
+            self.kept += found
+            self._settle()
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return self.ra[i] != self.rb[j]
+
+    def open(self, front: np.ndarray) -> np.ndarray:
+        """False for node pairs all of whose fingerprints are in one tree."""
+        alo, ahi, blo, bhi = front
+        return (self.ra[alo] != self.rb[blo]) | (self.ca[alo] != self.ca[ahi - 1]) | (self.cb[blo] != self.cb[bhi - 1])
+
+
+def walk_trie(a: np.ndarray, b: np.ndarray, depth: int, budget: int, half: int, links: Links, same: bool = False, leaf: int = 24, pairs: int = 1 << 15, slab: int = 1 << 18) -> None:
+    """Gives links the pairs of a and b (sorted, distinct, each of one node at `depth`) within `budget` bits, of which
+    at most `half` in the first 32, but for those that it holds together already. Node pairs are walked together, one bit a level, until
+    both are small; at most `pairs` node pairs or `slab` fingerprint pairs at a time. same: a is b, and a pair of nodes is walked in one order only."""
     if not len(a) or not len(b):
         return
-    front = [np.array([v]) for v in (0, len(a), 0, len(b))]
-    while depth < 64 and len(front[0]):
-        small = np.maximum(front[1] - front[0], front[3] - front[2]) <= leaf
+    waiting = [(depth, np.array([[0], [len(a)], [0], [len(b)]]))]
+    while waiting:
+        depth, front = waiting.pop()
+        front = front[:, links.open(front)]
+        size = (front[1] - front[0]) * (front[3] - front[2])
+        small = np.maximum(front[1] - front[0], front[3] - front[2]) <= leaf if depth < 64 else np.ones(len(size), dtype=bool)
+        now = min(pairs, max(1, int(np.searchsorted(np.cumsum(np.where(small, size, 0)), slab, side="right"))))
+        if now < len(size):
+            waiting.append((depth, front[:, now:]))
+            front, small = front[:, :now], small[:now]
         if small.any():
-            yield from _leaves(a, b, [f[small] for f in front], budget, half, slab)
-            front = [f[~small] for f in front]
-            if not len(front[0]):
-                return
-        shift = np.uint64(63 - depth)
+            _leaves(a, b, front[:, small], budget, half, links)
+            front = front[:, ~small]
+        if front.shape[1]:
+            waiting.append((depth + 1, _children(a, b, front, depth, budget, half, same)))
 
-        def split(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, shift: np.uint64 = shift) -> np.ndarray:
-            prefix = (values[lo] >> shift) | np.uint64(1)
-            return np.clip(np.searchsorted(values, prefix << shift), lo, hi)
 
-        alo, ahi, blo, bhi = front
-        am, bm = split(a, alo, ahi), split(b, blo, bhi)
-        children = [(alo, am, blo, bm), (alo, am, bm, bhi), (am, ahi, blo, bm), (am, ahi, bm, bhi)]
-        front = [np.concatenate([c[i] for c in children]) for i in range(4)]
-        depth += 1
-        live = (front[1] > front[0]) & (front[3] > front[2])
-        if same:
-            live &= front[0] <= front[2]
-        front = [f[live] for f in front]
-        apart = _popcount((a[front[0]] ^ b[front[2]]) >> np.uint64(64 - depth))
-        live = apart <= (half if depth <= HALF else budget)
-        front = [f[live] for f in front]
-    if len(front[0]):
-        yield from _leaves(a, b, front, budget, half, slab)
-
-
-def _leaves(a: np.ndarray, b: np.ndarray, front: list[np.ndarray], budget: int, half: int, slab: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    na, nb = front[1] - front[0], front[3] - front[2]
-    size = na * nb
-    order = np.concatenate([[0], np.cumsum(size)])
-    at = 0
-    while at < len(size):
-        end = max(at + 1, int(np.searchsorted(order, order[at] + slab, side="right")) - 1)
-        owner, k = _expand(np.zeros(end - at, dtype=np.int64), size[at:end])
-        i, j = front[0][at:end][owner] + k // nb[at:end][owner], front[2][at:end][owner] + k % nb[at:end][owner]
-        apart = a[i] ^ b[j]
-        hit = (_popcount(apart) <= budget) & (_popcount(apart >> np.uint64(HALF)) <= half)
-        yield i[hit], j[hit]
-        at = end
+def _children(a: np.ndarray, b: np.ndarray, front: np.ndarray, depth: int, budget: int, half: int, same: bool) -> np.ndarray:
+    """The pairs of children of node pairs that are within the budget, nearest first."""
+    shift = np.uint64(63 - depth)
+
+    def split(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        prefix = (values[lo] >> shift) | np.uint64(1)
+        return np.clip(np.searchsorted(values, prefix << shift), lo, hi)
+
+    alo, ahi, blo, bhi = front
+    am, bm = split(a, alo, ahi), split(b, blo, bhi)
+    out = np.concatenate([np.stack(c) for c in ((alo, am, blo, bm), (alo, am, bm, bhi), (am, ahi, blo, bm), (am, ahi, bm, bhi))], axis=1)
+    live = (out[1] > out[0]) & (out[3] > out[2])
+    if same:
+        live &= out[0] <= out[2]
+    out = out[:, live]
+    bits = _popcount((a[out[0]] ^ b[out[2]]) >> shift)
+    live = bits <= (half if depth < HALF else budget)
+    return out[:, live][:, np.argsort(bits[live], kind="stable")]
+
+
+def _leaves(a: np.ndarray, b: np.ndarray, front: np.ndarray, budget: int, half: int, links: Links) -> None:
+    alo, ahi, blo, bhi = front
+    nb = bhi - blo
+    owner, k = _expand(np.zeros(len(nb), dtype=np.int64), (ahi - alo) * nb)
+    i, j = alo[owner] + k // nb[owner], blo[owner] + k % nb[owner]
+    open_ = links.apart(i, j)
+    i, j = i[open_], j[open_]
+    bits = a[i] ^ b[j]
+    hit = (_popcount(bits) <= budget) & (_popcount(bits >> np.uint64(HALF)) <= half)
+    links.add(i[hit], j[hit])
 
 
 def _forest(parent: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -258,48 +289,40 @@ def _turned(values: np.ndarray, turn: int) -> np.ndarray:
     return v if not turn else (v << np.uint64(HALF)) | (v >> np.uint64(HALF))
 
 
-def links_of_group(fps: np.ndarray, side: np.ndarray, same: bool, turn: int, depth: int, budget: int, half: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between side 0 and side 1 (or within the group when they are one block)."""
-    keys = _turned(fps, turn)
-    if same:
-        a = b = np.unique(keys)
-        every, ia, ib = a, np.arange(len(a)), np.arange(len(a))
-    else:
-        a, b = np.unique(keys[~side]), np.unique(keys[side])
-        every = np.union1d(a, b)
-        ia, ib = np.searchsorted(every, a), np.searchsorted(every, b)
-    parent = np.arange(len(every))
-    kept: list[tuple[int, int]] = []
-    for i, j in trie_pairs(a, b, depth, budget, half, same):
-        i, j = ia[i], ib[j]
-        off = i != j
-        kept += _forest(parent, i[off], j[off])
+def links_of_group(low: np.ndarray, high: np.ndarray | None, turn: int, depth: int, budget: int, half: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between two blocks of turned fingerprints, or within low where high is None."""
+    a = np.sort(low)
+    b = a if high is None else np.sort(high)
+    every = a if high is None else np.union1d(a, b)
+    links = Links(len(every), np.searchsorted(every, a), np.searchsorted(every, b))
+    walk_trie(a, b, depth, budget, half, links, same=high is None)
     whole = _turned(every, turn).view(np.int64)  # turning twice by half of the bits restores them
-    return [(int(whole[i]), int(whole[j])) for i, j in kept]
+    return [(int(whole[i]), int(whole[j])) for i, j in links.kept]
 
 
 def trie_self_join(fps: DataFrame, budget: int, total: int, node_rows: int = 8192) -> DataFrame:
-    """Edges (u, v) that connect all distinct values of fps.fp within `budget` bits, of which there are `total`."""
-    depth = min(20, max(5, math.ceil(math.log2(max(total, 1) / node_rows))))
+    """Edges (u, v) that connect all distinct values of fps.fp within `budget` bits, of which there are `total`; fps.fp is distinct."""
+    depth = min(20, max(3, math.ceil(math.log2(max(total, 1) / node_rows))))
     turned = F.array(
         F.struct(F.lit(0).cast("long").alias("turn"), F.col("fp").alias("key")),
         F.struct(F.lit(1).cast("long").alias("turn"), F.shiftleft("fp", HALF).bitwiseOR(F.shiftrightunsigned("fp", HALF)).alias("key")),
     )
-    rows = fps.select("fp", F.explode(turned).alias("t")).select("fp", "t.turn", F.shiftrightunsigned("t.key", 64 - depth).alias("node"))
+    rows = fps.select(F.explode(turned).alias("t")).select("t.turn", "t.key", F.shiftrightunsigned("t.key", 64 - depth).alias("node"))
     nodes = cut_lineage(rows.groupBy("turn", "node").agg(F.ceil(F.count("*") / F.lit(node_rows)).cast("int").alias("blocks")))
-    masks = F.array(*[F.lit(m).cast("long") for m in _masks(depth, budget // 2)])
-    deal = F.pmod(F.hash("fp", F.lit(7)), F.col("blocks"))
-    visits = rows.join(nodes, ["turn", "node"]).select("fp", "turn", "node", _place("node", deal).alias("mine"), F.explode(masks).alias("mask"))
-    visits = visits.select("fp", "turn", "mine", F.col("node").bitwiseXOR(F.col("mask")).alias("other"))
+    deal = F.pmod(F.hash("key", F.lit(7)), F.col("blocks"))
+    dealt = rows.join(nodes, ["turn", "node"]).select("turn", "node", "key", _place("node", deal).alias("mine"))
+    held = cut_lineage(dealt.groupBy("turn", "node", "mine").agg(F.collect_list("key").alias("keys")))
     # Every pair of a node with another (or itself) meets in one group for each pair of their blocks.
+    masks = F.array(*[F.lit(m).cast("long") for m in _masks(depth, budget // 2)])
+    visits = held.select("keys", "turn", "node", "mine", F.explode(masks).alias("mask")).select("keys", "turn", "mine", F.col("node").bitwiseXOR(F.col("mask")).alias("other"))
     reach = nodes.select("turn", F.col("node").alias("other"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     reach = reach.select("turn", "other", _place("other", F.col("block")).alias("theirs"))
-    met = visits.join(reach, ["turn", "other"]).select(
-        "fp", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side")
-    )
+    met = visits.join(reach, ["turn", "other"]).select("keys", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side"))
 
     def join_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        found = links_of_group(rows["fp"].to_numpy(np.int64), rows["side"].to_numpy(bool), key[0] == key[1], int(key[0]) >> 60, depth, budget, budget // 2)
+        side = rows["side"].to_numpy(bool)
+        low, high = (np.concatenate([np.asarray(k, dtype=np.int64) for k in rows["keys"][some]]).view(np.uint64) if some.any() else None for some in (~side, side))
+        found = links_of_group(low, high, int(key[0]) >> 60, depth, budget, budget // 2)
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
     return met.groupBy("low", "high").applyInPandas(join_group, "u long, v long")

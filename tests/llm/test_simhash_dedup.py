@@ -43,17 +43,60 @@ def test_fingerprint(text, words):
     assert s.fingerprint(text, words) == brute_fingerprint(text, words)
 
 
+class EveryPair:
+    """Stands for Links and leaves nothing out."""
+
+    def __init__(self):
+        self.found = set()
+
+    def open(self, front):
+        return np.ones(front.shape[1], dtype=bool)
+
+    def apart(self, i, j):
+        return np.ones(len(i), dtype=bool)
+
+    def add(self, i, j):
+        self.found |= set(zip(i.tolist(), j.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("bounds", [{}, {"pairs": 5, "slab": 20}])
 @pytest.mark.parametrize("same", [True, False])
 @pytest.mark.parametrize("budget", [0, 3, 4, 6])
-def test_trie_pairs(same, budget):
+def test_trie_pairs(same, budget, bounds):
     a = np.array(clustered(400, 7, random.Random(1)), dtype=np.uint64)
     b = a if same else np.unique(np.concatenate([a[::2] ^ np.uint64(5), a[1::3]]))
     apart = a[:, None] ^ b[None, :]
     wanted = {(int(i), int(j)) for i, j in zip(*np.nonzero((np.bitwise_count(apart) <= budget) & (np.bitwise_count(apart >> np.uint64(32)) <= budget // 2)), strict=True)}
-    found = {(int(i), int(j)) for x, y in s.trie_pairs(a, b, 0, budget, budget // 2, same, leaf=3, slab=500) for i, j in zip(x, y, strict=True)}
+    every = EveryPair()
+    s.walk_trie(a, b, 0, budget, budget // 2, every, same, leaf=3, **bounds)
+    found = every.found
     assert ({tuple(sorted(p)) for p in found} == {tuple(sorted(p)) for p in wanted}) if same else found == wanted
 
 
+def crowd(n, bits, rng):
+    """Fingerprints around one centre, some of them out of reach of all others."""
+    centre = rng.getrandbits(64)
+    return np.array(sorted({centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(bits))) for _ in range(n)}), dtype=np.uint64)
+
+
+@pytest.mark.parametrize("turn", [0, 1])
+def test_links_of_a_crowd(turn):
+    """Leaving out node pairs that are linked already loses no component; the links are a forest."""
+    fps = crowd(3000, 9, random.Random(5))
+    keys = s._turned(fps, turn)
+    low, high = keys[::2], keys[1::2]
+    found = s.links_of_group(low, None, turn, 0, 4, 2) + s.links_of_group(high, None, turn, 0, 4, 2) + s.links_of_group(low, high, turn, 0, 4, 2)
+    for some, links in ((low, s.links_of_group(low, None, turn, 0, 4, 2)), (keys, found)):
+        own = np.sort(some)
+        near = (np.bitwise_count(own[:, None] ^ own[None, :]) <= 4) & (np.bitwise_count((own[:, None] ^ own[None, :]) >> np.uint64(32)) <= 2)
+        index = {int(s._turned(own[k : k + 1], turn).view(np.int64)[0]): k for k in range(len(own))}
+        both = [np.arange(len(own)), np.arange(len(own))]
+        wanted = s._forest(both[0], *np.nonzero(near))
+        got = s._forest(both[1], np.array([index[u] for u, _ in links]), np.array([index[v] for _, v in links]))
+        assert len(got) == len(wanted) and (both[0] == both[1]).all()
+    assert len(s.links_of_group(low, None, turn, 0, 4, 2)) < len(low)
+
+
 def labels_of(spark, fps, edges):
     index = {int(np.uint64(f).view(np.int64)): k for k, f in enumerate(fps)}
     label = np.arange(len(fps))
