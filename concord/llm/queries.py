@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concord.llm import rule_ledger, url_trie
+from concord.llm import rule_ledger, url_trie, warc_revisit
 from concord.llm.bpe import op5_numpy_bpe
 from concord.llm.media_chunks import op6_gear_chunks
 from concord.llm.packing import op4_cost_balanced_packing
@@ -30,4 +30,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op7_url_trie": url_trie.ORACLE,
     "op8_rule_ledger": rule_ledger.ORACLE,
+    "op10_warc_revisits": warc_revisit.ORACLE,
 }

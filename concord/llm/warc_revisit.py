@@ -1,7 +1,7 @@
 """WARC archives with revisit records (operator 10).
 
 Headers are shuffled by payload digest: of the pages with one payload, that with the smallest id is written in
-full as a response, the others become revisit records that name it. The digest, the choice and the join need the
+full as a response, the others become revisit records that name it, its target and its date. The digest, the choice and the join need the
 headers only; a page's html meets its verdict in one join, which Spark splits where one payload is very common. Records are
 text, so Spark's own writer puts them into archives in the shared folder, gzip-compressed, on whatever file system that is;
 the writer's line separator ends each record with the two line ends the format asks for.
@@ -9,9 +9,14 @@ the writer's line separator ends each record with the two line ends the format a
 Reading back parses each archive by the Content-Length of its records, recomputes every response's digest from its bytes and joins
 revisits to their responses by record id, so payload size and digest of a revisit are those of the page it refers to.
 
+Record ids are made of the page's id, its payload digest and the row's number in the scan, so that no two records share one, whatever repeats. The
+pages are scanned twice and must come in the same order both times, as a table does; if not, a revisit finds no response and reading back fails.
+Every record is dated by the time of writing, one for a whole run. html crosses the shuffle once, that of revisits too.
+
 Cases: a null html is an empty payload; empty payloads are deduplicated like others unless `least_bytes` says that smaller
-ones are always written in full. Rows that repeat the smallest id of a payload are all responses. A null id is written as the empty
-id and is the smallest. A null url is written as an empty target. An empty table gives an empty result. Other columns are ignored.
+ones are always written in full. Rows that repeat the smallest id of a payload are all responses, and revisits refer to the first of them. An id may
+have several payloads; each counts for itself. A null id is written as the empty
+id and is the smallest. A null url is written as an empty target. A very long html is one record, held whole by a task. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +34,6 @@ from concord.session import cut_lineage, shared_path
 CRLF = "\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-DATE = "2024-01-01T00:00:00Z"
 PARSED = "page_id string, record_type string, record_id string, refers_to string, payload_bytes long, payload_digest string, stated_digest string"
 
 
@@ -40,39 +44,46 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(digits, "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def record_id(page_id: Column) -> Column:
+def record_id(page_id: Column, digest: Column, row: Column) -> Column:
     """A name-based id, so that a page's record can be referred to without looking it up."""
-    h = F.md5(F.concat(F.lit("record:"), page_id))
+    h = F.md5(F.concat_ws(":", F.lit("record"), page_id, digest, row.cast("string")))
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
 
 
 def plan_records(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """pages as page_id (text), url, html, digest, n_bytes and original: the id of the response a revisit refers to, else null."""
+    """pages as page_id (text), url, html, digest, n_bytes, record_id, and of a revisit the page, record id and url of the response it refers to."""
     rows = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", base32_sha1(F.col("html"))).withColumn("n_bytes", F.octet_length("html").cast("long"))
-    order = F.struct(F.col("id").isNotNull().alias("known"), F.col("id").alias("id"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", base32_sha1(F.col("html"))).withColumn("n_bytes", F.octet_length("html").cast("long"))
+    order = F.struct(F.col("id").isNotNull().alias("known"), "id", "row", "url")
     # As a table of its own, the choice is joined by a plain sort-merge join, whose large partitions Spark can split.
     originals = cut_lineage(rows.select("digest", order.alias("first")).groupBy("digest").agg(F.min("first").alias("first")))
     met = rows.join(originals, "digest")
     revisit = (F.col("n_bytes") >= least_bytes) & ~F.col("first.id").eqNullSafe(F.col("id"))
-    text_id = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    return met.select(text_id(F.col("id")).alias("page_id"), "url", "html", "digest", "n_bytes", F.when(revisit, text_id(F.col("first.id"))).alias("original"))
+    text_id = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    digest = F.col("digest")
+    return met.select(
+        text_id("id").alias("page_id"), "url", "html", "digest", "n_bytes", record_id(text_id("id"), digest, F.col("row")).alias("record_id"),
+        F.when(revisit, text_id("first.id")).alias("original"), F.when(revisit, record_id(text_id("first.id"), digest, F.col("first.row"))).alias("original_record"), F.when(revisit, F.col("first.url")).alias("original_url"),
+    )
 
 
-def records(planned: DataFrame) -> DataFrame:
-    """One text column: each row a whole WARC record, without the two line ends that close it."""
+def records(planned: DataFrame, written: Column | None = None) -> DataFrame:
+    """One text column: each row a whole WARC record, without the two line ends that close it. written: the time stamp of all records, now by default."""
     head = F.concat(F.lit(HTTP_HEAD), F.col("n_bytes").cast("string"), F.lit(CRLF + CRLF))
     revisit = F.col("original").isNotNull()
     block = F.when(revisit, head).otherwise(F.concat(head, F.col("html")))
-    target = F.regexp_replace("url", r"[\r\n]", "")
+    target = lambda c: F.regexp_replace(c, r"[\r\n]", "")
+    date = F.date_format(F.to_utc_timestamp(F.current_timestamp() if written is None else written, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     lines = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
-        F.concat(F.lit("WARC-Record-ID: "), record_id(F.col("page_id"))),
-        F.lit(f"WARC-Date: {DATE}"),
-        F.concat(F.lit("WARC-Target-URI: "), target),
+        F.concat(F.lit("WARC-Record-ID: "), F.col("record_id")),
+        F.concat(F.lit("WARC-Date: "), date),
+        F.concat(F.lit("WARC-Target-URI: "), target("url")),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
-        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), record_id(F.col("original")))),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), F.col("original_record"))),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To-Target-URI: "), target("original_url"))),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To-Date: "), date)),
         F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}")),
         F.concat(F.lit("Page-ID: "), F.col("page_id")),
         F.lit("Content-Type: application/http;msgtype=response"),
@@ -124,8 +135,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def resolve_revisits(parsed: DataFrame) -> DataFrame:
     """page_id, payload size and digest (of the full payload), record_type and refers_to (a page id) of every record."""
-    responses = parsed.where("record_type = 'response'").groupBy(F.col("record_id").alias("found"))
-    originals = cut_lineage(responses.agg(F.first("page_id").alias("original"), F.first("payload_bytes").alias("bytes"), F.first("payload_digest").alias("digest")))
+    responses = parsed.where("record_type = 'response'")  # record ids are unique
+    originals = responses.select(F.col("record_id").alias("found"), F.col("page_id").alias("original"), F.col("payload_bytes").alias("bytes"), F.col("payload_digest").alias("digest"))
     met = parsed.join(originals, parsed["refers_to"] == originals["found"], "left")
     digest = F.coalesce("payload_digest", "digest")
     checked = F.when(digest == F.col("stated_digest"), digest).otherwise(F.raise_error(F.concat(F.lit("payload digest differs: "), F.col("record_id"))))
@@ -142,5 +153,21 @@ def archive_and_resolve(pages: DataFrame, least_bytes: int = 0, id_col: str = "p
     return found.select(whole("page_id"), "payload_bytes", "payload_digest", "record_type", whole("refers_to"))
 
 
+#: The same rows for DuckDB; 160 bits are eight runs of five hex digits, and each run is four base32 digits.
+ORACLE = f"""
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), digested AS (
+  SELECT page_id, payload_bytes, {" || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(h, {1 + 5 * i}, 5))::BIGINT) >> {5 * k}) & 31)::INT, 1)" for i in range(8) for k in (3, 2, 1, 0))} AS payload_digest
+  FROM hashed
+), ranked AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM digested
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM ranked
+"""
+
+
 def op10_warc_revisits(spark, sf_dir: str) -> DataFrame:
     return archive_and_resolve(spark.read.parquet(f"{sf_dir}/pages.parquet"), least_bytes=0)

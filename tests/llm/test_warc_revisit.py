@@ -3,7 +3,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 
+import duckdb
 import pytest
 
 from concord.llm import warc_revisit as w
@@ -11,7 +13,7 @@ from concord.session import shared_path
 
 ROWS = [
     (3, "http://a/", "<p>same</p>"), (1, "http://b/", "<p>same</p>"), (2, "http://c/", "<p>same</p>"), (4, "http://d/", "WARC/1.1\r\n\r\ntrap\r\n\r\n"), (5, None, "grüße 😀"), (6, "http://e/\r\nX: y", ""), (7, "http://f/", None),
-    (8, "http://g/", "x" * 300_000), (9, "http://h/", "repeat"), (9, "http://h/", "repeat"), (None, "http://i/", "nobody"), (10, "http://j/", "nobody"),
+    (1, "http://b/", "another"), (2, "http://b/2", "another"), (2, "http://b/2", "another"), (8, "http://g/", "x" * 300_000), (9, "http://h/", "repeat"), (9, "http://h/", "repeat"), (None, "http://i/", "nobody"), (10, "http://j/", "nobody"),
 ]
 
 
@@ -53,7 +55,21 @@ def test_archives_are_warc_files(spark, pages):
         data = gzip.decompress(f["content"])
         assert data.startswith(b"WARC/1.1\r\nWARC-Type: ") and data.endswith(b"\r\n\r\n")
         assert 1 <= len(list(w.parse_archive(data))) <= 3
-    assert b"WARC-Profile" in b"".join(gzip.decompress(f["content"]) for f in files)
+    whole = b"".join(gzip.decompress(f["content"]) for f in files).decode()
+    ids = re.findall(r"WARC-Record-ID: (\S+)", whole)
+    assert len(ids) == len(set(ids)) == len(ROWS)
+    assert set(re.findall(r"WARC-Refers-To: (\S+)", whole)) < set(ids)
+    assert whole.count("WARC-Profile") == whole.count("WARC-Refers-To-Target-URI: http://") == whole.count("WARC-Refers-To-Date: 2") == sum(r[3] == "revisit" for r in expected(ROWS))
+    assert len(set(re.findall(r"WARC-Date: (\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ)\r", whole))) == 1
+
+
+def test_sql(spark, tmp_path):
+    """Against DuckDB, over repeated ids with the same and with other payloads."""
+    rows = [r for r in ROWS if r[0] is not None]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(con.execute(w.ORACLE).fetchall(), key=repr) == sorted(map(tuple, w.op10_warc_revisits(spark, str(tmp_path)).collect()), key=repr)
 
 
 def test_broken_archives_are_told():
