@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -23,6 +24,7 @@ def build_session(app: str = "concord", cores: str = "*", shuffle_partitions: in
         .config("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CONCORD_DRIVER_MEMORY", "8g"))
@@ -45,13 +47,15 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's checkpoint folder.
+    """The folder that driver and executors share: the session's checkpoint folder, or the one that spark.checkpoint.dir names.
 
-    Where the session names none (tests, notebooks) a temporary one is set.
-    """
+    Where there is neither, a session in one process (tests, notebooks) gets a temporary folder; on a cluster that would be lost with its machine, so it is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="concord-ckpt-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="concord-ckpt-"))
     return sc.getCheckpointDir()
 
 
@@ -60,8 +64,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Deletes tables below the shared folder that nothing reads any more."""
+    inside = shared_dir(spark).rstrip("/") + "/"
+    for path in paths:
+        if not path.startswith(inside):
+            raise ValueError(f"{path} is not below the shared folder")
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute df once and keep it in the shared folder, so that lost executors cost no recomputation."""
+    """Compute df once and keep it in the shared folder, so that lost executors cost no recomputation.
+
+    With spark.cleaner.referenceTracking.cleanCheckpoints Spark deletes it once nothing refers to it."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 

@@ -15,26 +15,33 @@ from concord.operators.notices import allowed, route
 from concord.operators.throttle import throttle_in_state
 
 
-def throttle_stream(events: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
+def throttle_stream(events: DataFrame, key: str, ts: str, seconds: int, watermark: str | None = None) -> DataFrame:
     """(key, ts) of the emitted events of a stream. State is one number a user: the last emitted time.
 
     Agrees with the batch form when a user's events arrive in the order of time; an event earlier than the last emitted one is
-    within the interval and so is not emitted. Where the stream has a watermark on ts, the state of a user goes once the watermark is past the
-    interval after the last emission: what comes later is emitted anyway, and what comes earlier is late and dropped by the watermark. Without one it stays."""
+    within the interval and so is not emitted. watermark says how late events may come: later ones are dropped, and a user's state goes once the
+    watermark is past the interval after the last emission, when whatever still comes is emitted anyway. Without one state stays for ever."""
     gap = seconds * 1_000_000
     kind = events.schema[key].dataType.simpleString()
-    rows = events.select(F.col(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("us")).where("us IS NOT NULL")
+    timed = events.select(F.col(key), F.col(ts).cast("timestamp").alias("at")).where("at IS NOT NULL")
+    rows = (timed.withWatermark("at", watermark) if watermark else timed).withColumn("us", F.unix_micros("at"))
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
         times = [int(t) for b in batches for t in b["us"]]
         last, out = throttle_in_state(last, times, gap)
         if last is not None:
             state.update((last,))
+            if watermark:
+                state.setTimeoutTimestamp((last + gap) // 1000 + 1)
         if out:
             yield pd.DataFrame({key: [group[0]] * len(out), "us": out})
 
-    emitted = rows.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, us long", "last long", "append", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.EventTimeTimeout if watermark else GroupStateTimeout.NoTimeout
+    emitted = rows.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, us long", "last long", "append", timeout)
     return emitted.select(key, F.timestamp_micros("us").alias(ts))
 
 

@@ -222,6 +222,9 @@ def test_streams(spark, tmp_path):
     streams.run_to_table(streams.throttle_stream(stream(), "u", "ts", 60), str(tmp_path / "out"), str(tmp_path / "ck"))
     got = {(r["u"], int(r["us"]) - start) for r in spark.read.parquet(str(tmp_path / "out")).select("u", (F.unix_micros("ts") / 1_000_000).alias("us")).collect()}
     assert got == {(1, 0), (1, 61), (1, 122), (2, 5), (2, 66)}
+    # With a watermark states time out, and the same events are emitted.
+    streams.run_to_table(streams.throttle_stream(stream(), "u", "ts", 60, "40 seconds"), str(tmp_path / "out2"), str(tmp_path / "ck3"))
+    assert {(r["u"], int(r["us"]) - start) for r in spark.read.parquet(str(tmp_path / "out2")).select("u", (F.unix_micros("ts") / 1_000_000).alias("us")).collect()} == got
     table = spark.createDataFrame([("users", "updated")], "entity_type string, event string")
     streams.write_routes(streams.route_stream(stream(), table), str(tmp_path / "routes"), str(tmp_path / "ck2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "routes")).where("route = 'update_user'").count() == 5
