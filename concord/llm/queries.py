@@ -25,10 +25,12 @@ QUERIES = {
     "op8_rule_ledger": op8_rule_ledger,
     "op9_credential_linking": op9_credential_linking,
     "op10_warc_revisits": op10_warc_revisits,
+    "rule_ablations": rule_ledger.rule_ablations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_url_trie": url_trie.ORACLE,
     "op8_rule_ledger": rule_ledger.ORACLE,
+    "rule_ablations": rule_ledger.ABLATIONS_ORACLE,
     "op10_warc_revisits": warc_revisit.ORACLE,
 }

@@ -9,7 +9,8 @@ Repeated windows: words are hashed (64 bits), five hashes in a row are hashed ag
 count as equal when those hashes agree. Only where a document has equal windows are its windows sorted to
 find their positions. All of it happens within a row, in arrays: no window is shuffled.
 
-Cases: a null or empty text has no words and fails `few_words`. Repeated rows give repeated rows. An empty table gives an
+Cases: a null or empty text has no words and fails `few_words`. A very long text is measured whole, in the arrays of its row. A measurement
+that ties with a rule's bound does not fail it. Repeated rows give repeated rows. An empty table gives an
 empty ledger. Columns of the input other than the id and the text are not carried by the ledger; `keep_by_policy` keeps
 them all, whatever their names. A null id is kept as it is.
 """
@@ -104,14 +105,15 @@ def passes(version: str, bits: Column | None = None) -> Column:
     return (F.col("failure_bits") if bits is None else bits).bitwiseAND(F.lit(policy_mask(version)).cast("long")) == 0
 
 
-def ablations(ledger: DataFrame, version: str = CURRENT) -> DataFrame:
-    """For each rule of a policy: documents that fail it, that fail only it (kept once it is dropped), and those the policy drops."""
-    mask = policy_mask(version)
-    seen = ledger.groupBy(F.col("failure_bits").bitwiseAND(F.lit(mask).cast("long")).alias("bits")).agg(F.count("*").alias("n"))
-    rules = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(BIT[name]).cast("long").alias("bit")) for name in POLICIES[version]]))
-    by_rule = seen.select("bits", "n", rules.alias("r"))
+def ablations(ledger: DataFrame, *versions: str) -> DataFrame:
+    """For each rule of the named policies (the current one by default): documents that fail it, that fail only it (kept once it is dropped), and
+    those the policy drops. The ledger is read once, whatever the number of policies."""
+    seen = ledger.groupBy("failure_bits").agg(F.count("*").alias("n"))
+    long = lambda n: F.lit(n).cast("long")
+    rules = [F.struct(F.lit(v).alias("policy"), F.lit(name).alias("rule"), long(BIT[name]).alias("bit"), long(policy_mask(v)).alias("mask")) for v in versions or (CURRENT,) for name in POLICIES[v]]
+    by_rule = seen.select("failure_bits", "n", F.explode(F.array(*rules)).alias("r")).withColumn("bits", F.col("failure_bits").bitwiseAND(F.col("r.mask")))
     count = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0)).cast("long")
-    return by_rule.groupBy(F.lit(version).alias("policy"), F.col("r.rule").alias("rule")).agg(
+    return by_rule.groupBy(F.col("r.policy").alias("policy"), F.col("r.rule").alias("rule")).agg(
         count(F.col("bits").bitwiseAND(F.col("r.bit")) != 0).alias("n_failed"),
         count(F.col("bits") == F.col("r.bit")).alias("n_failed_alone"),
         count(F.col("bits") != 0).alias("n_dropped"),
@@ -161,3 +163,15 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failure_bits & 3 <> 0 AS base_failed, failure_bits = 0 AS kept, failure_bits FROM f
 """
+
+
+def rule_ablations(spark, sf_dir: str) -> DataFrame:
+    """What each rule of each version of the policy is worth, over all documents."""
+    return ablations(build_ledger(spark.read.parquet(f"{sf_dir}/documents.parquet")), *POLICIES)
+
+
+ABLATIONS_ORACLE = f"""
+WITH l AS ({ORACLE}), p(policy, rule, bit, mask) AS (VALUES {", ".join(f"('{v}', '{name}', {BIT[name]}, {policy_mask(v)})" for v, names in POLICIES.items() for name in names)})
+SELECT policy, rule, count(*) FILTER (failure_bits & bit <> 0) AS n_failed, count(*) FILTER (failure_bits & mask = bit) AS n_failed_alone, count(*) FILTER (failure_bits & mask <> 0) AS n_dropped
+FROM l, p GROUP BY policy, rule
+"""

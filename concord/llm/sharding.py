@@ -11,8 +11,8 @@ the shards left, which changes no maximum.
 Slots number the rows of a shard without gaps. They come from row numbers in small hash chunks
 of a shard plus the chunk's offset, so no task ever holds a whole shard.
 
-Cases: a null text has 0 bytes, checksum 0 and the empty text's group. Repeated rows each get
-their own slot. An empty table gives an empty result. Columns of the input other than the id
+Cases: a very long text is a size like any other. Bins of equal size keep their order. A null text has 0 bytes, checksum 0 and the empty text's group. Repeated rows each get
+their own slot, in any order among themselves. An empty table gives an empty result. Columns of the input other than the id
 and the text are ignored, whatever their names. A null id is a value like any other.
 """
 

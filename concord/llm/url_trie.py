@@ -9,7 +9,7 @@ An entry fits its host and all subdomains when the url's path starts with the en
 part of an entry's path may end inside a segment (`/en` fits `/english`, `/en/` does not fit `/en`).
 
 Cases: a null url, or one without `://`, has an empty host and path, fits no entry and gets the default verdict. Repeated
-rows are judged alike. An empty table gives an empty result. Columns other than the id and the url are ignored. An entry
+rows are judged alike. A very long url is walked as deep as the trie goes. Of entries that fit, none tie: the longest host and then the longest path decide. An empty table gives an empty result. Columns other than the id and the url are ignored. An entry
 given twice must have one verdict.
 """
 

@@ -56,6 +56,14 @@ def test_policies_and_ablations(spark):
     assert set(r.POLICIES["v1"]) <= set(r.POLICIES["v2"]) <= set(r.POLICIES["v3"])
 
 
+def test_ablations_match_sql(spark, sf_dir):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    found = r.rule_ablations(spark, sf_dir)
+    wanted = con.execute(f"SELECT {', '.join(found.columns)} FROM ({r.ABLATIONS_ORACLE})").fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(wanted) and len(wanted) == 12 and any(n for *_, n, _, _ in wanted)
+
+
 @pytest.mark.parametrize("version", ["v1", "v3"])
 def test_odd_documents(odd_documents, no_documents, version):
     kept = r.keep_by_policy(odd_documents, version)

@@ -51,3 +51,10 @@ def test_bounds_and_contradictions(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert u.judge_urls(empty, u.RULES).collect() == []
     assert u.UrlTrie([]).judge("a.b", "/") is None
+
+
+def test_very_long_urls(spark):
+    """A host of many labels and a path of many segments, at the rule's depth and below."""
+    urls = ["https://" + "a." * 20_000 + "net/" + "x/" * 20_000, "https://" + "a." * 20_000 + "example.net/en/" + "x/" * 20_000, "https://net/" + "x" * 300_000]
+    rows = u.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), u.RULES).orderBy("page_id").collect()
+    assert [(r["rule"], r["verdict"]) for r in rows] == [("net/", "block"), ("example.net/en/", "allow"), ("net/", "block")]
