@@ -1,8 +1,9 @@
 """Cost-balanced packing of token sequences (operator 4).
 
 Tokens. Python workers encode whole texts with the named tokenizer and add the end id. White space never joins
-tokens in this vocabulary, so a text is split at ASCII blanks and the library encodes each distinct piece
-once a worker, kept in a dictionary of bounded size. A document longer than a sequence is cut
+tokens in this vocabulary, so a slab of texts is split at ASCII blanks and reduced to its distinct pieces. The library encodes
+those not seen before, many in one call, and a dictionary of bounded size keeps them; the ids of the slab are then gathered
+in one flat array. A document longer than a sequence is cut
 into full sequences from its start; what is left (its tail) is packed with other tails. Only lengths
 and checksums leave the worker: a tail carries a checksum for each `grain` tokens, from which the checksum of
 any cut at a multiple of `grain` follows, so the ids are never shuffled.
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,13 +38,18 @@ from concord.session import cut_lineage
 CAPACITY = 2048
 END_ID = 1
 GRAIN = 32
+#: A character that is a word of its own; pieces are encoded together with it between them, JOINED of them at a time.
+MARK = "\x01"
+JOINED = 200
+#: Bytes of text (or one longer text) that a worker encodes at a time.
+SLAB = 1 << 22
 #: Cost of a document of n tokens: n * LINEAR + n * n * QUADRATIC (feed-forward and attention work in the same unit).
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, grains array<long>"
 
 
 class PieceEncoder:
-    """Ids (as little-endian 32-bit bytes) of blank-separated pieces, remembered for up to `most` pieces."""
+    """Ids of whole texts by way of their blank-separated pieces, remembered for up to `most` pieces (as little-endian 32-bit bytes)."""
 
     def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
@@ -51,18 +58,41 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.most, self.known = most, {}
-
-    def encode(self, text: str) -> bytes:
-        pieces = text.encode("utf-8", "surrogatepass").split()
+        self.most, self.known = most, {"": b""}
+        self.mark = self._library([MARK])[0]
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encodes new pieces, many in one call: a mark stands between them, and the ids are cut where its id is."""
+        plain = [p for p in pieces if MARK not in p] if len(self.mark) == 1 else []
+        alone = [p for p in pieces if MARK in p] if len(self.mark) == 1 else pieces
+        together = [plain[k : k + JOINED] for k in range(0, len(plain), JOINED)]
+        for own, ids in zip(together, self._library([f" {MARK} ".join(own) for own in together]), strict=True):
+            ends = np.flatnonzero(ids == self.mark[0]).tolist()
+            data, starts = ids.tobytes(), [0, *[e + 1 for e in ends]]
+            self.known.update((p, data[4 * s : 4 * e]) for p, s, e in zip(own, starts, [*ends, len(ids)], strict=True))
+        self.known.update((p, ids.tobytes()) for p, ids in zip(alone, self._library(alone), strict=True))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one flat array, and how many each text has. texts has no nulls."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
         if len(self.known) > self.most:
-            self.known.clear()
+            self.known = {"": b""}
+        self._learn([p for p in pieces if p not in self.known])
         known = self.known
-        missing = [*set(pieces).difference(known)]
-        if missing:
-            found = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in missing], add_special_tokens=False)
-            known.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(missing, found, strict=True))
-        return b"".join([known[p] for p in pieces])
+        found = [known[p] for p in pieces]
+        of_piece = np.fromiter((len(f) >> 2 for f in found), dtype=np.int64, count=len(found))
+        ids, code = np.frombuffer(b"".join(found), dtype="<u4"), coded.indices.to_numpy()
+        length = of_piece[code]
+        upto = np.concatenate([[0], np.cumsum(length)])
+        # Each place of the output takes the id that is as far from its piece's start.
+        shift = (np.cumsum(of_piece) - of_piece)[code] - upto[:-1]
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        return ids[np.arange(upto[-1]) + np.repeat(shift, length)], np.diff(upto[ends])
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -74,6 +104,15 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
+def slabs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes add up to `most` at most, or that are one row."""
+    upto, first = np.cumsum(sizes), 0
+    while first < len(sizes):
+        end = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + most, side="right")))
+        yield first, end
+        first = end
+
+
 def pieces_of(ids: bytes, capacity: int, grain: int) -> list[tuple[int, int, int, int, list[int] | None]]:
     """start, length, checksum, tokens of the document, and for a tail the checksums of its grains."""
     n, out = len(ids) // 4, []
@@ -85,19 +124,21 @@ def pieces_of(ids: bytes, capacity: int, grain: int) -> list[tuple[int, int, int
 
 
 def tokenize_and_cut(docs: DataFrame, tokenizer_path: str, capacity: int, grain: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    end = np.array([end_id], dtype="<u4").tobytes()
+    def cut(texts: pa.Array, first: int) -> tuple[list[int], list[tuple]]:
+        ids, counts = encoder(tokenizer_path).encode(texts)
+        ends = np.cumsum(counts)
+        data, at = np.insert(ids, ends, end_id).astype("<u4", copy=False).tobytes(), [0, *(ends + np.arange(1, len(ends) + 1)).tolist()]
+        found = [pieces_of(data[4 * s : 4 * e], capacity, grain) for s, e in zip(at[:-1], at[1:], strict=True)]
+        return [first + k for k, own in enumerate(found) for _ in own], [r for own in found for r in own]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(tokenizer_path)
         for b in batches:
-            owners, rows = [], []
-            for k, text in enumerate(b.column(1)):
-                found = pieces_of(known.encode(text.as_py() or "") + end, capacity, grain)
-                owners += [k] * len(found)
-                rows += found
-            columns = [pa.array([r[i] for r in rows], type=pa.int64()) for i in range(4)]
-            columns.append(pa.array([r[4] for r in rows], type=pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owners, type=pa.int64())), *columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grains"])
+            texts = pc.fill_null(b.column(1), "")
+            for first, end in slabs(pc.binary_length(texts).to_numpy(), SLAB):
+                owners, rows = cut(texts.slice(first, end - first), first)
+                columns = [pa.array([r[i] for r in rows], type=pa.int64()) for i in range(4)]
+                columns.append(pa.array([r[4] for r in rows], type=pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owners, type=pa.int64())), *columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grains"])
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, {PIECES}")

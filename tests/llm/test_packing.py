@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,6 +14,7 @@ from tokenizers import Tokenizer
 from concord.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+PIECES, LIBRARY = packing.PieceEncoder(PATH, most=50), Tokenizer.from_file(PATH)
 
 
 @pytest.fixture(scope="module")
@@ -30,14 +32,24 @@ def ids_of(tokenizer, text):
 @pytest.mark.parametrize("text", ["", " ", "Hello, World!  it's\tfine\n", "<|endoftext|> and<|startoftext|>x", "É é é ́a ΑΣ Σας", "a\x1cb \x1d c d", "日本語 テキスト 123 4", "don't've'll"])
 def test_piecewise_encoding_is_the_librarys(tokenizer, text):
     known = packing.PieceEncoder(PATH)
-    assert known.encode(text) == ids_of(tokenizer, text)[:-1].tobytes()
+    ids, counts = known.encode(pa.array([text, "", text + " \x01x", text]))
+    wanted = [ids_of(tokenizer, t)[:-1] for t in (text, "", text + " \x01x", text)]
+    assert ids.tolist() == np.concatenate(wanted).tolist() and counts.tolist() == [*map(len, wanted)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\t\x01\x0b\x1cAbé\u0301Σ's19.,<|>\u3000\u2003日\u200d"), max_size=30), max_size=5))
+def test_any_texts(texts):
+    ids, counts = PIECES.encode(pa.array(texts, type=pa.string()))
+    wanted = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(wanted, []) and counts.tolist() == [*map(len, wanted)]
 
 
 def test_dictionary_stays_bounded(tokenizer):
     known = packing.PieceEncoder(PATH, most=5)
     for k in range(40):
         text = " ".join(f"word{k}x{i}" for i in range(4))
-        assert known.encode(text) == ids_of(tokenizer, text)[:-1].tobytes()
+        assert known.encode(pa.array([text]))[0].tolist() == ids_of(tokenizer, text)[:-1].tolist()
         assert len(known.known) <= 10
 
 
