@@ -22,7 +22,9 @@ sequence.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -43,48 +45,99 @@ MARK = "\x01"
 JOINED = 200
 #: Bytes of text (or one longer text) that a worker encodes at a time.
 SLAB = 1 << 22
+#: The steps by which the vocabulary makes words of a text, and what ends a word's last token.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+WORD_END = "</w>"
+#: WORDS for printable ASCII in lower case.
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: Cost of a document of n tokens: n * LINEAR + n * n * QUADRATIC (feed-forward and attention work in the same unit).
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, grains array<long>"
 
 
+def joined(values: pa.Array) -> str:
+    """All values with line ends between them."""
+    return pc.binary_join(pa.LargeListArray.from_arrays([0, len(values)], values), "\n")[0].as_py()
+
+
 class PieceEncoder:
-    """Ids of whole texts by way of their blank-separated pieces, remembered for up to `most` pieces (as little-endian 32-bit bytes)."""
+    """Ids of whole texts by way of their blank-separated pieces (as little-endian 32-bit bytes).
 
-    def __init__(self, path: str, most: int = 600_000):
+    Pieces that come again in a later slab are kept apart from those seen in one slab only; each kind is forgotten when a slab begins and it exceeds `most`.
+    ASCII pieces are taken apart into words here, where the vocabulary's own steps are the ones stated above, and the words are given to
+    its merges alone; all others go through the library as they are."""
+
+    def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.most, self.known = most, {"": b""}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.most, self.often, self.once, self.words = most, {}, {}, {}
         self.mark = self._library([MARK])[0]
-
-    def _library(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
+        self.merges = None
+        if (spec["normalizer"], spec["pre_tokenizer"], spec["model"].get("end_of_word_suffix")) == (NORMALIZER, PRE_TOKENIZER, WORD_END) and not spec["model"].get("dropout"):
+            self.merges = Tokenizer(self.tokenizer.model)
+            self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+
+    def _library(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encodes new pieces, many in one call: a mark stands between them, and the ids are cut where its id is."""
-        plain = [p for p in pieces if MARK not in p] if len(self.mark) == 1 else []
-        alone = [p for p in pieces if MARK in p] if len(self.mark) == 1 else pieces
+        simple = [p for p in pieces if p.isascii() and p.isprintable() and not self.special.search(p)] if self.merges else []
+        self._learn_simple(simple)
+        self._learn_any([*set(pieces).difference(simple)])
+
+    def _learn_simple(self, pieces: list[str]) -> None:
+        """ASCII pieces, by their words: the ids of many words in one call are cut where a word ends."""
+        split = [ASCII_WORDS.findall(p.lower()) for p in pieces]
+        new = [*{w for ws in split for w in ws}.difference(self.words)]
+        together = [new[k : k + JOINED] for k in range(0, len(new), JOINED)]
+        for own, ids in zip(together, self._library([" ".join(own) for own in together], self.merges), strict=True):
+            ends, data = (np.flatnonzero(self.ends[ids]) + 1).tolist(), ids.tobytes()
+            self.words.update((w, data[4 * a : 4 * b]) for w, a, b in zip(own, [0, *ends[:-1]], ends, strict=True))
+        words = self.words
+        self.once.update((p, b"".join([words[w] for w in ws])) for p, ws in zip(pieces, split, strict=True))
+
+    def _learn_any(self, pieces: list[str]) -> None:
+        """Other pieces: a mark stands between many of one call, and the ids are cut where its id is."""
+        alone = [p for p in pieces if MARK in p or not p or len(self.mark) != 1]
+        plain = [*set(pieces).difference(alone)]
         together = [plain[k : k + JOINED] for k in range(0, len(plain), JOINED)]
         for own, ids in zip(together, self._library([f" {MARK} ".join(own) for own in together]), strict=True):
             ends = np.flatnonzero(ids == self.mark[0]).tolist()
             data, starts = ids.tobytes(), [0, *[e + 1 for e in ends]]
-            self.known.update((p, data[4 * s : 4 * e]) for p, s, e in zip(own, starts, [*ends, len(ids)], strict=True))
-        self.known.update((p, ids.tobytes()) for p, ids in zip(alone, self._library(alone), strict=True))
+            self.once.update((p, data[4 * s : 4 * e]) for p, s, e in zip(own, starts, [*ends, len(ids)], strict=True))
+        self.once.update((p, ids.tobytes()) for p, ids in zip(alone, self._library(alone), strict=True))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one flat array, and how many each text has. texts has no nulls."""
+        if not len(texts):
+            return np.empty(0, dtype="<u4"), np.empty(0, dtype=np.int64)
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        if len(self.known) > self.most:
-            self.known = {"": b""}
-        self._learn([p for p in pieces if p not in self.known])
-        known = self.known
-        found = [known[p] for p in pieces]
+        pieces = joined(coded.dictionary).split("\n")  # quicker than one conversion each; no piece has a line end
+        self.once, self.often, self.words = (d if len(d) <= self.most else {} for d in (self.once, self.often, self.words))
+        unsure = [p for p in pieces if p not in self.often]
+        self.often.update((p, self.once[p]) for p in unsure if p in self.once)
+        self._learn([p for p in unsure if p not in self.often])
+        often, once = self.often, self.once
+        found = [often[p] if p in often else once[p] for p in pieces]
         of_piece = np.fromiter((len(f) >> 2 for f in found), dtype=np.int64, count=len(found))
         ids, code = np.frombuffer(b"".join(found), dtype="<u4"), coded.indices.to_numpy()
         length = of_piece[code]

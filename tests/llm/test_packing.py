@@ -38,7 +38,7 @@ def test_piecewise_encoding_is_the_librarys(tokenizer, text):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(st.sampled_from(" \n\t\x01\x0b\x1cAbé\u0301Σ's19.,<|>\u3000\u2003日\u200d"), max_size=30), max_size=5))
+@given(st.lists(st.text(st.sampled_from(" \n\t<|endoftext|>\x01\x0b\x1cAbé\u0301Σ's19.,<|>\u3000\u2003日\u200d"), max_size=30), max_size=5))
 def test_any_texts(texts):
     ids, counts = PIECES.encode(pa.array(texts, type=pa.string()))
     wanted = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
@@ -50,7 +50,11 @@ def test_dictionary_stays_bounded(tokenizer):
     for k in range(40):
         text = " ".join(f"word{k}x{i}" for i in range(4))
         assert known.encode(pa.array([text]))[0].tolist() == ids_of(tokenizer, text)[:-1].tolist()
-        assert len(known.known) <= 10
+        assert len(known.once) <= 10 and len(known.often) <= 10 and len(known.words) <= 20
+
+
+def test_the_vocabulary_has_the_steps_stated():
+    assert PIECES.merges is not None
 
 
 def test_join_checksums():
