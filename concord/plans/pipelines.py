@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from concord.config import Config
 from concord.functions import codec
-from concord.functions.names import number_range, strip_provider
+from concord.functions.names import number_range
 from concord.functions.times import is_expired
-from concord.functions.values import filled, or_else
+from concord.functions.values import or_else
 from concord.operators import apply, delta, groups, notices, overlay, report, resolve
 from concord.session import cut_lineage
 from concord.sources import schemas, snapshots
@@ -252,8 +252,3 @@ def batch_update(items: DataFrame, users: DataFrame, user_roles: DataFrame, iden
     sync = sync_users(users, user_roles, targets.where("user_id IS NOT NULL").select("user_id").distinct(), profiles, config)
     met = targets.join(sync.outcomes, "user_id", "left")
     return sync, met.select("id", "matched_source", "user_id", F.coalesce("bucket", F.lit("not_found_local")).alias("bucket"))
-
-
-def login_names(users: DataFrame, config: Config) -> DataFrame:
-    """users with the bare remote name of a prefixed user name."""
-    return users.withColumn("remote_name", F.when(filled(F.col("username")), strip_provider(F.col("username"), config.provider)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from concord.operators import apply
 from concord.plans.entry import register
-from concord.session import table
+from concord.session import shared_path, table
 from concord.sources import snapshots
 
 KEYS = '"first_name": null, "last_name": "x", "institutional_affiliation": ""'
@@ -48,6 +48,18 @@ def snapshot_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.with_fallback(by_subject, by_member, "event_id").select("event_id", "profile.username", "status")
 
 
+@register(
+    "snapshot_files",
+    "SELECT event_id, CASE event_type WHEN 'click' THEN 'ok' WHEN 'view' THEN 'ok' WHEN 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'timeout' ELSE 'not_found' END ELSE 'parse_error' END AS status FROM events",
+)
+def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Member answers that a fetcher left as files of JSON lines."""
+    path = shared_path(spark, "responses")
+    _responses(spark, sf_dir).write.json(path)
+    found = snapshots.profiles_by_member(snapshots.read_responses(spark, path, "event_id"), "event_id")
+    return found.select(F.col("event_id").cast("bigint").alias("event_id"), "status")
+
+
 @register("logout_answers", "SELECT event_id, event_type = 'click' AND event_id % 2 = 0 AS accepted FROM events")
 def logout_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_type")

@@ -6,6 +6,7 @@ It comes from files that a fetcher left (`read_responses`) or from a service dir
 from __future__ import annotations
 
 import json
+import urllib.parse
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,33 +22,48 @@ def read_responses(spark: SparkSession, path: str, key: str) -> DataFrame:
     return spark.read.schema(f"{key} string, body string, failure string").json(path)
 
 
+def _ask(url: str, token: str | None, timeout: float, data: bytes | None = None) -> tuple[int | None, str | None, str | None]:
+    """Status code, body and kind of failure of one request; a POST where there is data."""
+    import urllib.error
+    import urllib.request
+
+    headers = ({"Authorization": f"Bearer {token}"} if token else {}) | ({"Content-Type": "application/json"} if data is not None else {})
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, data=data, headers=headers), timeout=timeout) as answer:
+            return answer.status, answer.read().decode(), None
+    except TimeoutError:
+        return None, None, "timeout"
+    except (urllib.error.URLError, OSError) as e:
+        code = getattr(e, "code", None)
+        return code, None, "not_found" if code == 404 else "timeout" if isinstance(getattr(e, "reason", None), TimeoutError) else "request_error"
+
+
 def fetch(requests: DataFrame, key: str, base_url: str, token: str | None = None, timeout: float = 5.0) -> DataFrame:
     """Responses of GET base_url + key for each row of requests; a failed request is a row with its kind of failure."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import urllib.error
-        import urllib.parse
-        import urllib.request
-
         for b in batches:
-            bodies, failures = [], []
-            for k in b.column(0).to_pylist():
-                request = urllib.request.Request(base_url + urllib.parse.quote(str(k)), headers={"Authorization": f"Bearer {token}"} if token else {})
-                body = failure = None
-                try:
-                    with urllib.request.urlopen(request, timeout=timeout) as answer:
-                        body = answer.read().decode()
-                except TimeoutError:
-                    failure = "timeout"
-                except (urllib.error.URLError, OSError) as e:
-                    failure = "not_found" if getattr(e, "code", 0) == 404 else "timeout" if isinstance(getattr(e, "reason", None), TimeoutError) else "request_error"
-                bodies.append(body)
-                failures.append(failure)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), pa.array(bodies, type=pa.string()), pa.array(failures, type=pa.string())], names=[key, "body", "failure"])
+            asked = [_ask(base_url + urllib.parse.quote(str(k)), token, timeout) for k in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), *(pa.array([a[i] for a in asked], type=pa.string()) for i in (1, 2))], names=[key, "body", "failure"])
 
     return requests.select(key).mapInArrow(run, f"{key} string, body string, failure string")
 
 
+def send_logouts(notices: DataFrame, url: str, token: str | None = None, timeout: float = 15.0) -> DataFrame:
+    """POSTs a logout notice for each row (user_name, user_agent); user_name, code, failure and whether the service took it.
+
+    Sending is a side effect: a task that is run again sends again, and a notice may be taken twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            asked = [_ask(url, token, timeout, json.dumps({"user_name": u, "user_agent": a}).encode()) for u, a in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            columns = [pa.array([a[i] for a in asked], type=t) for i, t in ((0, pa.int32()), (1, pa.string()), (2, pa.string()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["user_name", "code", "body", "failure"])
+
+    sent = notices.select("user_name", "user_agent").mapInArrow(run, "user_name string, code int, body string, failure string")
+    return sent.select("user_name", "code", "failure", logout_accepted(F.col("code"), F.col("body"), F.col("user_name")).alias("accepted"))
+
+
 def request_kind(sub_id: str | None, member_name: str | None) -> str:
     """By which of two arguments a profile is asked for; exactly one must be given."""
     if (sub_id is None) == (member_name is None):
@@ -121,7 +137,3 @@ def logout_accepted(code: Column, body: Column, user_name: Column) -> Column:
     echo = F.get_json_object(body, "$.data.user") == user_name
     said = F.lower(F.get_json_object(body, "$.message")).contains("successful")
     return F.coalesce(code.between(200, 299) & echo & said, F.lit(False))
-
-
-def encode_notice(user_name: str, user_agent: str) -> str:
-    return json.dumps({"user_name": user_name, "user_agent": user_agent})

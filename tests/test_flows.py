@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import http.server
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +53,35 @@ class TestSnapshots:
         out = snapshots.fetch(spark.createDataFrame([(1,)], "user_id long"), "user_id", "http://127.0.0.1:9/", timeout=0.5)
         assert [(r[0], r[1], r[2] is not None) for r in out.collect()] == [("1", None, True)]
 
+    def test_live_service(self, spark):
+        """Fetching and logout notices against a service of this process."""
+
+        class Service(http.server.BaseHTTPRequestHandler):
+            def answer(self, code, body):
+                self.send_response(code)
+                self.end_headers()
+                self.wfile.write(json.dumps(body).encode())
+
+            def do_GET(self):
+                self.answer(200 if self.path == "/a%20b" else 404, {"seen": self.headers["Authorization"]})
+
+            def do_POST(self):
+                notice = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+                code = 500 if notice["user_name"] == "bad" else 200
+                self.answer(code, {"data": {"user": notice["user_name"] if notice["user_agent"] == "x" else "another"}, "message": "Successful"})
+
+            def log_message(self, *_):
+                pass
+
+        with http.server.ThreadingHTTPServer(("127.0.0.1", 0), Service) as service:
+            threading.Thread(target=service.serve_forever, daemon=True).start()
+            url = f"http://127.0.0.1:{service.server_address[1]}/"
+            got = snapshots.fetch(spark.createDataFrame([("a b",), ("c",)], "k string"), "k", url, token="t")
+            assert rows(got) == [("a b", '{"seen": "Bearer t"}', None), ("c", None, "not_found")]
+            sent = snapshots.send_logouts(spark.createDataFrame([("ann", "x"), ("bob", "y"), ("bad", "x")], "user_name string, user_agent string"), url)
+            assert rows(sent) == [("ann", 200, None, True), ("bad", 500, "request_error", False), ("bob", 200, None, False)]
+            service.shutdown()
+
     def test_logout_answer(self, spark):
         df = spark.createDataFrame([(200, '{"data": {"user": "u"}, "message": "Successful!"}'), (200, '{"data": {"user": "v"}, "message": "successful"}'), (500, '{"data": {"user": "u"}, "message": "successful"}'), (200, None)], "code int, body string")
         assert [r[0] for r in df.select(snapshots.logout_accepted(F.col("code"), F.col("body"), F.lit("u"))).collect()] == [True, False, False, False]
