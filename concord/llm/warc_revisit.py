@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.session import cut_lineage, shared_path
+from concord.session import cut_lineage, discard, shared_path
 
 CRLF = "\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
@@ -143,12 +143,17 @@ def resolve_revisits(parsed: DataFrame) -> DataFrame:
     return met.select("page_id", F.coalesce("payload_bytes", "bytes").alias("payload_bytes"), checked.alias("payload_digest"), "record_type", F.col("original").alias("refers_to"))
 
 
-def archive_and_resolve(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Writes the archives of pages into the shared folder and returns what they say when read back."""
-    path = shared_path(pages.sparkSession, "warc")
-    write_archives(plan_records(pages, least_bytes, id_col, url_col, html_col), path)
+def archive_and_resolve(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", path: str | None = None) -> DataFrame:
+    """Writes the archives of pages and returns what they say when read back. They stay in the folder `path`; without one they are in
+    the shared folder and go once they were read."""
+    spark = pages.sparkSession
+    where = path or shared_path(spark, "warc")
+    write_archives(plan_records(pages, least_bytes, id_col, url_col, html_col), where)
     kind = pages.schema[id_col].dataType
-    found = resolve_revisits(cut_lineage(read_archives(pages.sparkSession, path)))  # headers and digests only: archives are read once
+    parsed = cut_lineage(read_archives(spark, where))  # headers and digests only: archives are read once
+    if path is None:
+        discard(spark, where)
+    found = resolve_revisits(parsed)
     whole = lambda c: F.when(F.col(c) != "", F.col(c)).cast(kind).alias(c)
     return found.select(whole("page_id"), "payload_bytes", "payload_digest", "record_type", whole("refers_to"))
 
