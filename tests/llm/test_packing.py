@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 
@@ -83,6 +84,62 @@ def test_group_packing(lengths):
     assert len(used) * 64 <= sum(lengths) + 64 + 4 * len(placed)
 
 
+def plain_packing(lengths, capacity, grain, cost):
+    """The rule of pack_group with lists: descending documents, each to the cheapest sequence with room, then what is left over the rooms."""
+    rooms, costs = [capacity] * -(-sum(lengths) // capacity), [0.0] * -(-sum(lengths) // capacity)
+    out = []
+
+    def put(row, start, length, k):
+        out.append((row, start, length, k, capacity - rooms[k]))
+        rooms[k] -= length
+        costs[k] += cost(length)
+
+    late = []
+    for row in sorted(range(len(lengths)), key=lambda r: (-lengths[r], r)):
+        fits = [k for k in range(len(rooms)) if rooms[k] >= lengths[row]]
+        put(row, 0, lengths[row], min(fits, key=lambda k: (costs[k], k))) if fits else late.append(row)
+    for row in late:
+        start = 0
+        while start < lengths[row]:
+            left = lengths[row] - start
+            fits = [k for k in range(len(rooms)) if rooms[k] >= min(grain, left)]
+            if not fits:
+                fits = [len(rooms)]
+                rooms.append(capacity)
+                costs.append(0.0)
+            k = min(fits, key=lambda k: (costs[k], k))
+            length = left if rooms[k] >= left else rooms[k] - rooms[k] % grain
+            put(row, start, length, k)
+            start += length
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 63), min_size=1, max_size=40), st.sampled_from([1, 4, 16]))
+def test_group_packing_by_plain_lists(lengths, grain):
+    assert packing.pack_group(np.array(lengths), 64, grain, 1.0, 0.25) == plain_packing(lengths, 64, grain, lambda n: n + 0.25 * n * n)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(8, 63), min_size=2, max_size=7))
+def test_costs_against_every_placement(lengths):
+    """Where no document is cut, the dearest sequence costs at most half more than in the best of all placements."""
+    cost = lambda n: n + 0.25 * n * n
+    placed = packing.pack_group(np.array(lengths), 64, 4, 1.0, 0.25)
+    n = -(-sum(lengths) // 64)
+    if len(placed) > len(lengths) or max(p[3] for p in placed) >= n:
+        return
+    best = float("inf")
+    for choice in itertools.product(range(n), repeat=len(lengths)):
+        loads = [sum(length for length, c in zip(lengths, choice, strict=True) if c == k) for k in range(n)]
+        if max(loads) <= 64:
+            best = min(best, max(sum(cost(length) for length, c in zip(lengths, choice, strict=True) if c == k) for k in range(n)))
+    found = {}
+    for _, _, length, k, _ in placed:
+        found[k] = found.get(k, 0) + cost(length)
+    assert max(found.values()) <= 1.5 * best
+
+
 def check(rows, texts, tokenizer):
     ids = {i: ids_of(tokenizer, t) for i, t in texts.items()}
     covered, sequences = {}, {}
