@@ -162,8 +162,8 @@ def group_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.sync_groups(docs, metadata, "1-URGENT")[0].select("id", "group_id", "group_name", "website")
 
 
-@register("cli_targets", "SELECT p_partkey % 300 AS n, CASE WHEN s_suppkey IS NOT NULL THEN 'broker' END AS matched_source, s_suppkey AS user_id FROM (SELECT DISTINCT p_partkey % 300 AS p_partkey FROM part) LEFT JOIN supplier ON s_suppkey = p_partkey")
+@register("cli_targets", "SELECT p_partkey AS n, CASE WHEN s_suppkey IS NOT NULL THEN 'broker' END AS matched_source, s_suppkey AS user_id FROM part LEFT JOIN supplier ON s_suppkey = p_partkey")
 def cli_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = table(spark, sf_dir, "part").select((F.col("p_partkey") % 300).cast("string").alias("id")).distinct()
-    found = pipelines.batch_update_targets(ids, _users(spark, sf_dir)[1], ["broker", "market"])
+    """Every part number is an id on the command line."""
+    found = pipelines.batch_update_targets(table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id")), _users(spark, sf_dir)[1], ["broker", "market"])
     return found.select(F.col("id").cast("bigint").alias("n"), "matched_source", "user_id")

@@ -86,9 +86,11 @@ def role_find_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply.find_or_create_roles(_roles(spark, sf_dir), table(spark, sf_dir, "part").select(F.col("p_type").alias("id"))).select("id")
 
 
-@register("role_delete", "SELECT DISTINCT p_brand AS id FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size > 45)")
+@register("role_delete", "SELECT DISTINCT p_brand || ' ' || p_size AS id FROM part WHERE p_size <= 45")
 def role_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply.delete_roles(_roles(spark, sf_dir), table(spark, sf_dir, "part").where("p_size > 45").select(F.col("p_brand").alias("id")))[0].select("id")
+    """Brands by size are roles; those of large sizes go."""
+    roles = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_brand", F.col("p_size").cast("string")).alias("id"), "p_size").distinct()
+    return apply.delete_roles(roles.drop("p_size"), roles.where("p_size > 45").select("id"))[0]
 
 
 @register(

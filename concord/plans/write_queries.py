@@ -59,13 +59,6 @@ def sparse_diff_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.sparse_diff(orders.where(~late).groupBy("id").agg(used(F.lit(True))), orders.groupBy("id").agg(used(late)), "id")
 
 
-@register("role_delete_sizes", "SELECT DISTINCT p_brand || ' ' || p_size AS id FROM part WHERE p_size <= 45")
-def role_delete_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brands by size are roles; those of large sizes go."""
-    roles = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_brand", F.col("p_size").cast("string")).alias("id"), "p_size").distinct()
-    return apply.delete_roles(roles.drop("p_size"), roles.where("p_size > 45").select("id"))[0]
-
-
 @register(
     "create_users",
     """WITH q AS (SELECT DISTINCT user_id, 'mail' || user_id || '@x' AS email FROM events WHERE user_id % 5 <> 0), n AS (SELECT * FROM q WHERE user_id NOT IN (SELECT s_suppkey FROM supplier))
@@ -126,16 +119,16 @@ def group_sync_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "associate",
-    """WITH q AS (SELECT 'sub-' || (c_custkey + c_custkey % 2) AS id, CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS user_id FROM customer), w AS (SELECT id, min(user_id) AS winner FROM q WHERE user_id > 0 GROUP BY id)
-    SELECT q.id, user_id, CASE WHEN user_id <= 0 OR coalesce(s_suppkey, winner) <> user_id THEN 'error' ELSE 'associated' END AS status,
+    """WITH q AS (SELECT 'sub-' || (c_custkey + c_custkey % 2) AS id, CASE WHEN c_custkey % 3 = 0 THEN -1 - c_custkey ELSE c_custkey END AS user_id FROM customer), w AS (SELECT id, min(user_id) AS winner FROM q WHERE user_id >= 0 GROUP BY id)
+    SELECT q.id, user_id, CASE WHEN user_id < 0 OR coalesce(s_suppkey, winner) <> user_id THEN 'error' ELSE 'associated' END AS status,
       CASE WHEN user_id < 0 THEN 'user not found' WHEN coalesce(s_suppkey, winner) <> user_id THEN 'identity of another user' END AS reason
-    FROM q LEFT JOIN w ON w.id = q.id LEFT JOIN supplier ON 'sub-' || s_suppkey = q.id WHERE user_id <> 0""",
+    FROM q LEFT JOIN w ON w.id = q.id LEFT JOIN supplier ON 'sub-' || s_suppkey = q.id""",
 )
 def associate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers ask for their own subject or their neighbour's; every third is not known here."""
     users, roles, _, profiles = flow_queries.sync_inputs(spark, sf_dir)
     c = F.col("c_custkey")
-    requests = table(spark, sf_dir, "customer").select(F.lit("broker").alias("method"), F.concat(F.lit("sub-"), (c + c % 2).cast("string")).alias("id"), F.when(c % 3 == 0, -c).otherwise(c).alias("user_id")).where("user_id <> 0")
+    requests = table(spark, sf_dir, "customer").select(F.lit("broker").alias("method"), F.concat(F.lit("sub-"), (c + c % 2).cast("string")).alias("id"), F.when(c % 3 == 0, -1 - c).otherwise(c).alias("user_id"))
     return pipelines.associate_users(requests, users, roles, flow_queries._users(spark, sf_dir)[1], profiles, CONFIG).status.select("id", "user_id", "status", "reason")
 
 
@@ -172,12 +165,6 @@ def cli_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.select(F.col("id").cast("bigint").alias("n"), "bucket")
 
 
-@register("cli_targets_all", "SELECT p_partkey AS n, CASE WHEN s_suppkey IS NOT NULL THEN 'broker' END AS matched_source, s_suppkey AS user_id FROM part LEFT JOIN supplier ON s_suppkey = p_partkey")
-def cli_targets_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pipelines.batch_update_targets(table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id")), flow_queries._users(spark, sf_dir)[1], ["broker", "market"])
-    return found.select(F.col("id").cast("bigint").alias("n"), "matched_source", "user_id")
-
-
 @register(
     "task_summary",
     """WITH q AS (SELECT DISTINCT user_id FROM events UNION ALL SELECT -1), m AS (SELECT q.user_id, c_custkey AS c, CASE WHEN c_custkey IS NOT NULL AND s_suppkey % 9 <> 0 THEN s_suppkey END AS k, s_suppkey, s_name FROM q LEFT JOIN customer ON c_custkey = q.user_id LEFT JOIN supplier ON s_suppkey = q.user_id)
