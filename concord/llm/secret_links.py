@@ -11,7 +11,7 @@ falls into the cell of its start, cells are `scope` wide, and a candidate is com
 cells of its text, by equality on text and cell, with the distance as a further condition. Only a part's existence is
 asked, so the joins are semi joins and hand on at most one row for each candidate.
 
-Cases: a null text is empty and has no spans. Repeated rows are scanned and returned one by one. An empty table gives an
+Cases: a null text is empty and has no spans. A very long text is scanned whole, and its parts fall into many cells. Ties are all kept. Repeated rows are scanned and returned one by one. An empty table gives an
 empty result. Input columns other than the id and the text are ignored; `redact` keeps them. Offsets are code points,
 ends are exclusive. Spans of equal start are in the order of KINDS. A bare key inside a base span is not reported again.
 """
@@ -30,6 +30,7 @@ from concord.session import cut_lineage
 #: The kinds that stand for themselves, and how a match of the first begins.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
+ACCESS_PREFIX = "AKIA"
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: Weak kinds.
@@ -48,7 +49,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     low = text.lower()
     if any(w in low for w in ASSIGN_WORDS):
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
-    if "AKIA" in text:
+    if ACCESS_PREFIX in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     return sorted(found)
 
@@ -132,25 +133,35 @@ def mask_text(text: str, spans: list) -> str:
 def redact(docs: DataFrame, scope: int = SCOPE, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """docs with every secret span masked; chars_col, where there is one, follows the text. Rows without secrets are as they were.
 
-    Equal texts have equal spans, so spans are found once for each text hash and sent back to the rows by it."""
+    Linking adds spans only where an access identifier is, so texts without its prefix are masked in one pass over the rows. The others are few: equal
+    texts have equal spans, which are found once for each text, known by two 64-bit hashes, and sent back to the rows."""
     at = docs.columns.index(text_col)
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names of our own: none of docs can clash
-    texts = plain.select(F.xxhash64(f"c{at}").alias("key"), F.col(f"c{at}").alias("text"))
-    marked = with_links(scan(texts, "key", "text"), scope).where(F.size("spans") > 0)
-    spans = cut_lineage(marked.groupBy("doc_id").agg(F.first("spans").alias("spans")).withColumnRenamed("doc_id", "key"))
-    joined = plain.withColumn("key", F.xxhash64(f"c{at}")).join(spans, "key", "left").select(*plain.columns, "spans")
+    text = F.col(f"c{at}")
+    may_link = F.coalesce(text.contains(ACCESS_PREFIX), F.lit(False))
+    key = F.struct(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")).alias("key")
+    linkable = plain.where(may_link).select("*", key)
+    marked = with_links(scan(linkable.select("key", text.alias("text")), "key", "text"), scope).where(F.size("spans") > 0)
+    spans = marked.groupBy("doc_id").agg(F.first("spans").alias("spans")).select(F.col("doc_id").alias("key"), "spans")
+    joined = linkable.join(cut_lineage(spans), "key", "left").select(*plain.columns, "spans")
+
+    def masked(b: pa.RecordBatch, spans_of) -> pa.RecordBatch:
+        texts = b.column(at).to_pylist()
+        out = [mask_text(t, s) if s else t for t, s in ((t, spans_of(k, t) if t is not None else None) for k, t in enumerate(texts))]
+        return b.set_column(at, b.schema.field(at), pa.array(out, type=b.schema.field(at).type))
+
+    def mask_base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield masked(b, lambda _, t: [dict(zip(("start", "kind", "end"), s, strict=True)) for s in base_spans(t)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mask_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = b.column(b.num_columns - 1)
-            if found.null_count < len(found):
-                masked = [mask_text(t, s) if t is not None and s else t for t, s in zip(b.column(at).to_pylist(), found.to_pylist(), strict=True)]
-                b = b.set_column(at, b.schema.field(at), pa.array(masked, type=b.schema.field(at).type))
-            yield b.select(range(b.num_columns - 1))
+            found = b.column(b.num_columns - 1).to_pylist()
+            yield masked(b.select(range(b.num_columns - 1)), lambda k, _, found=found: found[k])
 
-    out = joined.mapInArrow(run, plain.schema)
+    out = plain.where(~may_link).mapInArrow(mask_base, plain.schema).unionByName(joined.mapInArrow(mask_joined, plain.schema))
     if chars_col in docs.columns:
-        n, text = f"c{docs.columns.index(chars_col)}", F.col(f"c{at}")
+        n = f"c{docs.columns.index(chars_col)}"
         out = out.withColumn(n, F.when(text.isNull(), F.col(n)).otherwise(F.length(text)).cast(plain.schema[n].dataType))
     return out.toDF(*docs.columns)
 

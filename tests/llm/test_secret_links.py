@@ -72,6 +72,13 @@ def test_odd_documents(odd_documents, no_documents):
     assert s.find_secrets(no_documents).collect() == []
 
 
+def test_masking_is_the_spans(spark):
+    """Every text of the list, several times, masked as the spans of the operator say."""
+    df = spark.createDataFrame([(3 * k + c, t) for k, t in enumerate(TEXTS) for c in range(3)], "doc_id long, text string")
+    wanted = {i: None if t is None else s.mask_text(t, [{"start": a, "end": b} for a, _, b in brute_spans(t, 400)]) for i, t in ((3 * k + c, t) for k, t in enumerate(TEXTS) for c in range(3))}
+    assert {r["doc_id"]: r["text"] for r in s.redact(df).collect()} == wanted
+
+
 def test_masking(odd_documents, no_documents):
     out = s.redact(odd_documents)
     assert out.columns == odd_documents.columns and out.dtypes == odd_documents.dtypes and out.count() == odd_documents.count()
