@@ -18,8 +18,8 @@ Within a group numpy walks both subtries a level at a time, nearest nodes first
 fingerprints are linked to each other already are left out. The group hands on a spanning forest of its links, never all
 pairs, so the rows it makes are fewer than the fingerprints it reads.
 
-Filtering. To filter a corpus, texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more count as copies. Their
-fingerprints may be any number of bits apart, as those count repeated shingles, so the filter does not use them. Each text names the
+Filtering. To filter a corpus, texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more count as copies. Such
+sets differ in some ten bits of a fingerprint, a budget at which a trie leaves little out, so the filter does not use them: each text names the
 first of its shingles in each of 12 random orders, and texts are compared where they share such a shingle. Two texts of similarity J
 have no such shingle in common with probability (1 - J) ** 12, which is 4e-9 at 0.8.
 Of the pairs that share one, a pair is left out only when it can't be similar: the sizes of the sets are too far
@@ -31,7 +31,8 @@ checkpoint in the shared folder. Only joins and sums that Spark can split are us
 
 Cases: null or blank texts have fingerprint 0 and link like any other. Texts of fewer words than a shingle
 hash as one shingle. Repeated rows share a component. component_id is the smallest id reachable, null
-ids aside (null if all are). An empty table gives an empty result. Other input columns are ignored.
+ids aside (null if all are). Ties cannot arise: labels are minima. Very long texts are hashed whole, one at a time. An empty table gives an empty result. Other
+input columns are ignored; the filter keeps them.
 """
 
 from __future__ import annotations
@@ -493,25 +494,28 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, i
     """One row of docs for each group of similar texts: that of the smallest id (null ids last), then of the smallest text hash.
 
     Texts are similar whose sets of shingles have a Jaccard similarity of `similarity` or more; groups are their connected components.
-    Candidates come from the join by block keys, and each link is then verified on the sets themselves."""
-    no_id, name, text = F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(F.coalesce(text_col, F.lit("")))
-    key = F.struct(no_id.alias("no_id"), F.col(id_col).alias("id"), name.alias("name"), text.alias("text"))
+    Candidates come from the join by block keys, and each link is then verified on the sets themselves. Two 64-bit hashes stand for a text; distinct texts are numbered."""
+    no_id, name = F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    whole = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    hashes = [F.xxhash64(whole).alias("h1"), F.xxhash64(F.lit("second"), whole).alias("h2")]
+    key = F.struct(no_id.alias("no_id"), F.col(id_col).alias("id"), name.alias("id_text"), *hashes)
     keyed = docs.select(key.alias("row"), F.col(text_col).alias("text"))
     marked = cut_lineage(blocking(keyed, words, "row", "text").withColumnRenamed("doc_id", "row"))
     # One row stands for each distinct text, so copies are not compared.
-    texts = cut_lineage(marked.groupBy(F.col("row.text").alias("name")).agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("keys", "size", "profile")]))
+    distinct = marked.groupBy("row.h1", "row.h2").agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("keys", "size", "profile")])
+    texts = cut_lineage(distinct.drop("h1", "h2").withColumn("name", F.monotonically_increasing_id()))
     near = components(blocked_self_join(texts, similarity)).withColumnRenamed("node", "name")
     labelled = cut_lineage(texts.select("name", "row").join(near, "name"))
     crowded = cut_lineage(labelled.groupBy("label").agg(F.count("*").alias("n")).where("n > 1"))
-    asked = labelled.join(crowded, "label").select("row.no_id", F.col("row.name").alias("id_text"), "name", "label", "n")
-    where = ["no_id", "id_text", "name"]
-    found = docs.select(no_id.alias("no_id"), name.alias("id_text"), text.alias("name"), F.col(text_col).alias("text")).join(asked, where)
-    members = found.dropDuplicates(where)  # a row that is repeated counts once; its copies are together already
+    where = ["no_id", "id_text", "h1", "h2"]
+    asked = labelled.join(crowded, "label").select(*[F.col(f"row.{c}") for c in where], "name", "label", "n")
+    of_row = [no_id.alias("no_id"), name.alias("id_text"), *hashes]
+    members = docs.select(*of_row, F.col(text_col).alias("text")).join(asked, where).dropDuplicates(where)  # a row that is repeated counts once; its copies are together already
     groups = max(1, (crowded.agg(F.sum("n")).first()[0] or 0) // 512)
     same = components(verified_links(members, groups, words, similarity)).withColumnRenamed("node", "name").withColumnRenamed("label", "component")
-    kept = texts.select("name", "row").join(same, "name", "left").groupBy(F.coalesce("component", "name")).agg(F.min("row").alias("row")).select("row.no_id", F.col("row.name").alias("id_text"), F.col("row.text").alias("name"))
+    kept = texts.select("name", "row").join(same, "name", "left").groupBy(F.coalesce("component", "name")).agg(F.min("row").alias("row")).select(*[F.col(f"row.{c}") for c in where])
     # The row goes along as one struct, so that no column of docs can clash with these.
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), no_id.alias("no_id"), name.alias("id_text"), text.alias("name")).join(kept, where, "left_semi")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *of_row).join(kept, where, "left_semi")
     first = F.row_number().over(Window.partitionBy(*where).orderBy(F.col(f"row.`{text_col}`")))
     return rows.withColumn("n", first).where("n = 1").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 

@@ -169,7 +169,7 @@ def test_filter_keeps_one_of_similar_texts(spark, sizes, monkeypatch):
         rows += [(100 * k + c, edited(original, 1 + (c * k) % 9, rng)) for c in range(1, 2 + k % 7)]
     if sizes:
         join, verify = s.blocked_self_join, s.verified_links
-        monkeypatch.setattr(s, "blocked_self_join", lambda texts, budget: join(texts, budget, small=5, node_rows=7, group_rows=50))
+        monkeypatch.setattr(s, "blocked_self_join", lambda texts, similarity: join(texts, similarity, small=5, node_rows=7, group_rows=50))
         monkeypatch.setattr(s, "verified_links", lambda *a: verify(*a, **sizes))
     kept = {r["doc_id"] for r in s.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     label = jaccard_groups([t for _, t in rows], 5, 0.8)
