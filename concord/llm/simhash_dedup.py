@@ -458,10 +458,7 @@ def similar_links(names: np.ndarray, sets: list[np.ndarray], left: np.ndarray, r
 
 
 def verified_links(members: DataFrame, groups: int, words: int, similarity: float, small: int = 64, block_rows: int = 512) -> DataFrame:
-    """Edges (u, v) between the texts of one label that are similar. members: name, label, n (the label's texts), text; names are distinct.
-
-    Labels of few texts are verified many to a group, in `groups` groups; a larger one is dealt into blocks, and each pair of blocks is
-    a group. Either way a group is bounded."""
+    """As verified_sets, from texts. members: name, label, n (the label's texts), text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -469,6 +466,14 @@ def verified_links(members: DataFrame, groups: int, words: int, similarity: floa
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sets, type=pa.list_(pa.int64()))], names=["name", "label", "n", "shingles"])
 
     held = members.select("name", "label", "n", "text").mapInArrow(run, "name long, label long, n long, shingles array<long>")
+    return verified_sets(held, groups, similarity, small, block_rows)
+
+
+def verified_sets(held: DataFrame, groups: int, similarity: float, small: int = 64, block_rows: int = 512) -> DataFrame:
+    """Edges (u, v) between the texts of one label that are similar. held: name, label, n (the label's texts), shingles; names are distinct.
+
+    Labels of few texts are verified many to a group, in `groups` groups; a larger one is dealt into blocks, and each pair of blocks is
+    a group. Either way a group is bounded."""
     few = F.col("n") <= small
     blocks = F.when(few, 1).otherwise(F.ceil(F.col("n") / block_rows)).cast("int")
     dealt = held.withColumns({"blocks": blocks, "mine": F.pmod(F.hash("name", F.lit(7)), blocks), "unit": F.when(few, F.pmod(F.xxhash64("label"), F.lit(groups))).otherwise(F.col("label"))})
