@@ -8,9 +8,22 @@ from pyspark.sql import functions as F
 from concord.session import cut_lineage
 
 
-def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """target with the rows of changes in place of those with their keys, and the others added. One row a key in changes."""
-    return target.join(changes.select(*keys), keys, "left_anti").unionByName(changes, allowMissingColumns=True)
+def last_of_each(changes: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """One row of changes for each key: the last by order, and of rows that are equal in it the greatest by all columns, as text where they can't be compared."""
+    text = lambda c: F.to_json(F.struct(F.col(f"`{c}`")))
+    rank = F.struct(*([F.col(f"`{order}`").alias("order")] if order else []), *[text(c).alias(f"c{i}") for i, c in enumerate(changes.columns)])
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(changes.columns)])
+    best = changes.groupBy(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]).agg(F.max_by(row, rank).alias("row"))
+    return best.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(changes.columns)])
+
+
+def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """target with the rows of changes in place of those with their keys, and the others added. Of several changes of one key the last by
+    order (a column of changes, which target need not have) counts; see last_of_each. Null keys are equal to nothing."""
+    last = last_of_each(changes, keys, order)
+    if order is not None and order not in target.columns:
+        last = last.drop(order)
+    return target.join(last.select(*keys), keys, "left_anti").unionByName(last, allowMissingColumns=True)
 
 
 def guarded_links(requests: DataFrame, identities: DataFrame) -> DataFrame:

@@ -76,9 +76,14 @@ def sparse_diff(original: DataFrame, update: DataFrame, id_col: str, keep_falsy:
     A list that differs is given as its symmetric difference: elements that only update has, then those that only original has; the order of
     elements and repeats make no difference. Paths that only original has are left out. Values that are empty, zero, false or null are left
     out as well, unless keep_falsy. A row that original lacks is new in all its leaves. The two sides meet in one join; only what differs becomes a row."""
-    old_leaves = leaves(original.schema, id_col)
     met = update.select(F.col(id_col).alias("id"), F.struct(*[c for c in update.columns if c != id_col]).alias("u"))
     met = met.join(original.select(F.col(id_col).alias("id"), F.struct(*[c for c in original.columns if c != id_col]).alias("o"), F.lit(True).alias("known")), "id", "left")
+    return diff_of_pairs(met, keep_falsy)
+
+
+def diff_of_pairs(met: DataFrame, keep_falsy: bool = False) -> DataFrame:
+    """sparse_diff where the two sides are in one row already. met: id, structs u (update) and o (original), and known, null for a row that is new."""
+    new_leaves, old_leaves = (leaves(met.schema[c].dataType, "") for c in ("u", "o"))
 
     def changed(path: str, kind: DataType) -> Column:
         name, new = F.lit(path.replace("`", "")), F.col(f"u.{path}")
@@ -91,7 +96,7 @@ def sparse_diff(original: DataFrame, update: DataFrame, id_col: str, keep_falsy:
         differs = F.col("known").isNull() | ~text(new).eqNullSafe(text(old))
         return F.when(differs & (F.lit(keep_falsy) | truthy(new, kind.simpleString())), F.struct(name.alias("path"), text(new).alias("value")))
 
-    rows = F.array_compact(F.array(*[changed(p, k) for p, k in leaves(update.schema, id_col).items()]))
+    rows = F.array_compact(F.array(*[changed(p, k) for p, k in new_leaves.items()]))
     return met.select("id", F.explode(rows).alias("leaf")).select("id", "leaf.path", F.col("leaf.value").alias("new_value"))
 
 

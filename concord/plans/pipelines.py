@@ -5,8 +5,9 @@ Each takes and returns DataFrames and does all its work in batches; nothing is w
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concord.config import Config
@@ -19,58 +20,82 @@ from concord.session import cut_lineage
 from concord.sources import schemas, snapshots
 
 
-@dataclass
 class UserSync:
-    users: DataFrame
-    user_roles: DataFrame
-    changes: DataFrame
-    memberships: DataFrame
-    outcomes: DataFrame
+    """What sync_users finds; each result is planned, and the guarded rows computed, once it is asked for."""
+
+    def __init__(self, users: DataFrame, user_roles: DataFrame, requests: DataFrame, profiles: DataFrame, config: Config):
+        self._users, self._user_roles, self._config = users, user_roles, config
+        one = one_profile(profiles).withColumnRenamed("status", "fetched")
+        row = F.struct("username", "email", "active", "preferences", "user_profile")
+        met = requests.select("user_id").distinct().join(one, "user_id", "left").join(users.select("user_id", row.alias("old")), "user_id", "left")
+        #: user_id of every request, with the remote profile, how it was fetched, and the user's row
+        self._asked = met
+        self._synced = met.where("old IS NOT NULL AND fetched = 'ok'")
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """user_id, old (the row before), and the new row of each user that is synced."""
+        config = self._config
+        new = self._synced.select("user_id", "old", *overlay.overlaid(F.col("old.preferences"), F.col("old.user_profile"), F.col("profile"), config.member_field))
+        asks = new.withColumnsRenamed({"username": "new_username", "email": "new_email"})
+        settled = overlay.unique_guard(self._users, asks, ["username", "email"])
+        changed = ~F.col("email").eqNullSafe(F.col("old.email"))
+        kept = overlay.keep_old_email(F.col("user_profile"), F.col("old.email"), changed, config.old_email_field)
+        return cut_lineage(settled.select("user_id", "old", "username", "email", "active", "preferences", kept.alias("user_profile")))
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return apply.upsert(self._users, self.rows.drop("old"), ["user_id"])
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        """(id, path, new_value) of the fields that change."""
+        flat = lambda side: _flat(lambda c: F.col(f"{side}.{c}" if side else c), self._config)
+        return delta.diff_of_pairs(self.rows.select(F.col("user_id").alias("id"), flat("").alias("u"), flat("old").alias("o"), F.lit(True).alias("known")))
+
+    @cached_property
+    def memberships(self) -> DataFrame:
+        """(user_id, role, change) of the users that are synced."""
+        remote = self._synced.select("user_id", "profile.groups", "profile.is_superadmin")
+        grants = remote.select("user_id", F.explode("groups").alias("g")).select("user_id", F.col("g.id").alias("group_id"), "g.role")
+        granted = delta.remote_roles(grants, self._config.provider, remote.where("is_superadmin").select("user_id"), self._config.superadmin_roles)
+        return delta.membership_delta(self._user_roles.join(remote.select("user_id"), "user_id", "left_semi"), granted, self._config.provider)
+
+    @cached_property
+    def user_roles(self) -> DataFrame:
+        # What a delta says of a local role is what becomes of it, so the local roles themselves are not needed again.
+        others = self._user_roles.join(self._synced.select("user_id"), "user_id", "left_anti").select("user_id", "role")
+        return others.union(self.memberships.where("change <> 'dropped'").select("user_id", "role")).distinct()
+
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        """(user_id, bucket) of every request."""
+        some = self.changes.select(F.col("id").alias("user_id")).union(self.memberships.where("change <> 'unchanged'").select("user_id"))
+        judged = self._asked.join(some.groupBy("user_id").agg(F.count("*").alias("n")), "user_id", "left")
+        bucket = report.bucket(F.col("old").isNotNull(), F.coalesce("fetched", F.lit("not_found")), F.coalesce("n", F.lit(0)))
+        return judged.select("user_id", bucket.alias("bucket"))
+
+
+def one_profile(profiles: DataFrame) -> DataFrame:
+    """(user_id, profile, status), one row a user: a profile that was read before others, then the first by its status and JSON text."""
+    rank = F.struct(F.coalesce(F.col("status") != "ok", F.lit(True)), "status", F.to_json("profile"))
+    return profiles.groupBy("user_id").agg(F.min_by(F.struct("profile", "status"), rank).alias("first")).select("user_id", "first.profile", "first.status")
 
 
 def sync_users(users: DataFrame, user_roles: DataFrame, requests: DataFrame, profiles: DataFrame, config: Config) -> UserSync:
     """New states of users and roles from remote profiles, what changed, and an outcome for each request.
 
-    users: see schemas.USERS. requests: user_id. profiles: user_id, profile, status. Fields and memberships of one batch
+    users: see schemas.USERS, one row a user. requests: user_id. profiles: user_id, profile, status; of several for a user one_profile says which counts. Fields and memberships of one batch
     belong to one new state each, so a user never has one without the other once both are written."""
-    known = requests.select("user_id").distinct().join(users, "user_id", "left_semi")
-    ok = profiles.where("status = 'ok'").join(known, "user_id", "left_semi")
-    remote = ok.select("user_id", "profile.*")
-    proposed = overlay.profile_overlay(users, remote, config.member_field)
-    guarded = overlay.collision_guard(users, proposed.select("user_id", F.col("username").alias("new_username")), "username").select("user_id", "username")
-    mails = overlay.collision_guard(users, proposed.select("user_id", F.col("email").alias("new_email")), "email").select("user_id", "email")
-    old_mail = users.select("user_id", F.col("email").alias("old_email"))
-    settled = proposed.drop("username", "email").join(guarded, "user_id").join(mails, "user_id").join(old_mail, "user_id")
-    changed = ~F.col("email").eqNullSafe(F.col("old_email"))
-    written = settled.withColumn("user_profile", overlay.keep_old_email(F.col("user_profile"), F.col("old_email"), changed, config.old_email_field))
-    rows = cut_lineage(written.select("user_id", "username", "email", "active", "preferences", "user_profile"))  # four results follow from it
-    changes = delta.sparse_diff(_flat(users, config), _flat(rows, config), "user_id")
-    granted = delta.remote_roles(
-        remote.select("user_id", F.explode("groups").alias("g")).select("user_id", F.col("g.id").alias("group_id"), "g.role"), config.provider, remote.where("is_superadmin").select("user_id"), config.superadmin_roles
-    )
-    local = user_roles.join(remote.select("user_id"), "user_id", "left_semi")
-    memberships = delta.membership_delta(local, granted, config.provider)
-    others = user_roles.join(remote.select("user_id"), "user_id", "left_anti").select("user_id", "role")
-    n_changes = changes.select(F.col("id").alias("user_id")).union(memberships.where("change <> 'unchanged'").select("user_id")).groupBy("user_id").agg(F.count("*").alias("n"))
-    judged = (
-        requests.select("user_id").distinct().join(known.withColumn("known", F.lit(True)), "user_id", "left").join(profiles.select("user_id", "status"), "user_id", "left").join(n_changes, "user_id", "left")
-    )
-    bucket = report.bucket(F.coalesce("known", F.lit(False)), F.coalesce("status", F.lit("not_found")), F.coalesce("n", F.lit(0)))
-    return UserSync(
-        apply.upsert(users, rows, ["user_id"]),
-        others.union(delta.apply_membership(local, memberships)).distinct(),
-        changes,
-        memberships,
-        judged.select("user_id", bucket.alias("bucket")),
-    )
+    return UserSync(users, user_roles, requests, profiles, config)
 
 
-def _flat(users: DataFrame, config: Config) -> DataFrame:
-    """Maps as structs of the fields a diff looks at, so that paths are fixed."""
+def _flat(column, config: Config) -> Column:
+    """A user's row as a struct of the fields a diff looks at, maps as structs, so that paths are fixed."""
     fields = ("full_name", "name_parts", config.member_field, "affiliations", "identifier_orcid")
-    profile = F.struct(*[F.try_element_at("user_profile", F.lit(f)).alias(f) for f in fields])
-    shown = F.struct(*[F.try_element_at("preferences", F.lit(f)).alias(f) for f in ("visibility", "email_visibility")])
-    return users.select("user_id", "username", "email", "active", shown.alias("preferences"), profile.alias("user_profile"))
+    profile = F.struct(*[F.try_element_at(column("user_profile"), F.lit(f)).alias(f) for f in fields])
+    shown = F.struct(*[F.try_element_at(column("preferences"), F.lit(f)).alias(f) for f in ("visibility", "email_visibility")])
+    return F.struct(*[column(c).alias(c) for c in ("username", "email", "active")], shown.alias("preferences"), profile.alias("user_profile"))
 
 
 def sync_groups(documents: DataFrame, metadata: DataFrame, instance: str) -> tuple[DataFrame, DataFrame]:
