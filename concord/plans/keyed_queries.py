@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.operators import apply, overlay
+from concord.operators import apply, overlay, throttle
 from concord.plans import flow_queries, pipelines
 from concord.plans.entry import register
 from concord.plans.flow_queries import CONFIG
 from concord.session import table
 
+BUSY_SECONDS = 3600
 
 @register(
     "collision_chains",
@@ -72,3 +73,21 @@ def upsert_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("user_id"), F.col("s_name").alias("username"))
     changes = table(spark, sf_dir, "events").select("user_id", F.concat(F.lit("seen "), F.col("event_id").cast("string")).alias("username"), "event_id")
     return apply.upsert(users, changes, ["user_id"], order="event_id")
+
+
+BUSY_SQL = f"""
+WITH RECURSIVE t AS (SELECT DISTINCT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts FROM events WHERE ts IS NOT NULL), e(user_id, ts) AS (
+  SELECT user_id, min(ts) FROM t GROUP BY user_id
+  UNION ALL
+  SELECT e.user_id, (SELECT min(t.ts) FROM t WHERE t.user_id = e.user_id AND t.ts > e.ts + INTERVAL {BUSY_SECONDS} SECOND) AS ts FROM e
+  WHERE EXISTS (SELECT 1 FROM t WHERE t.user_id = e.user_id AND t.ts > e.ts + INTERVAL {BUSY_SECONDS} SECOND)
+)
+SELECT user_id, epoch_us(ts) AS us FROM e"""
+
+
+@register("login_throttle_busy", BUSY_SQL)
+def login_throttle_busy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One user has a third of all events, which is over what one task takes here."""
+    events = table(spark, sf_dir, "events").withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")))
+    emitted = throttle.throttle(events, "user_id", "ts", BUSY_SECONDS, busy_rows=200)
+    return emitted.select("user_id", F.unix_micros("ts").alias("us"))

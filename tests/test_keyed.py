@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from concord.operators import apply, overlay
+from concord.operators import apply, overlay, throttle
 from concord.plans import pipelines
 from concord.sources.schemas import USERS
 from test_flows import CONFIG
@@ -79,3 +79,23 @@ class TestOneRowAKey:
         assert rows(out.users.select("user_id", "username")) == [(1, "ann"), (2, "bob")]
         assert rows(out.outcomes) == [(1, "success"), (2, "invalid_response"), (7, "not_found_local")]
         assert [r[0] for r in rows(out.user_roles)] == [1]
+
+
+class TestBusyUsers:
+    @pytest.mark.parametrize("seed, gap", [(0, 50), (1, 400), (2, 5000), (3, 0)])
+    def test_cells_give_what_one_pass_gives(self, spark, seed, gap):
+        """Sparse, dense and bursty users, one without a name, with cells of some ten events each."""
+        rng, data = random.Random(seed), []
+        for user, n, span in (("busy", 400, 20_000), ("dense", 300, 900), (None, 200, 8000), ("calm", 9, 3000), ("bursts", 300, 0)):
+            times = [rng.randrange(20) * 1500 + rng.randrange(60) for _ in range(n)] if not span else [rng.randrange(span) for _ in range(n)]
+            data += [(user, t) for t in times]
+        df = spark.createDataFrame(data, "u string, s long").selectExpr("u", "timestamp_seconds(s) AS ts").repartition(3)
+        wanted = []
+        for user in {u for u, _ in data}:
+            wanted += [(user, t) for t in throttle.throttle_in_state(None, [t for u, t in data if u == user], gap)[1]]
+        got = throttle.throttle(df, "u", "ts", gap, busy_rows=10).selectExpr("u", "unix_seconds(ts) AS s")
+        assert rows(got) == sorted(wanted, key=repr)
+
+    def test_a_busy_user_is_dealt_over_cells(self, spark):
+        hot = spark.range(4000).selectExpr("0L AS b", "id * 1000000 AS us", "0L AS low", "100000000L AS width", "id div 100 AS cell")
+        assert throttle._in_cells(hot, 7_000_000).count() == 500
