@@ -9,7 +9,8 @@ from concord.operators import apply, overlay, throttle
 from concord.plans import flow_queries, pipelines
 from concord.plans.entry import register
 from concord.plans.flow_queries import CONFIG
-from concord.session import table
+from concord.session import cut_lineage, shared_path, table
+from concord.sources.tables import KeyedTable
 
 BUSY_SECONDS = 3600
 
@@ -91,3 +92,27 @@ def login_throttle_busy(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")))
     emitted = throttle.throttle(events, "user_id", "ts", BUSY_SECONDS, busy_rows=200)
     return emitted.select("user_id", F.unix_micros("ts").alias("us"))
+
+
+PARTS = 256
+PART_SQL = f"CAST(('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8)) AS BIGINT) % {PARTS}"
+
+
+@register(
+    "written_upsert",
+    f"""WITH e AS (SELECT c_custkey, arg_max(event_type, event_id) AS seen FROM customer JOIN events ON user_id = c_custkey WHERE c_custkey % 100 = 7 GROUP BY c_custkey)
+    SELECT c.c_custkey AS user_id, CASE WHEN seen IS NULL THEN c_name ELSE 'last ' || seen END AS username, {PART_SQL} IN (SELECT {PART_SQL} FROM e) AS rewritten FROM customer c LEFT JOIN e ON e.c_custkey = c.c_custkey"""
+    .replace(f"{PART_SQL} IN", PART_SQL.replace("c_custkey", "c.c_custkey") + " IN"),
+)
+def written_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers are written as a table, the events of one in a hundred change them, several times each, and the table is read again. A row is rewritten if its file is another one."""
+    c = F.col("c_custkey")
+    customers = table(spark, sf_dir, "customer").select(c.alias("user_id"), F.col("c_name").alias("username"))
+    events = table(spark, sf_dir, "events").where("user_id % 100 = 7").join(customers.select("user_id"), "user_id", "left_semi")
+    users = KeyedTable(spark, shared_path(spark, "keyed-users"), ["user_id"], PARTS)
+    users.create(customers)
+    before = cut_lineage(users.files())
+    users.upsert(events.select("user_id", F.concat(F.lit("last "), "event_type").alias("username"), "event_id"), order="event_id")
+    after = users.files().join(before, ["part", "file"], "left_anti").select("part", F.lit(True).alias("rewritten")).distinct()
+    stored = spark.read.parquet(users.path)
+    return stored.join(after, stored[KeyedTable.PART] == after["part"], "left").select("user_id", "username", F.coalesce("rewritten", F.lit(False)).alias("rewritten"))

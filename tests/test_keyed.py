@@ -8,6 +8,7 @@ import pytest
 
 from concord.operators import apply, overlay, throttle
 from concord.plans import pipelines
+from concord.sources import tables
 from concord.sources.schemas import USERS
 from test_flows import CONFIG
 
@@ -99,3 +100,40 @@ class TestBusyUsers:
     def test_a_busy_user_is_dealt_over_cells(self, spark):
         hot = spark.range(4000).selectExpr("0L AS b", "id * 1000000 AS us", "0L AS low", "100000000L AS width", "id div 100 AS cell")
         assert throttle._in_cells(hot, 7_000_000).count() == 500
+
+
+class TestKeyedTable:
+    def test_only_folders_of_changed_keys_are_rewritten(self, spark, tmp_path):
+        t = tables.KeyedTable(spark, str(tmp_path / "t"), ["k"], parts=16)
+        t.create(spark.createDataFrame([(i, "a", None) for i in range(200)] + [(5, "b", {"x": "y"})], "k long, v string, m map<string,string>"))
+        before = dict(map(tuple, t.files().collect()))
+        touched = t.upsert(spark.createDataFrame([(3, "new", None, 2), (3, "old", None, 1), (900, "added", None, 1)], "k long, v string, m map<string,string>, at long"), order="at")
+        after = dict(map(tuple, t.files().collect()))
+        assert touched in (1, 2) and sum(before.get(p) != f for p, f in after.items()) == touched
+        found = {r["k"]: r["v"] for r in t.read().collect()}
+        assert t.read().count() == len(found) == 201 and (found[3], found[5], found[900]) == ("new", "b", "added")
+        assert t.upsert(t.read().limit(0)) == 0
+
+    def test_keys_of_two_columns_and_null_keys(self, spark, tmp_path):
+        t = tables.KeyedTable(spark, str(tmp_path / "t"), ["a", "b"], parts=4)
+        t.create(spark.createDataFrame([("x", 1, "u"), ("x", 2, "v"), (None, 1, "n")], "a string, b long, v string"))
+        t.upsert(spark.createDataFrame([("x", 2, "V"), ("y", 2, "w")], "a string, b long, v string"))
+        assert rows(t.read()) == sorted([("x", 1, "u"), ("x", 2, "V"), (None, 1, "n"), ("y", 2, "w")], key=repr)
+
+    def test_a_second_writer_is_refused(self, spark, tmp_path):
+        t = tables.KeyedTable(spark, str(tmp_path / "t"), ["k"], parts=4)
+        t.create(spark.createDataFrame([(1, "a")], "k long, v string"))
+        tables.claim(spark, f"{t.path}/_writer")
+        with pytest.raises(tables.WriteConflict):
+            t.upsert(spark.createDataFrame([(1, "b")], "k long, v string"))
+        assert rows(t.read()) == [(1, "a")]
+
+    def test_versions_have_one_writer_each(self, spark, tmp_path):
+        t = tables.VersionedTable(spark, str(tmp_path / "v"))
+        one = spark.createDataFrame([(1,)], "k long")
+        t.replace(one)
+        tables.claim(spark, f"{t.path}/pointers/000000001.json", '{"n": 1, "version": "other"}\n')
+        assert t.current() == "other"
+        tables.claim(spark, f"{t.path}/pointers/{2:09d}.json")  # somebody who is about to write
+        with pytest.raises(tables.WriteConflict):
+            t.replace(one)
