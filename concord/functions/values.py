@@ -45,7 +45,22 @@ def unwrap(raw: Column, envelope: str) -> Column:
     return F.coalesce(F.get_json_object(raw, f"$.{envelope}"), raw)
 
 
+def let(value: Column, result) -> Column:
+    """result(value), where value is computed once however often result names it, within lambdas too."""
+    return F.transform(F.array(value), result)[0]
+
+
 def symmetric_difference(update: Column, original: Column) -> Column:
     """Elements of update that original lacks, then the reverse; order and repeats stay, nulls go."""
-    u, o = F.array_compact(update), F.array_compact(original)
-    return F.concat(F.filter(u, lambda x: ~F.array_contains(o, x)), F.filter(o, lambda x: ~F.array_contains(u, x)))
+    return let(F.struct(F.array_compact(update).alias("u"), F.array_compact(original).alias("o")), lambda p: F.concat(_lacking(p["u"], p["o"]), _lacking(p["o"], p["u"])))
+
+
+def _lacking(some: Column, other: Column) -> Column:
+    """Elements of some that other lacks. Spark's set functions are hashed but give each element once; only lists with repeats are gone through again, by the fewer of the new and the common elements."""
+
+    def kept(h: Column) -> Column:
+        of_new, of_common = F.filter(some, lambda x: F.array_contains(h["new"], x)), F.filter(some, lambda x: ~F.array_contains(h["common"], x))
+        return F.when(h["once"], h["new"]).when(F.size(h["new"]) <= F.size(h["common"]), of_new).otherwise(of_common)
+
+    once = F.size(F.array_distinct(some)) == F.size(some)
+    return let(F.struct(F.array_except(some, other).alias("new"), F.array_intersect(some, other).alias("common"), once.alias("once")), kept)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concord.plans import entity_queries, event_queries, flow_queries, keyed_queries, source_queries, stream_queries, write_queries  # noqa: F401  (they register themselves)
+from concord.plans import entity_queries, event_queries, flow_queries, keyed_queries, shape_queries, source_queries, stream_queries, write_queries  # noqa: F401  (they register themselves)
 from concord.plans.entry import ORACLE_SQL, QUERIES
 from concord.plans.flow_queries import flagship
 
