@@ -146,9 +146,11 @@ def summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select(F.from_json("summary", "event_type string, n long, k long").alias("s")).select("s.*")
 
 
-@register("backoff_schedule", "SELECT CAST(i AS BIGINT) AS attempt, 1.0 + i * 1.0 AS wait FROM range(0, 10) t(i)".replace("1.0 + i * 1.0", "CAST(1.0 + i AS DOUBLE)"))
+@register("backoff_schedule", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS attempt, CAST(1.0 + 0.5 * (CAST(json_extract_string(props, '$.k') AS BIGINT) % 10) AS DOUBLE) AS wait FROM events")
 def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(10).select(F.col("id").alias("attempt"), times.backoff_wait(F.col("id"), 1.0, 1.0).alias("wait"))
+    """The wait after each event's attempt; stream_retries waits by the same rule."""
+    attempt = F.get_json_object("props", "$.k").cast("long") % 10
+    return table(spark, sf_dir, "events").select("event_id", attempt.alias("attempt"), times.backoff_wait(attempt, 1.0, 0.5).alias("wait"))
 
 
 @register("first_event_of_user", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) WHERE r = 1")
