@@ -365,8 +365,9 @@ def _slabs(left: np.ndarray, first: np.ndarray, end: np.ndarray, slab: int) -> I
 def blocked_self_join(texts: DataFrame, similarity: float, small: int = 256, node_rows: int = 4096, group_rows: int = 8192) -> DataFrame:
     """Edges (u, v) that connect the texts (name, keys, size, profile) that share a block key and may be similar by their sizes and profiles.
 
+    texts is a stored table or a checkpoint: it is read several times, and only keys that several texts share are kept in between.
     Keys of up to `small` texts are compared many to a group; a larger one is dealt into blocks, and each pair of blocks is a group."""
-    rows = cut_lineage(texts.select("name", F.explode("keys").alias("key")))
+    rows = texts.select("name", F.explode("keys").alias("key"))
     shared = cut_lineage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     met = cut_lineage(rows.join(shared, "key"))
     groups = max(1, math.ceil(met.where(F.col("n") <= small).count() / group_rows))

@@ -112,3 +112,11 @@ def test_a_text_of_no_partner_has_its_own_shingles(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, "a b c d"), (3, "A  B\nC")], "doc_id long, text string")
     assert collected(minmax_dedup.minmax_duplicates(df, words=5)) == [(1, 1, 1, True), (2, 1, 2, True), (3, 1, 1, False)]
     assert simhash_dedup.shingle_hashes("a b c", 5).tolist() == simhash_dedup.shingle_hashes("A  B\nC", 5).tolist()
+
+
+def test_bitmap_keeps_all_that_is_asked_for(spark):
+    rows = spark.range(50_000).selectExpr("id * 977 AS name", "id AS n")
+    some = rows.where("n % 10 = 3").select("name")
+    kept = minmax_dedup.maybe_in(rows, some, "name", 5000)
+    assert kept.columns == rows.columns and kept.where("n % 10 = 3").count() == 5000 and kept.count() < 20_000
+    assert minmax_dedup.maybe_in(rows, some.limit(0), "name", 0).count() == 0
