@@ -13,22 +13,24 @@ def url_part(url: Column, part: str) -> Column:
 
 
 def local_part(url: Column) -> Column:
-    """Path, query and fragment only."""
+    """Path, query and fragment only. Slashes and backslashes before the path become one slash, as browsers take two for the beginning of a host."""
     query, fragment = url_part(url, "QUERY"), url_part(url, "REF")
     return F.concat(
-        url_part(url, "PATH"),
+        F.regexp_replace(url_part(url, "PATH"), r"^[/\\]+", "/"),
         F.when(filled(query), F.concat(F.lit("?"), query)).otherwise(""),
         F.when(filled(fragment), F.concat(F.lit("#"), fragment)).otherwise(""),
     )
 
 
-def _safe(url: Column, hosts: tuple[str, ...]) -> Column:
-    host = url_part(url, "HOST")
-    return F.when(filled(url) & host.isin(list(hosts)), url).when(filled(url) & filled(url_part(url, "PATH")), local_part(url))
+def _safe(given: Column, hosts: tuple[str, ...]) -> Column:
+    url = F.regexp_replace(given, r"[\x00-\x20\x7F]+", "")  # browsers pass over these, wherever they stand
+    host, scheme = F.lower(url_part(url, "HOST")), F.lower(F.coalesce(url_part(url, "PROTOCOL"), F.lit("https")))
+    web = scheme.isin("http", "https")
+    return F.when(filled(url) & web & host.isin([h.lower() for h in hosts]), url).when(filled(url) & web & filled(url_part(url, "PATH")), local_part(url))
 
 
 def safe_redirect(target: Column, referrer: Column, hosts: tuple[str, ...]) -> Column:
-    """target, else referrer: whole where its host is allowed, its local part otherwise, `/` where neither serves."""
+    """target, else referrer: whole where its host is allowed (in any case), its local part otherwise, `/` where neither serves. Addresses of other schemes than http and https don't."""
     return F.coalesce(_safe(target, hosts), _safe(referrer, hosts), F.lit("/")) if hosts else F.lit("/")
 
 
@@ -41,7 +43,9 @@ def is_excluded(path: Column, mount: Column, prefixes: tuple[str, ...], excluded
 
 
 def with_query(base: Column, **params: Column) -> Column:
-    """base with url-encoded parameters, in the order given; null ones are left out."""
+    """base with url-encoded parameters, in the order given, behind the query that it has and before its fragment; null ones are left out."""
     pairs = [F.concat(F.lit(k + "="), F.url_encode(v)) for k, v in params.items()]
     query = F.concat_ws("&", *pairs)
-    return F.when(query == "", base).otherwise(F.concat(base, F.when(base.contains("?"), "&").otherwise("?"), query))
+    page, fragment = F.regexp_extract(base, r"^([^#]*)", 1), F.regexp_extract(base, r"^[^#]*((?:#[\s\S]*)?)$", 1)
+    joint = F.when(page.rlike(r"[?&]$"), "").when(page.contains("?"), "&").otherwise("?")
+    return F.when(query == "", base).otherwise(F.concat(page, joint, query, fragment))

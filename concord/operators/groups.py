@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.functions.names import of_group
+from concord.functions.names import groups_named
 
 
 def find_documents(documents: DataFrame, instance: str, group_ids: DataFrame, include_deleted: bool = False) -> DataFrame:
@@ -22,12 +22,9 @@ def split_active(documents: DataFrame, key: str = "group_id") -> DataFrame:
 
 
 def roles_of_groups(roles: DataFrame, groups: DataFrame, provider: str) -> DataFrame:
-    """(group_id, id) of the roles that name a group. The group id is parsed out of the role's name, so this is an equality join."""
-    from concord.functions.names import role_parts
-
-    owner, group_id, _ = role_parts(F.col("id"))
-    named = roles.select("id", owner.alias("owner"), group_id.alias("group_id")).where(F.col("owner") == provider)
-    return groups.select("group_id").join(named, "group_id").where(of_group(F.col("id"), provider, F.col("group_id"))).select("group_id", "id")
+    """(group_id, id) of the roles whose name has `provider---group|` in it, anywhere. Every group that a name may mean is a row of a list of postings, so this is an equality join."""
+    postings = roles.select("id", F.explode(groups_named(F.col("id"), provider)).alias("group_id")).distinct()
+    return groups.select("group_id").join(postings, "group_id").select("group_id", "id")
 
 
 def deletion_summary(documents: DataFrame, roles: DataFrame, groups: DataFrame, instance: str, provider: str) -> DataFrame:

@@ -62,7 +62,8 @@ def resolve_identity(probes: DataFrame, keys: DataFrame, provider: str, policy:
         first = F.min("level").over(Window.partitionBy("probe_id"))
         return hits.withColumn("first", first).where("level = first").select("probe_id", "user_id", "level")
     owners = keys.select("kind", "key", "user_id").distinct().groupBy("kind", "key").agg(F.count("*").alias("n"), F.min("user_id").alias("user_id"))
-    hits = asked.join(owners, ["kind", "key"]).select("probe_id", "level", "n", "user_id").distinct()
+    # Dealt by probe once; what follows needs no other order.
+    hits = asked.join(owners, ["kind", "key"]).select("probe_id", "level", "n", "user_id").repartition("probe_id").distinct()
     # A probe that is repeated with other keys may have several rows at a level.
     counted = hits.groupBy("probe_id", "level").agg(F.greatest(F.max("n"), F.count("*")).alias("n"), F.min("user_id").alias("user_id"))
     of_probe = Window.partitionBy("probe_id")
@@ -106,3 +107,11 @@ def members_of(user_roles: DataFrame, users: DataFrame, role: str) -> DataFrame:
 def roles_of(users: DataFrame, user_roles: DataFrame) -> DataFrame:
     """Roles of the given users; users without roles have a null one."""
     return users.join(user_roles, "user_id", "left")
+
+
+def roles_asked_for(asked: DataFrame, users: DataFrame, user_roles: DataFrame) -> DataFrame:
+    """(user_id, role, error) of the users asked for: a row for each role, one with a null role for a user without roles, and an error for one that is not there."""
+    known = asked.select("user_id").distinct().join(users.select("user_id", F.lit(True).alias("known")).distinct(), "user_id", "left")
+    held = user_roles.select("user_id", "role").distinct()
+    met = known.join(held, "user_id", "left")
+    return met.select("user_id", F.when(F.col("known"), F.col("role")).alias("role"), F.when(F.col("known").isNull(), "user not found").alias("error")).distinct()

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.operators import apply, overlay, throttle
+from concord.functions import names, urls
+from concord.operators import apply, groups, overlay, report, resolve, throttle
 from concord.plans import flow_queries, pipelines
 from concord.plans.entry import register
 from concord.plans.flow_queries import CONFIG
@@ -116,3 +117,102 @@ def written_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     after = users.files().join(before, ["part", "file"], "left_anti").select("part", F.lit(True).alias("rewritten")).distinct()
     stored = spark.read.parquet(users.path)
     return stored.join(after, stored[KeyedTable.PART] == after["part"], "left").select("user_id", "username", F.coalesce("rewritten", F.lit(False)).alias("rewritten"))
+
+
+@register(
+    "range_lookup",
+    """WITH s AS (SELECT s_suppkey, max(s_suppkey) OVER () AS top FROM supplier), r AS (SELECT s_suppkey * 20 + 1 AS low, CASE WHEN s_suppkey = top THEN 3000000000 ELSE s_suppkey * 20 + s_suppkey % 9 END AS high FROM s WHERE s_suppkey % 3 <> 0 OR s_suppkey = top)
+    SELECT p_partkey FROM part WHERE EXISTS (SELECT 1 FROM r WHERE p_partkey BETWEEN low AND high) OR p_partkey IN (SELECT s_suppkey * 20 + 10 FROM s WHERE s_suppkey % 3 = 0 AND s_suppkey <> top)""",
+)
+def range_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that command-line items ask for: single numbers, narrow, empty and overlapping ranges, and one up to three billion."""
+    s, top = F.col("s_suppkey"), table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).scalar()
+    text = lambda n: n.cast("string")
+    narrow = F.concat(text(s * 20 + 1), F.lit("-"), text(s * 20 + s % 9))
+    item = F.when(s == top, F.concat(text(s * 20 + 1), F.lit("-3000000000"))).when(s % 3 != 0, narrow).otherwise(text(s * 20 + 10))
+    ids = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"))
+    return pipelines.ids_in_items(ids, table(spark, sf_dir, "supplier").select(item.alias("item"))).select(F.col("id").cast("long").alias("p_partkey"))
+
+
+@register(
+    "roles_of_groups_inside",
+    """WITH r AS (SELECT DISTINCT CASE WHEN conv_id % 2 = 0 THEN 'chat---' || conv_id || '|' || role ELSE 'old chat---' || conv_id || '|see chat---' || (conv_id + 2) || '|' || role END AS id FROM conversations)
+    SELECT CAST(s_suppkey AS VARCHAR) AS group_id, id FROM supplier JOIN r ON contains(id, 'chat---' || s_suppkey || '|')""",
+)
+def roles_of_groups_inside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Role names that name one group at their beginning, or two further on."""
+    conv, role = F.col("conv_id").cast("string"), F.col("role")
+    two = F.concat(F.lit("old chat---"), conv, F.lit("|see chat---"), (F.col("conv_id") + 2).cast("string"), F.lit("|"), role)
+    named = F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("chat---"), conv, F.lit("|"), role)).otherwise(two)
+    wanted = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("group_id"))
+    return groups.roles_of_groups(table(spark, sf_dir, "conversations").select(named.alias("id")).distinct(), wanted, "chat")
+
+
+@register(
+    "roles_asked_for",
+    """WITH q AS (SELECT DISTINCT user_id FROM events), r AS (SELECT DISTINCT o_custkey, o_orderpriority FROM orders WHERE o_custkey % 4 <> 1)
+    SELECT user_id, CASE WHEN s_suppkey IS NOT NULL THEN o_orderpriority END AS role, CASE WHEN s_suppkey IS NULL THEN 'user not found' END AS error
+    FROM q LEFT JOIN supplier ON s_suppkey = user_id LEFT JOIN r ON o_custkey = user_id AND s_suppkey IS NOT NULL""",
+)
+def roles_asked_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of events ask for their roles; only suppliers are known, and some have none."""
+    users = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("user_id"))
+    held = table(spark, sf_dir, "orders").where("o_custkey % 4 <> 1").select(F.col("o_custkey").alias("user_id"), F.col("o_orderpriority").alias("role"))
+    return resolve.roles_asked_for(table(spark, sf_dir, "events").select("user_id"), users, held)
+
+
+@register(
+    "outcome_lists",
+    """SELECT CASE WHEN s_suppkey IS NULL THEN 'not_found_local' WHEN event_type = 'error' THEN 'failure' WHEN event_type = 'signup' THEN 'not_found_remote' WHEN event_type = 'view' THEN 'timeout' ELSE 'unchanged' END AS bucket,
+      CAST(event_id AS VARCHAR) AS id FROM events LEFT JOIN supplier ON s_suppkey = user_id""",
+)
+def outcome_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which events ended in which bucket."""
+    known = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("user_id"), F.lit(True).alias("known"))
+    e = F.col("event_type")
+    status = F.when(e == "error", "request_error").when(e == "signup", "not_found").when(e == "view", "timeout").otherwise("ok")
+    met = table(spark, sf_dir, "events").join(known, "user_id", "left")
+    return report.outcome_lists(met.select("event_id", report.bucket(F.col("known").isNotNull(), status, F.lit(0)).alias("bucket")), "event_id")
+
+
+@register(
+    "redirect_attacks",
+    """SELECT page_id, CASE page_id % 9 WHEN 0 THEN '/evil.com/p?a=1' WHEN 1 THEN '/evil.com/p' WHEN 2 THEN 'HTTPS://OK.example.org/' || page_id WHEN 3 THEN '/home' WHEN 4 THEN '/p#f' WHEN 5 THEN 'https://ok.example.org/x'
+      WHEN 6 THEN '/' WHEN 7 THEN '/home' ELSE '/evil.com' END AS target FROM pages""",
+)
+def redirect_attacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets that browsers would take to another host if their local part went out as it is; others fall back to the referrer or to the start page."""
+    p = F.col("page_id")
+    case = p % 9
+    target = (
+        F.when(case == 0, "https://evil.org//evil.com/p?a=1")
+        .when(case == 1, "https://evil.org///evil.com/p")
+        .when(case == 2, F.concat(F.lit("HTTPS://OK.example.org/"), p.cast("string")))
+        .when(case == 3, "javascript://ok.example.org/%0aalert(1)")
+        .when(case == 4, "//evil.com/p#f")
+        .when(case == 5, "https://ok.exa\tmple.org/x")
+        .when(case == 6, "https://evil.org\\@ok.example.org/")
+        .when(case == 7, "https://evil.org")
+        .otherwise("/\t/evil.com")
+    )
+    target = F.when(case == 8, "https://evil.org/\t/evil.com").otherwise(target)
+    referrer = F.when(case.isin(3, 7), "https://evil.org/home")
+    return table(spark, sf_dir, "pages").select("page_id", urls.safe_redirect(target, referrer, ("ok.example.org",)).alias("target"))
+
+
+@register(
+    "redirect_fragment",
+    """SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'https://x.org/cb?next=' || c_custkey || '#part' WHEN 1 THEN 'https://x.org/cb?a=1&next=' || c_custkey || '#?b=2' WHEN 2 THEN 'https://x.org/?next=' || c_custkey || '#' ELSE 'https://x.org/cb#part' END AS target FROM customer""",
+)
+def redirect_fragment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query goes before the fragment, behind the query that is there."""
+    c = F.col("c_custkey")
+    base = F.when(c % 4 == 0, "https://x.org/cb#part").when(c % 4 == 1, "https://x.org/cb?a=1#?b=2").when(c % 4 == 2, "https://x.org/?#").otherwise("https://x.org/cb#part")
+    return table(spark, sf_dir, "customer").select("c_custkey", urls.with_query(base, next=F.when(c % 4 != 3, c.cast("string"))).alias("target"))
+
+
+@register("prefix_strip_literal", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE replace(c_name, 'Customer#', 'Custome') END AS bare FROM customer")
+def prefix_strip_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A provider whose name would be a pattern."""
+    name = F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).otherwise(F.regexp_replace("c_name", "#", "."))
+    return table(spark, sf_dir, "customer").select("c_custkey", names.strip_provider(name, "R.").alias("bare"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from concord.config import Config
 from concord.functions import codec
-from concord.functions.names import number_range
+from concord.functions.names import BITS, LEVELS, RANGE, blocks_of, range_blocks
 from concord.functions.times import is_expired
 from concord.functions.values import or_else
 from concord.operators import apply, delta, groups, notices, overlay, report, resolve
@@ -138,6 +138,7 @@ def receive_notices(raw: DataFrame, users: DataFrame, identities: DataFrame, con
     found = resolve.resolve_identity(probes, resolve.user_keys(users, identities, config.member_field), config.provider, "none").select(F.col("probe_id").alias("item_id"), "user_id")
     linked = resolve.first_match(found.join(judged.select("item_id", F.col("auth_method").alias("method")), "item_id"), identities.select("user_id", "method", F.col("id").alias("oauth_id")), ["user_id", "method"], ["oauth_id"])
     met = judged.join(linked.select("item_id", "user_id", "oauth_id"), "item_id", "left").withColumn("known", ~item | F.col("user_id").isNotNull())
+    met = cut_lineage(met)  # both results follow from it
     routed = met.withColumn("route", F.when(F.col("allowed") & F.col("known") & ~F.col("broken"), notices.route(F.col("entity_type"), F.col("event"))))
     status = notices.batch_status(met)
     answered = raw.select("request_id").distinct().join(status, "request_id", "left").fillna({"status": 400, "n_enqueued": 0, "n_rejected": 0, "n_unknown": 0})
@@ -193,23 +194,26 @@ def associate_users(requests: DataFrame, users: DataFrame, user_roles: DataFrame
 
 def broker_login(tokens: DataFrame, secret: str, nonces: DataFrame, users: DataFrame, identities: DataFrame, now, config: Config, method: str | None = None) -> DataFrame:
     """(login_id, status, user_id, level, sub) of sealed tokens (login_id, token): bad_token, expired, bad_nonce, new_user or ok."""
-    opened = tokens.withColumn("raw", codec.unseal(F.col("token"), F.lit(secret))).withColumn("t", F.from_json("raw", schemas.TOKEN))
+    # The secret comes as a subquery's value, not as a literal, so that neither it nor the key made of it stands in a plan.
+    key = tokens.sparkSession.createDataFrame([(secret,)], "secret string").scalar()
+    opened = tokens.withColumn("raw", codec.unseal(F.col("token"), key)).withColumn("t", F.from_json("raw", schemas.TOKEN))
     read = opened.select("login_id", "t.*", F.get_json_object("raw", "$.exp").alias("exp_text"))
     good_nonce = nonces.select("nonce").distinct().withColumn("issued", F.lit(True))
-    judged = read.join(good_nonce, "nonce", "left").withColumn(
-        "status", F.when(F.col("userinfo").isNull(), "bad_token").when(F.coalesce(is_expired(F.col("exp_text"), F.lit(now)), F.lit(True)), "expired").when(F.col("issued").isNull(), "bad_nonce")
-    )
-    probes = judged.where("status IS NULL").select(
-        F.col("login_id").alias("probe_id"),
-        F.lit(method or config.aliases[0]).alias("external_method"),
+    status = F.when(F.col("userinfo").isNull(), "bad_token").when(F.coalesce(is_expired(F.col("exp_text"), F.lit(now)), F.lit(True)), "expired").when(F.col("issued").isNull(), "bad_nonce")
+    judged = read.join(good_nonce, "nonce", "left").select(
+        "login_id",
+        status.alias("status"),
         F.col("userinfo.sub").alias("external_id"),
         F.col("userinfo.orcid").alias("orcid"),
         F.col("kc_username").alias("member_name"),
         or_else(F.col("primary_email"), F.col("userinfo.email")).alias("email"),
     )
+    judged = cut_lineage(judged)  # tokens are opened once; what is kept of them is the keys alone
+    keys = ("external_id", "orcid", "member_name", "email")
+    probes = judged.where("status IS NULL").select(F.col("login_id").alias("probe_id"), F.lit(method or config.aliases[0]).alias("external_method"), *keys)
     found = resolve.resolve_identity(probes, resolve.user_keys(users, identities, config.member_field), config.provider, "fallthrough").withColumnRenamed("probe_id", "login_id")
     status = F.coalesce("status", F.when(F.col("user_id").isNull(), "new_user").otherwise("ok"))
-    return judged.join(found, "login_id", "left").select("login_id", status.alias("status"), "user_id", "level", F.col("userinfo.sub").alias("sub"))
+    return judged.join(found, "login_id", "left").select("login_id", status.alias("status"), "user_id", "level", F.col("external_id").alias("sub"))
 
 
 @dataclass
@@ -258,8 +262,33 @@ def logout(requests: DataFrame, users: DataFrame, identities: DataFrame, session
 
 
 def batch_update_ids(items: DataFrame) -> DataFrame:
-    """Distinct ids of command-line items (column item), ranges expanded, as text."""
-    return items.select(F.explode(number_range(F.col("item"))).alias("id")).distinct()
+    """Distinct ids of command-line items (column item) as text: a-b is every number from a to b, all else is itself.
+
+    A range is taken apart level by level, 256 blocks to a block, so that no row holds more than a few thousand numbers however wide it is."""
+    none = F.array().cast("array<struct<level:int,block:bigint>>")
+    blocks = _ranges(items).select(F.explode("blocks").alias("b")).select("b.level", "b.block").distinct()
+    for level in range(LEVELS - 1, 0, -1):
+        inner = F.transform(F.sequence(F.lit(0), F.lit((1 << BITS) - 1)), lambda n: F.struct((F.col("level") - 1).alias("level"), (F.shiftleft("block", BITS) + n).alias("block")))
+        own = F.array(F.struct("level", "block"))
+        blocks = blocks.select(F.explode(F.when(F.col("level") == level, inner).otherwise(F.coalesce(own, none))).alias("b")).select("b.level", "b.block")
+    return _single(items).unionByName(blocks.select(F.col("block").cast("string").alias("id"))).distinct()
+
+
+def _ranges(items: DataFrame) -> DataFrame:
+    return items.where(F.col("item").rlike(RANGE)).select(range_blocks(F.col("item")).alias("blocks"))
+
+
+def _single(items: DataFrame) -> DataFrame:
+    return items.where(~F.col("item").rlike(RANGE)).select(F.col("item").alias("id"))
+
+
+def ids_in_items(ids: DataFrame, items: DataFrame) -> DataFrame:
+    """The ids (column id, text) that command-line items ask for. Ranges are not expanded: an id meets the few blocks that hold it."""
+    blocks = _ranges(items).select(F.explode("blocks").alias("b")).select("b.level", "b.block").distinct()
+    number = F.when(F.col("id").rlike(r"^(0|[1-9]\d{0,17})$"), F.col("id").try_cast("bigint"))
+    met = ids.select("id").distinct().select("id", F.explode(blocks_of(number)).alias("b")).select("id", "b.level", "b.block").where("block IS NOT NULL")
+    in_range = met.join(blocks, ["level", "block"], "left_semi").select("id")
+    return in_range.union(ids.select("id").join(_single(items), "id", "left_semi")).distinct()
 
 
 def batch_update_targets(ids: DataFrame, identities: DataFrame, sources: list[str], by: str = "user_id") -> DataFrame:
@@ -269,11 +298,14 @@ def batch_update_targets(ids: DataFrame, identities: DataFrame, sources: list[st
     return resolve.by_source_priority(ids.select("id"), tables, "id").select("id", "matched_source", "value.user_id", "value.external_id")
 
 
-def batch_update(items: DataFrame, users: DataFrame, user_roles: DataFrame, identities: DataFrame, profiles: DataFrame, sources: list[str], config: Config, by: str = "user_id") -> tuple[UserSync, DataFrame]:
+def batch_update(items: DataFrame, users: DataFrame, user_roles: DataFrame, identities: DataFrame, profiles: DataFrame, sources: list[str], config: Config, by: str = "user_id", list_missing: bool = True) -> tuple[UserSync, DataFrame]:
     """The sync of the users that command-line items mean, and (id, matched_source, user_id, bucket) of every id.
 
-    items: item. profiles: as sync_users takes them. An id without an identity in any source is not_found_local; the others are in the bucket of their user's sync."""
-    targets = cut_lineage(batch_update_targets(batch_update_ids(items), identities, sources, by))
+    items: item. profiles: as sync_users takes them. An id without an identity in any source is not_found_local; the others are in the bucket of their user's sync. Without
+    list_missing such ids of ranges are left out, so that the work follows the identities and not the width of the ranges."""
+    key = F.col("user_id").cast("string") if by == "user_id" else F.col("id")
+    ids = batch_update_ids(items) if list_missing else ids_in_items(identities.where(F.col("method").isin(sources)).select(key.alias("id")), items).union(_single(items)).distinct()
+    targets = cut_lineage(batch_update_targets(ids, identities, sources, by))
     sync = sync_users(users, user_roles, targets.where("user_id IS NOT NULL").select("user_id").distinct(), profiles, config)
     met = targets.join(sync.outcomes, "user_id", "left")
     return sync, met.select("id", "matched_source", "user_id", F.coalesce("bucket", F.lit("not_found_local")).alias("bucket"))

@@ -259,3 +259,32 @@ def test_streams(spark, tmp_path):
     table = spark.createDataFrame([("users", "updated")], "entity_type string, event string")
     streams.write_routes(streams.route_stream(stream(), table), str(tmp_path / "routes"), str(tmp_path / "ck2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "routes")).where("route = 'update_user'").count() == 5
+
+
+def test_login_plans_do_not_show_the_secret(spark):
+    """Neither the shared secret nor the key made of it."""
+    import hashlib
+
+    secret = "a secret that nobody may read"
+    tokens = spark.createDataFrame([(1, "x")], "login_id long, token string")
+    nonces = spark.createDataFrame([("n",)], "nonce string")
+    users = spark.createDataFrame([(1, "ann", "ann@x", None)], "user_id long, username string, email string, user_profile string")
+    identities = spark.createDataFrame([], "method string, id string, user_id long")
+    key = spark.createDataFrame([(secret,)], "secret string").scalar()
+    from concord.functions import codec
+
+    opened = tokens.select(codec.unseal(F.col("token"), key).alias("raw"))
+    opened.collect()
+    shown = opened._jdf.queryExecution().toString().lower()
+    digest = hashlib.sha256(secret.encode()).hexdigest()
+    assert secret not in shown and digest not in shown and "aes" in shown
+    assert [r["status"] for r in pipelines.broker_login(tokens, secret, nonces, users, identities, "1", CONFIG).collect()] == ["bad_token"]
+
+
+def test_wide_ranges_on_the_command_line(spark):
+    items = spark.createDataFrame([("5-7",), ("6-9",), ("3-1",), ("x",), ("12",), ("100-3000000000",)], "item string")
+    ids = spark.createDataFrame([("6",), ("8",), ("12",), ("012",), ("2999999999",), ("3000000001",), ("x",), ("y",)], "id string")
+    assert rows(pipelines.ids_in_items(ids, items)) == [("12",), ("2999999999",), ("6",), ("8",), ("x",)]
+    assert sorted(r["id"] for r in pipelines.batch_update_ids(items.where("item NOT LIKE '100%'")).collect()) == ["12", "5", "6", "7", "8", "9", "x"]
+    wide = spark.createDataFrame([("1-70000",)], "item string")
+    assert pipelines.batch_update_ids(wide).count() == 70_000

@@ -114,3 +114,43 @@ def test_codec_round_trip_and_wrong_key(spark):
 def test_codec_reads_a_token_of_another_tool(spark):
     """Made with openssl: AES-256-CBC under the SHA-256 of 'a secret', the initial vector 00 01 … 0f in front."""
     assert one(spark, codec.unseal(F.lit("AAECAwQFBgcICQoLDA0ODwcvyV92ovhw_i3-TnBvHjI="), F.lit("a secret"))) == '{"sub": "ann"}'
+
+
+@pytest.mark.parametrize("low, high", [(0, 0), (5, 4), (1, 300), (255, 256), (256, 65_791), (70_000, 70_000), (1, 70_123), (123_456, 9_876_543)])
+def test_range_blocks_hold_the_range(spark, low, high):
+    """Each number once, and no other: blocks don't overlap, and hold as many numbers as the range."""
+    blocks = sorted((b["block"] << 8 * b["level"], 1 << 8 * b["level"]) for b in one(spark, names.range_blocks(F.col("i")), i=(f"{low}-{high}", "string")))
+    at = low
+    for start, width in blocks:
+        assert start == at
+        at += width
+    assert at == max(high + 1, low)
+
+
+def test_wide_ranges_have_few_blocks(spark):
+    assert len(one(spark, names.range_blocks(F.col("i")), i=("1-999999999999999999", "string"))) < 4000
+    assert one(spark, names.range_blocks(F.col("i")), i=("1-x", "string")) is None
+    held = {(b["level"], b["block"]) for b in one(spark, names.blocks_of(F.col("n")), n=(66_000, "long"))}
+    assert held & {(b["level"], b["block"]) for b in one(spark, names.range_blocks(F.col("i")), i=("1-3000000000", "string"))} and len(held) == 8
+
+
+def test_groups_that_a_name_may_mean(spark):
+    of = lambda name: sorted(one(spark, names.groups_named(F.col("n"), "p.q"), n=(name, "string")))
+    assert of("p.q---1|a") == ["1"] and of("x p.q---1|see p.q---2|b") == sorted(["1", "1|see p.q---2", "2"])
+    assert of("pxq---1|a") == of("p.q---1") == of("") == []
+
+
+@pytest.mark.parametrize(
+    "target, out",
+    [("https://evil.org//evil.com/p", "/evil.com/p"), ("https://evil.org/\\evil.com", "/"), ("HTTP://OK.ORG/a", "HTTP://OK.ORG/a"), ("data:text/html,x", "/"), ("https://x.org/\n/evil.com", "/evil.com"), ("///evil.com/", "/evil.com/"), ("https://ok.org@evil.com/q", "/q")],
+)
+def test_redirects_stay_here(spark, target, out):
+    assert one(spark, urls.safe_redirect(F.col("t"), F.lit(None).cast("string"), ("ok.org",)), t=(target, "string")) == out
+
+
+def test_query_goes_before_the_fragment(spark):
+    assert one(spark, urls.with_query(F.lit("https://x/#f?next=b"), a=F.lit("c"))) == "https://x/?a=c#f?next=b"
+
+
+def test_provider_is_no_pattern(spark):
+    assert one(spark, names.strip_provider(F.col("u"), "a.b"), u=("axb A.B", "string")) == "axb "
