@@ -4,8 +4,9 @@ A text is split at its added tokens, then at single ASCII blanks between two oth
 parts are split further by the vocabulary's pattern into words. All unseen words of a slab of texts are
 encoded together: their symbols lie in one flat array, the key of each adjacent pair is looked up by binary search in
 the sorted keys of the merges, the lowest rank of each word is found by a segmented minimum, and all its pairs
-of that rank are merged, left to right. Words without a mergeable pair leave the array. Rounds end when it is empty.
-Parts and words already encoded stay in dictionaries of bounded size, which live as long as the Python worker.
+of that rank are merged, left to right. Words without a mergeable pair leave the array. Rounds end when it is empty. Words of more than 512
+bytes share another flat array, whose pairs wait by rank: a round takes the lowest, merges it in all words, and looks up the new pairs only, so that a word of a megabyte takes seconds.
+Parts and words already encoded stay in dictionaries of bounded entries and bytes, which live as long as the Python worker.
 
 Encoding and decoding look at one document at a time, so the job needs no shuffle. Slabs bound the memory.
 
@@ -17,6 +18,7 @@ encoded as that token, as the vocabulary's library does.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -30,6 +32,9 @@ from pyspark.sql import functions as F
 #: Fixed value: the pattern that splits a text into words, as the vocabulary was made with it.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SLAB = 1 << 22
+#: Bytes of a word from which on its pairs are kept by rank; bytes of text that the dictionaries may hold.
+LONG = 512
+HELD = 1 << 25
 NONE = np.int64(1) << 40
 
 
@@ -64,11 +69,70 @@ class ByteBPE:
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pattern = regex.compile(WORDS)
         self.clean = re.compile(r"(?<=\S) (?=\S)")
-        self.most = most
+        self.most, self.held = most, 0
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word. Rounds look at every symbol, which is right for many short words; long ones are merged in the order of ranks instead."""
+        long = [k for k, w in enumerate(words) if len(w) > LONG]
+        if not long:
+            return self._rounds(words)
+        found = dict(zip(long, self._by_rank([words[k] for k in long]), strict=True))
+        short = iter(self._rounds([w for w in words if len(w) <= LONG]))
+        return [found[k] if k in found else next(short) for k in range(len(words))]
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of symbols, by binary search; NONE for pairs that are not merged, and where right is -1."""
+        key = np.where(right < 0, np.int64(-1), left * self.size + right)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], NONE)
+
+    def _by_rank(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word: one flat array, whose pairs wait by rank. A round merges all pairs of the lowest rank, and looks up only the pairs beside them, so all
+        rounds together look at each symbol a few times."""
+        symbol = np.append(self.first_ids[np.frombuffer(b"".join(words), dtype=np.uint8)], -1)
+        n = len(symbol) - 1  # the place behind the end, which no pair has
+        ends = np.cumsum([len(w) for w in words])
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[ends - 1], before[np.append(0, ends[:-1])] = n, n
+        rank, alive = np.full(n + 1, NONE), np.ones(n + 1, dtype=bool)
+        waiting: dict[int, list[np.ndarray]] = {}
+        order: list[int] = []
+
+        def look_up(places: np.ndarray) -> None:
+            rank[places] = found = self._ranks(symbol[places], symbol[after[places]])
+            by_rank = np.argsort(found, kind="stable")
+            places, found = places[by_rank], found[by_rank]
+            places, found = places[: np.searchsorted(found, NONE)], found[: np.searchsorted(found, NONE)]
+            cuts = np.flatnonzero(found[1:] != found[:-1]) + 1
+            for r, some in zip(found[np.append(0, cuts)].tolist() if len(found) else (), np.split(places, cuts), strict=False):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(order, r)
+                waiting[r].append(some)
+
+        look_up(np.arange(n))
+        while order:
+            r = heapq.heappop(order)
+            hit = np.unique(np.concatenate(waiting.pop(r)))
+            hit = hit[alive[hit] & (rank[hit] == r)]
+            if not len(hit):
+                continue
+            # As in a round: every other pair of a run of pairs that overlap is merged.
+            here = np.arange(len(hit))
+            begins = np.concatenate([[True], after[hit[:-1]] != hit[1:]])
+            hit = hit[(here - np.maximum.accumulate(np.where(begins, here, 0))) % 2 == 0]
+            gone = after[hit]
+            symbol[hit], alive[gone], rank[gone] = self.merged[r], False, NONE
+            after[hit] = after[gone]
+            before[after[hit]] = hit
+            beside = np.unique(np.concatenate([hit, before[hit]]))
+            look_up(beside[beside < n])
+        found, owner = symbol[:n][alive[:n]], np.searchsorted(ends, np.flatnonzero(alive[:n]), side="right")
+        return np.split(found, np.cumsum(np.bincount(owner, minlength=len(words)))[:-1])
+
+    def _rounds(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word, by merge rounds over one flat array of all their symbols."""
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         symbol = self.first_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
@@ -76,10 +140,9 @@ class ByteBPE:
         done_symbols, done_owners = [], []
         while len(symbol):
             first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            key = np.full(len(symbol), -1, dtype=np.int64)
-            key[:-1] = np.where(owner[1:] == owner[:-1], symbol[:-1] * self.size + symbol[1:], -1)
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            rank = np.where(self.keys[at] == key, self.ranks[at], NONE)
+            following = np.full(len(symbol), -1, dtype=np.int64)
+            following[:-1] = np.where(owner[1:] == owner[:-1], symbol[1:], -1)
+            rank = self._ranks(symbol, following)
             best = np.minimum.reduceat(rank, first)
             best = np.repeat(best, np.diff(np.append(first, len(symbol))))
             over = best == NONE
@@ -105,15 +168,17 @@ class ByteBPE:
         new = [p for p in parts if p not in self.parts]
         if not new:
             return
-        if len(self.parts) > self.most:
+        if len(self.parts) > self.most or self.held > HELD:
             self.parts.clear()
-            new = list(parts)
+            self.words.clear()
+            self.held, new = 0, list(parts)
         if len(self.words) > self.most:
             self.words.clear()
         split = [self.pattern.findall(p) for p in new]
         unseen = [*{w for ws in split for w in ws}.difference(self.words)]
         self.words.update(zip(unseen, (i.astype("<u4").tobytes() for i in self.encode_words([w.encode("utf-8", "surrogatepass") for w in unseen])), strict=True))
         known = self.words
+        self.held += sum(map(len, new)) + sum(map(len, unseen))
         self.parts.update((p, b"".join([known[w] for w in ws])) for p, ws in zip(new, split, strict=True))
 
     def _parts(self, text: str) -> list[str]:

@@ -45,6 +45,8 @@ MARK = "\x01"
 JOINED = 200
 #: Bytes of text (or one longer text) that a worker encodes at a time.
 SLAB = 1 << 22
+#: Characters of pieces that the dictionaries may hold.
+HELD = 1 << 25
 #: The steps by which the vocabulary makes words of a text, and what ends a word's last token.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -71,7 +73,7 @@ def joined(values: pa.Array) -> str:
 class PieceEncoder:
     """Ids of whole texts by way of their blank-separated pieces (as little-endian 32-bit bytes).
 
-    Pieces that come again in a later slab are kept apart from those seen in one slab only; each kind is forgotten when a slab begins and it exceeds `most`.
+    Pieces that come again in a later slab are kept apart from those seen in one slab only; each kind is forgotten when a slab begins and it exceeds `most`, and all are once they hold HELD characters.
     ASCII pieces are taken apart into words here, where the vocabulary's own steps are the ones stated above, and the words are given to
     its merges alone; all others go through the library as they are."""
 
@@ -84,7 +86,7 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.most, self.often, self.once, self.words = most, {}, {}, {}
+        self.most, self.held, self.often, self.once, self.words = most, 0, {}, {}, {}
         self.mark = self._library([MARK])[0]
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
         self.merges = None
@@ -132,10 +134,14 @@ class PieceEncoder:
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         pieces = joined(coded.dictionary).split("\n")  # quicker than one conversion each; no piece has a line end
+        if self.held > HELD:
+            self.once, self.often, self.words, self.held = {}, {}, {}, 0
         self.once, self.often, self.words = (d if len(d) <= self.most else {} for d in (self.once, self.often, self.words))
         unsure = [p for p in pieces if p not in self.often]
         self.often.update((p, self.once[p]) for p in unsure if p in self.once)
-        self._learn([p for p in unsure if p not in self.often])
+        new = [p for p in unsure if p not in self.often]
+        self.held += sum(map(len, new))
+        self._learn(new)
         often, once = self.often, self.once
         found = [often[p] if p in often else once[p] for p in pieces]
         of_piece = np.fromiter((len(f) >> 2 for f in found), dtype=np.int64, count=len(found))

@@ -59,8 +59,14 @@ def _mixed(run: str) -> bool:
 
 
 def weak_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of bare keys and endpoints."""
-    found = [(m.start(), 3, m.end()) for m in KEY.finditer(text) if _mixed(m[0]) and not any(s < m.end() and m.start() < e for s, _, e in base)]
+    """(start, kind, end) of bare keys and endpoints. Matches and base spans are both in order, so one pass tells which keys meet a base span."""
+    found, at, reach = [], 0, 0  # reach: where the base spans that start before a match ends come to an end
+    for m in KEY.finditer(text):
+        while at < len(base) and base[at][0] < m.end():
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach <= m.start() and _mixed(m[0]):
+            found.append((m.start(), 3, m.end()))
     if "://" in text:
         found += [(m.start(), 4, m.end()) for m in ENDPOINT.finditer(text)]
     return found

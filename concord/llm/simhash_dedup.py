@@ -303,7 +303,7 @@ def links_of_group(low: np.ndarray, high: np.ndarray | None, turn: int, depth: i
 
 def trie_self_join(fps: DataFrame, budget: int, total: int, node_rows: int = 8192) -> DataFrame:
     """Edges (u, v) that connect all distinct values of fps.fp within `budget` bits, of which there are `total`; fps.fp is distinct."""
-    depth = min(20, max(3, math.ceil(math.log2(max(total, 1) / node_rows))))
+    depth = min(28, max(3, math.ceil(math.log2(max(total, 1) / node_rows))))
     turned = F.array(
         F.struct(F.lit(0).cast("long").alias("turn"), F.col("fp").alias("key")),
         F.struct(F.lit(1).cast("long").alias("turn"), F.shiftleft("fp", HALF).bitwiseOR(F.shiftrightunsigned("fp", HALF)).alias("key")),
@@ -334,12 +334,12 @@ def _place(node: str, block: Column) -> Column:
     return F.shiftleft("turn", 60) + F.shiftleft(node, 32) + block
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node and label (the smallest node of its component, as signed longs) for every node that has an edge."""
+def components(edges: DataFrame) -> DataFrame:
+    """node and label (the smallest node of its component, as signed longs) for every node that has an edge. Labels only get smaller, so the rounds end."""
     both = cut_lineage(edges.select("u", "v").union(edges.select("v", "u")).distinct())
     labels = both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("node"), F.min("v")).alias("label"))
     labels = cut_lineage(labels)
-    for _ in range(most_rounds):
+    while True:
         heard = both.join(labels, both["v"] == labels["node"]).groupBy("u").agg(F.min("label").alias("heard"))
         lower = labels.join(heard, labels["node"] == heard["u"]).select("node", F.col("label").alias("was"), F.least("label", "heard").alias("label"))
         jump = lower.select(F.col("node").alias("at"), F.col("label").alias("further"))
@@ -347,7 +347,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         labels = stepped.select("node", "label")
         if stepped.where("label <> was").isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
 def _slabs(left: np.ndarray, first: np.ndarray, end: np.ndarray, slab: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -366,7 +365,7 @@ def blocked_self_join(texts: DataFrame, similarity: float, small: int = 256, nod
     """Edges (u, v) that connect the texts (name, keys, size, profile) that share a block key and may be similar by their sizes and profiles.
 
     texts is a stored table or a checkpoint: it is read several times, and only keys that several texts share are kept in between.
-    Keys of up to `small` texts are compared many to a group; a larger one is dealt into blocks, and each pair of blocks is a group."""
+    Keys of up to `small` texts are compared many to a group; a larger one is dealt into blocks by size, and each pair of blocks that may hold similar sets is a group."""
     rows = texts.select("name", F.explode("keys").alias("key"))
     shared = cut_lineage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     met = cut_lineage(rows.join(shared, "key"))
@@ -408,9 +407,16 @@ def blocked_self_join(texts: DataFrame, similarity: float, small: int = 256, nod
 
     few = met.where(F.col("n") <= small).select("name", "key", F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group"))
     few = few.join(texts.select(*held), "name")
-    blocks = F.ceil(F.col("n") / node_rows).cast("int")
-    dealt = met.where(F.col("n") > small).select("name", "key", blocks.alias("blocks"), F.pmod(F.hash("name", F.lit(7)), blocks).alias("mine")).join(texts.select(*held), "name")
-    many = dealt.select(*held, "key", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("theirs")).select(
+    # Similar sets are of about one size: only blocks of one class of sizes, or of two that are side by side, meet.
+    kind = F.floor(F.ln(F.greatest(F.col("size"), F.lit(1))) / (1.0001 * math.log(1 / similarity))).cast("int")
+    of_key = met.where(F.col("n") > small).join(texts.select(*held), "name").withColumn("kind", kind)
+    counts = of_key.groupBy("key", "kind").agg(F.ceil(F.count("*") / node_rows).cast("int").alias("blocks"))
+    counts = cut_lineage(counts.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("kind", "blocks"))).alias("blocks")))
+    place = lambda kind, block: F.shiftleft(kind, 22) + block
+    blocks = lambda kind: F.coalesce(F.try_element_at("blocks", kind), F.lit(0))
+    met_by = F.flatten(F.transform(F.array(*[F.col("kind") + d for d in (-1, 0, 1)]), lambda k: F.when(blocks(k) > 0, F.transform(F.sequence(F.lit(0), blocks(k) - 1), lambda j: place(k, j))).otherwise(F.array().cast("array<int>"))))
+    dealt = of_key.join(counts, "key").withColumn("mine", place(F.col("kind"), F.pmod(F.hash("name", F.lit(7)), blocks(F.col("kind")))))
+    many = dealt.select(*held, "key", "mine", F.explode(met_by).alias("theirs")).select(
         *held, "key", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"), (F.col("mine") > F.col("theirs")).alias("side")
     )
     schema = "u long, v long"

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -88,3 +89,29 @@ def test_odd_documents(odd_documents, no_documents, tokenizer):
 def test_slabs():
     assert [len(x) for x in bpe.slabs(["a" * 5] * 7, most=10)] == [2, 2, 2, 1]
     assert list(bpe.slabs([])) == [] and np.array_equal(np.concatenate([[1]]), [1])
+
+
+def test_long_words(own, tokenizer):
+    """Words that are merged by rank: letters in any order, runs of one letter, and several such words in one text."""
+    rng = random.Random(7)
+    any_letters = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    for text in (any_letters(6000, "abcdefghijklmnopqrstuvwxyz"), any_letters(3001, "ab"), "a" * 2999, any_letters(4000, "theandofing"), "é" * 700, " ".join(any_letters(900, "etaoin") for _ in range(5)) + " and short ones"):
+        agrees(own, tokenizer, text)
+    words = [any_letters(n, "estarnd").encode() for n in (513, 512, 5, 2000, 1, 700)]
+    assert [i.tolist() for i in own._by_rank(words)] == [i.tolist() for i in own._rounds(words)] == [i.tolist() for i in own.encode_words(words)]
+
+
+def test_a_word_of_a_megabyte_takes_seconds(own):
+    rng = np.random.default_rng(1)
+    word = rng.choice(np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", dtype=np.uint8), 1 << 20).tobytes()
+    began = time.perf_counter()
+    ids = own.encode_words([word])[0]
+    assert time.perf_counter() - began < 60 and own.decode(ids).encode() == word
+
+
+def test_dictionaries_hold_bounded_bytes(own, monkeypatch):
+    monkeypatch.setattr(bpe, "HELD", 1000)
+    small = bpe.ByteBPE(PATH)
+    for k in range(20):
+        small.encode_slab([f"{'x' * 300}{k} y"])
+        assert small.held < 2000
