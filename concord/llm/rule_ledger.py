@@ -3,7 +3,7 @@
 Every rule is evaluated once for each document. The ledger keeps what was measured and one long whose bit r is
 set where rule r fails. A policy is a named, versioned set of rules: applying one is a bitwise AND with its mask, so policies
 can be compared, replayed and ablated without reading a text again. Ablations come from the histogram of failure bits,
-at most 2 ** rules rows, built by a partial aggregation.
+at most 2 ** rules rows, built by a partial aggregation. `stored_ledger` writes the ledger once, in a folder of the rule set's own version, and what follows reads that.
 
 Repeated windows: words are hashed (64 bits), five hashes in a row are hashed again, and two windows of one document
 count as equal when those hashes agree. Only where a document has equal windows are its windows sorted to
@@ -17,9 +17,13 @@ them all, whatever their names. A null id is kept as it is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from hashlib import sha256
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concord.session import shared_path
+
 BLANKS = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -101,6 +105,23 @@ def build_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return measure(picked, F.col("text")).withColumn("failure_bits", failure_bits()).select("doc_id", *MEASURES, "failure_bits")
 
 
+def rule_set() -> str:
+    """The version of the rules as such: it changes with their names, order, tests and measurements."""
+    return sha256(repr((RULES, MEASURES, WINDOW, BLANKS, SYMBOLS)).encode()).hexdigest()[:12]
+
+
+def stored_ledger(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger of docs, written below path (the shared folder by default) and read again; read_ledger finds it later."""
+    path = path or shared_path(docs.sparkSession, "rule-ledger")
+    build_ledger(docs, id_col, text_col).write.parquet(f"{path}/rule_set={rule_set()}")
+    return read_ledger(docs.sparkSession, path)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """A stored ledger; one that was made by other rules than these is not there."""
+    return spark.read.parquet(f"{path}/rule_set={rule_set()}")
+
+
 def passes(version: str, bits: Column | None = None) -> Column:
     return (F.col("failure_bits") if bits is None else bits).bitwiseAND(F.lit(policy_mask(version)).cast("long")) == 0
 
@@ -133,7 +154,7 @@ def _settled(value: Column) -> Column:
 
 
 def op8_rule_ledger(spark, sf_dir: str) -> DataFrame:
-    ledger = build_ledger(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    ledger = stored_ledger(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     base = F.col("failure_bits").bitwiseAND(F.lit(policy_mask("v1")).cast("long")) != 0
     return ledger.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & passes(CURRENT)).alias("kept"), "failure_bits"
@@ -167,7 +188,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 
 def rule_ablations(spark, sf_dir: str) -> DataFrame:
     """What each rule of each version of the policy is worth, over all documents."""
-    return ablations(build_ledger(spark.read.parquet(f"{sf_dir}/documents.parquet")), *POLICIES)
+    return ablations(stored_ledger(spark.read.parquet(f"{sf_dir}/documents.parquet")), *POLICIES)
 
 
 ABLATIONS_ORACLE = f"""

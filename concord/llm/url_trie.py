@@ -3,7 +3,9 @@
 Each list entry is a host and a path. Entries live in one trie: first the host's labels from the right, then
 the path's segments. A url walks its own labels and segments down the trie once, and the deepest entry met decides,
 whether it allows or blocks: more host labels win first, then a longer path. The lists are configuration, so the trie
-is small; building it refuses more than `most_rules` entries, which bounds what is broadcast.
+is small; building it refuses more than `most_rules` entries, which bounds what is broadcast. Lists of any length are judged as a table, by
+`judge_by_table`: the same walk as two equality joins over distinct urls, first from each suffix of the host to the lengths of the paths that entries of that host have, then
+from host and that much of the path to the entry.
 
 An entry fits its host and all subdomains when the url's path starts with the entry's path, in characters: the last
 part of an entry's path may end inside a segment (`/en` fits `/english`, `/en/` does not fit `/en`).
@@ -31,7 +33,7 @@ class UrlTrie:
         self.root: dict = {}
         for n, (host, path, verdict) in enumerate(rules, 1):
             if n > most_rules:
-                raise ValueError(f"more than {most_rules} entries: filter by a join on host suffixes instead")
+                raise ValueError(f"more than {most_rules} entries: give them as a table to judge_by_table")
             node = self.root
             for label in reversed(host.split(".")):
                 node = node.setdefault("labels", {}).setdefault(label, {})
@@ -91,6 +93,23 @@ def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default:
     return split.withColumn("found", judge("host", "path")).select("page_id", "host", "path", "found.rule", "found.verdict")
 
 
+def judge_by_table(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """As judge_urls, for rules as a table (host, path, verdict) of any size; nothing of it goes to the driver or to all tasks."""
+    host, path = host_and_path(F.col(url_col))
+    split = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
+    two = F.raise_error(F.concat(F.lit("entry has two verdicts: "), "rule_host", "rule_path"))
+    entries = rules.select(F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict").groupBy("rule_host", "rule_path")
+    entries = entries.agg(F.min("verdict").alias("verdict"), F.max("verdict").alias("other")).withColumn("verdict", F.when(F.col("verdict") != F.col("other"), two).otherwise(F.col("verdict"))).drop("other")
+    lengths = entries.groupBy("rule_host").agg(F.collect_set(F.length("rule_path")).alias("lengths"))
+    labels = F.split("host", r"\.", -1)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.struct(F.array_join(F.slice(labels, k, F.size(labels)), ".").alias("rule_host"), (F.size(labels) - k).alias("depth")))
+    urls = split.select("host", "path").distinct()
+    met = urls.select("host", "path", F.explode(suffixes).alias("s")).select("host", "path", "s.rule_host", "s.depth").join(lengths, "rule_host")
+    asked = met.select("host", "path", "rule_host", "depth", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("n")).withColumn("rule_path", F.expr("substring(path, 1, n)"))
+    fits = asked.join(entries, ["rule_host", "rule_path"]).groupBy("host", "path").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), F.struct("depth", "n")).alias("best"))
+    return split.join(fits, ["host", "path"], "left").select("page_id", "host", "path", "best.rule", F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+
+
 def op7_url_trie(spark, sf_dir: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), RULES)
 

@@ -77,3 +77,18 @@ def test_odd_documents(odd_documents, no_documents, version):
 def test_null_text_fails(spark):
     df = spark.createDataFrame([(1, None)], "doc_id long, text string")
     assert r.build_ledger(df).select(F.col("failure_bits").bitwiseAND(F.lit(1))).first()[0] == 1
+
+
+def test_stored_ledger_serves_policies_without_the_texts(spark, tmp_path, monkeypatch):
+    """What was written is read for policies and ablations; under other rules it isn't there."""
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    made, path = r.build_ledger(df), str(tmp_path / "ledger")
+    stored = r.stored_ledger(df, path)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, made.collect()))
+    assert "split" not in stored.where(r.passes("v2"))._jdf.queryExecution().toString().lower()
+    assert sorted(map(str, r.ablations(r.read_ledger(spark, path), *r.POLICIES).collect())) == sorted(map(str, r.ablations(made, *r.POLICIES).collect()))
+    version = r.rule_set()
+    monkeypatch.setattr(r, "RULES", [*r.RULES, ("shouting", "n_capitals > 9")])
+    assert r.rule_set() != version
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        r.read_ledger(spark, path)

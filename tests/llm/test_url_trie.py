@@ -58,3 +58,19 @@ def test_very_long_urls(spark):
     urls = ["https://" + "a." * 20_000 + "net/" + "x/" * 20_000, "https://" + "a." * 20_000 + "example.net/en/" + "x/" * 20_000, "https://net/" + "x" * 300_000]
     rows = u.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), u.RULES).orderBy("page_id").collect()
     assert [(r["rule"], r["verdict"]) for r in rows] == [("net/", "block"), ("example.net/en/", "allow"), ("net/", "block")]
+
+
+def test_lists_as_a_table(spark):
+    """The same verdicts from joins, also with very many entries, one host of which has most of them."""
+    rows = [(k, url, "x") for k, url in enumerate(URLS)] + [(None, "http://net/", "x")] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, rule string")
+    listed = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    wanted = sorted(map(tuple, u.judge_urls(pages, RULES).collect()), key=repr)
+    assert sorted(map(tuple, u.judge_by_table(pages, listed).collect()), key=repr) == wanted
+    many = spark.range(300_000).selectExpr("if(id % 3 = 0, concat('h', id, '.net'), 'hot.org') AS host", "concat('/p', id, '/') AS path", "if(id % 2 = 0, 'allow', 'block') AS verdict")
+    asked = spark.createDataFrame([(1, "http://a.hot.org/p7/x"), (2, "http://h3.net/p3/"), (3, "http://h3.net/p4/"), (4, "http://hot.org/p")], "page_id long, url string")
+    found = sorted((r["page_id"], r["rule"], r["verdict"]) for r in u.judge_by_table(asked, many.union(listed), "block").collect())
+    assert found == [(1, "hot.org/p7/", "block"), (2, "h3.net/p3/", "block"), (3, "net/", "block"), (4, None, "block")]
+    assert u.judge_by_table(pages.limit(0), listed).count() == 0 and u.judge_by_table(pages, listed.limit(0)).where("rule IS NULL").count() == len(rows)
+    with pytest.raises(Exception, match="two verdicts"):
+        u.judge_by_table(pages, listed.union(spark.createDataFrame([("net", "/", "allow")], listed.schema))).collect()
