@@ -3,8 +3,9 @@
 Headers are shuffled by payload digest: of the pages with one payload, that with the smallest id is written in
 full as a response, the others become revisit records that name it, its target and its date. The digest, the choice and the join need the
 headers only; a page's html meets its verdict in one join, which Spark splits where one payload is very common. Records are
-text, so Spark's own writer puts them into archives in the shared folder, gzip-compressed, on whatever file system that is;
-the writer's line separator ends each record with the two line ends the format asks for.
+text, so Spark's own writer puts them into archives in the shared folder, on whatever file system that is;
+the writer's line separator ends each record with the two line ends the format asks for. Archives are plain, which any reader can seek in: compressed ones should have a gzip
+member for each record, but Spark's writer makes one a file. Of these (compression="gzip") only whole files can be read. An archive has about ARCHIVE_BYTES; there is no warcinfo record, which the format leaves free.
 
 Reading back parses each archive by the Content-Length of its records, recomputes every response's digest from its bytes and joins
 revisits to their responses by record id, so payload size and digest of a revisit are those of the page it refers to.
@@ -15,8 +16,8 @@ Every record is dated by the time of writing, one for a whole run. html crosses
 
 Cases: a null html is an empty payload; empty payloads are deduplicated like others unless `least_bytes` says that smaller
 ones are always written in full. Rows that repeat the smallest id of a payload are all responses, and revisits refer to the first of them. An id may
-have several payloads; each counts for itself. A null id is written as the empty
-id and is the smallest. A null url is written as an empty target. A very long html is one record, held whole by a task. An empty table gives an empty result. Other columns are ignored.
+have several payloads; each counts for itself. A null id is the smallest, and its record has no Page-ID; other ids are written url-encoded, so that
+blanks, line ends and the empty id come back as they were. A null url is written as an empty target. A very long html is one record, held whole by a task. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +34,9 @@ from pyspark.sql import functions as F
 from concord.session import cut_lineage, discard, shared_path
 
 CRLF = "\r\n"
+ARCHIVE_BYTES = 1 << 24
+HEADER_BYTES = 600
+GZIP = b"\x1f\x8b"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PARSED = "page_id string, record_type string, record_id string, refers_to string, payload_bytes long, payload_digest string, stated_digest string"
@@ -62,7 +67,7 @@ def plan_records(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id"
     text_id = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     digest = F.col("digest")
     return met.select(
-        text_id("id").alias("page_id"), "url", "html", "digest", "n_bytes", record_id(text_id("id"), digest, F.col("row")).alias("record_id"),
+        F.col("id").cast("string").alias("page_id"), "url", "html", "digest", "n_bytes", record_id(text_id("id"), digest, F.col("row")).alias("record_id"),
         F.when(revisit, text_id("first.id")).alias("original"), F.when(revisit, record_id(text_id("first.id"), digest, F.col("first.row"))).alias("original_record"), F.when(revisit, F.col("first.url")).alias("original_url"),
     )
 
@@ -85,16 +90,16 @@ def records(planned: DataFrame, written: Column | None = None) -> DataFrame:
         F.when(revisit, F.concat(F.lit("WARC-Refers-To-Target-URI: "), target("original_url"))),
         F.when(revisit, F.concat(F.lit("WARC-Refers-To-Date: "), date)),
         F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}")),
-        F.concat(F.lit("Page-ID: "), F.col("page_id")),
+        F.concat(F.lit("Page-ID: "), F.url_encode("page_id")),
         F.lit("Content-Type: application/http;msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
     ]
     return planned.select(F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF + CRLF), block).alias("value"))
 
 
-def write_archives(planned: DataFrame, path: str, records_per_file: int = 500) -> None:
+def write_archives(planned: DataFrame, path: str, records_per_file: int = 500, compression: str = "gzip") -> None:
     """Archives in the folder `path`; records_per_file bounds an archive, which is read by one task."""
-    records(planned).write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
+    records(planned).write.option("lineSep", CRLF + CRLF).option("compression", compression).option("maxRecordsPerFile", records_per_file).text(path)
 
 
 def parse_archive(data: bytes) -> Iterator[tuple]:
@@ -114,7 +119,8 @@ def parse_archive(data: bytes) -> Iterator[tuple]:
         payload = block[block.index(b"\r\n\r\n") + 4 :]
         full = fields["WARC-Type"] == "response"
         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode() if full else None
-        yield (fields.get("Page-ID", ""), fields["WARC-Type"], fields["WARC-Record-ID"], fields.get("WARC-Refers-To"), len(payload) if full else None, digest, fields["WARC-Payload-Digest"].removeprefix("sha1:"))
+        page = unquote_plus(fields["Page-ID"]) if "Page-ID" in fields else None
+        yield (page, fields["WARC-Type"], fields["WARC-Record-ID"], fields.get("WARC-Refers-To"), len(payload) if full else None, digest, fields["WARC-Payload-Digest"].removeprefix("sha1:"))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -126,11 +132,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for content in b.column(0):
-                rows = list(parse_archive(gzip.decompress(content.as_py())))
+                data = content.as_py()
+                rows = list(parse_archive(gzip.decompress(data) if data.startswith(GZIP) else data))
                 columns = [pa.array([r[i] for r in rows], type=pa.int64() if n == "payload_bytes" else pa.string()) for i, n in enumerate(names)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content").mapInArrow(run, PARSED)
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content").mapInArrow(run, PARSED)
 
 
 def resolve_revisits(parsed: DataFrame) -> DataFrame:
@@ -148,14 +155,14 @@ def archive_and_resolve(pages: DataFrame, least_bytes: int = 0, id_col: str = "p
     the shared folder and go once they were read."""
     spark = pages.sparkSession
     where = path or shared_path(spark, "warc")
-    write_archives(plan_records(pages, least_bytes, id_col, url_col, html_col), where)
+    mean = pages.agg(F.avg(F.coalesce(F.octet_length(html_col), F.lit(0)))).first()[0] or 0
+    write_archives(plan_records(pages, least_bytes, id_col, url_col, html_col), where, max(1, int(ARCHIVE_BYTES / (mean + HEADER_BYTES))), "none")
     kind = pages.schema[id_col].dataType
     parsed = cut_lineage(read_archives(spark, where))  # headers and digests only: archives are read once
     if path is None:
         discard(spark, where)
     found = resolve_revisits(parsed)
-    whole = lambda c: F.when(F.col(c) != "", F.col(c)).cast(kind).alias(c)
-    return found.select(whole("page_id"), "payload_bytes", "payload_digest", "record_type", whole("refers_to"))
+    return found.select(F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind))
 
 
 #: The same rows for DuckDB; 160 bits are eight runs of five hex digits, and each run is four base32 digits.

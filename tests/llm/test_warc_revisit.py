@@ -81,3 +81,23 @@ def test_broken_archives_are_told():
 
 def test_no_pages(pages):
     assert w.archive_and_resolve(pages.limit(0)).collect() == []
+
+
+def test_text_ids_come_back_as_they_were(spark):
+    """Blanks, line ends, the empty id and null; a header of its own can't be made of an id."""
+    rows = [("", "http://a/", "one"), (None, "http://b/", "two"), ("a b+c%20", "http://c/", "three"), ("x\r\nWARC-Type: revisit", "http://d/", "four"), ("é\n", "http://e/", "one"), ("z", "http://f/", "two")]
+    found = w.archive_and_resolve(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in found), key=repr) == sorted(
+        [("", "response", None), (None, "response", None), ("a b+c%20", "response", None), ("x\r\nWARC-Type: revisit", "response", None), ("é\n", "revisit", ""), ("z", "revisit", None)], key=repr
+    )
+
+
+def test_plain_archives(spark, pages):
+    """What the operator writes by default: files that begin with a record, and of which each record can be read where it begins."""
+    path = shared_path(spark, "warc-plain")
+    w.archive_and_resolve(pages, path=path).collect()
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()
+    assert files and sum(len(list(w.parse_archive(f["content"]))) for f in files) == len(ROWS)
+    data = next(f["content"] for f in files if f["content"].count(b"WARC-Type") > 1)
+    second = data.index(b"\r\n\r\nWARC/1.1") + 4
+    assert len(list(w.parse_archive(data[second:]))) == len(list(w.parse_archive(data))) - 1
