@@ -1,13 +1,18 @@
 """Remote snapshots: responses as text, one row for each request, with a status for each.
 
 A response table has the request's key, `body` (JSON text, null where none came) and optionally `failure` (timeout, request_error).
-It comes from files that a fetcher left (`read_responses`) or from a service directly (`fetch`)."""
+It comes from files that a fetcher left (`read_responses`) or from a service directly (`fetch`).
+
+Asking a service is a side effect: a task that Spark repeats asks again. With a journal, a folder that all tasks share, every answer is put down there
+under its question as soon as it comes, and a question that has its answer there is not asked again, by whichever task or run. Questions that failed are."""
 
 from __future__ import annotations
 
+import hashlib
 import json
 import urllib.parse
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,25 +43,59 @@ def _ask(url: str, token: str | None, timeout: float, data: bytes | None = None)
         return code, None, "not_found" if code == 404 else "timeout" if isinstance(getattr(e, "reason", None), TimeoutError) else "request_error"
 
 
-def fetch(requests: DataFrame, key: str, base_url: str, token: str | None = None, timeout: float = 5.0) -> DataFrame:
-    """Responses of GET base_url + key for each row of requests; a failed request is a row with its kind of failure."""
+class Journal:
+    """Answers by question, one small file each, in any folder that pyarrow can write to (a path or URI)."""
+
+    def __init__(self, folder: str):
+        from pyarrow import fs
+
+        self.files, self.folder = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        self.missing = fs.FileType.NotFound
+
+    def once(self, question: str, ask: Callable[[], tuple]) -> tuple:
+        """The answer put down for question, or that of ask(), which is put down if it came."""
+        name = hashlib.sha256(question.encode("utf-8", "surrogatepass")).hexdigest()
+        folder, path = f"{self.folder}/{name[:2]}", f"{self.folder}/{name[:2]}/{name}.json"
+        if self.files.get_file_info(path).type != self.missing:
+            with self.files.open_input_stream(path) as f:
+                return tuple(json.loads(f.read()))
+        answer = ask()
+        if answer[0] is not None:
+            self.files.create_dir(folder, recursive=True)
+            draft = f"{folder}/.{name}-{uuid.uuid4().hex}"  # whole or not at all
+            with self.files.open_output_stream(draft) as f:
+                f.write(json.dumps(answer).encode())
+            self.files.move(draft, path)
+        return answer
+
+
+def _asker(journal: str | None) -> Callable[[str, Callable[[], tuple]], tuple]:
+    return Journal(journal).once if journal else lambda _, ask: ask()
+
+
+def fetch(requests: DataFrame, key: str, base_url: str, token: str | None = None, timeout: float = 5.0, journal: str | None = None) -> DataFrame:
+    """Responses of GET base_url + key for each distinct key of requests; a failed request is a row with its kind of failure. journal: see above."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = _asker(journal)
         for b in batches:
-            asked = [_ask(base_url + urllib.parse.quote(str(k)), token, timeout) for k in b.column(0).to_pylist()]
+            urls = [base_url + urllib.parse.quote(str(k)) for k in b.column(0).to_pylist()]
+            asked = [once(f"GET {url}", lambda url=url: _ask(url, token, timeout)) for url in urls]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), *(pa.array([a[i] for a in asked], type=pa.string()) for i in (1, 2))], names=[key, "body", "failure"])
 
-    return requests.select(key).mapInArrow(run, f"{key} string, body string, failure string")
+    return requests.select(key).distinct().mapInArrow(run, f"{key} string, body string, failure string")
 
 
-def send_logouts(notices: DataFrame, url: str, token: str | None = None, timeout: float = 15.0) -> DataFrame:
+def send_logouts(notices: DataFrame, url: str, token: str | None = None, timeout: float = 15.0, journal: str | None = None, batch: str = "") -> DataFrame:
     """POSTs a logout notice for each row (user_name, user_agent); user_name, code, failure and whether the service took it.
 
-    Sending is a side effect: a task that is run again sends again, and a notice may be taken twice."""
+    With a journal (see above) a notice that was answered is not sent again in the same batch, so a task or a run that is repeated sends only what is open. Without one it sends all again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = _asker(journal)
         for b in batches:
-            asked = [_ask(url, token, timeout, json.dumps({"user_name": u, "user_agent": a}).encode()) for u, a in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            bodies = [json.dumps({"user_name": u, "user_agent": a}) for u, a in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            asked = [once(f"POST {batch} {url} {body}", lambda body=body: _ask(url, token, timeout, body.encode())) for body in bodies]
             columns = [pa.array([a[i] for a in asked], type=t) for i, t in ((0, pa.int32()), (1, pa.string()), (2, pa.string()))]
             yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["user_name", "code", "body", "failure"])
 

@@ -288,3 +288,49 @@ def test_wide_ranges_on_the_command_line(spark):
     assert sorted(r["id"] for r in pipelines.batch_update_ids(items.where("item NOT LIKE '100%'")).collect()) == ["12", "5", "6", "7", "8", "9", "x"]
     wide = spark.createDataFrame([("1-70000",)], "item string")
     assert pipelines.batch_update_ids(wide).count() == 70_000
+
+
+def test_a_journal_asks_once(spark, tmp_path):
+    """A service counts what it is asked: each question once, after a failed run, when a plan is computed again and in a later run; failures are asked again."""
+    asked: list[str] = []
+
+    class Service(http.server.BaseHTTPRequestHandler):
+        def answer(self, code, body):
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(json.dumps(body).encode())
+
+        def do_GET(self):
+            asked.append(self.path)
+            self.answer(503 if self.path == "/9" and asked.count("/9") == 1 else 200, {"path": self.path})
+
+        def do_POST(self):
+            notice = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            asked.append(notice["user_name"])
+            self.answer(200, {"data": {"user": notice["user_name"]}, "message": "successful"})
+
+        def log_message(self, *_):
+            pass
+
+    def fails(batches):
+        for b in batches:
+            yield b
+        raise RuntimeError("this task is lost after it asked")
+
+    with http.server.ThreadingHTTPServer(("127.0.0.1", 0), Service) as service:
+        threading.Thread(target=service.serve_forever, daemon=True).start()
+        url, journal = f"http://127.0.0.1:{service.server_address[1]}/", (tmp_path / "journal").as_uri()
+        keys = spark.range(12).union(spark.range(6)).repartition(3)
+        with pytest.raises(Exception, match="this task is lost"):
+            snapshots.fetch(keys, "id", url, journal=journal).mapInArrow(fails, "id string, body string, failure string").collect()
+        for _ in range(2):
+            got = snapshots.fetch(keys, "id", url, journal=journal)
+            assert sorted(int(r["id"]) for r in got.collect()) == list(range(12))
+        assert got.where("failure IS NULL").count() >= 11
+        assert all(asked.count(f"/{k}") == 1 for k in range(12) if k != 9)
+        notices = spark.createDataFrame([(f"u{k}", "x") for k in range(5)], "user_name string, user_agent string")
+        for batch, times in (("monday", 1), ("monday", 1), ("tuesday", 2)):
+            sent = snapshots.send_logouts(notices, url, journal=journal, batch=batch)
+            assert sent.where("accepted").count() == 5
+            assert all(asked.count(f"u{k}") == times for k in range(5))
+        service.shutdown()
