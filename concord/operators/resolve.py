@@ -47,6 +47,20 @@ def probe_keys(probes: DataFrame, provider: str) -> DataFrame:
     return probes.select("probe_id", F.explode(entries).alias("k")).select("probe_id", "k.*")
 
 
+def maybe_known(asked: DataFrame, owners: DataFrame, on: list[str], maps: int = 256) -> DataFrame:
+    """The rows of asked whose key may be one of owners: all that are, and few others as long as owners has far fewer keys than the maps have bits.
+
+    A bitmap of the keys' hashes, `maps` rows of 32768 bits each (1 MB by default, whatever owners holds), goes to all tasks, so that keys that nobody
+    has are dropped before they are shuffled. With very many keys it fills up and drops less; what follows joins in any case."""
+    place = F.pmod(F.xxhash64(*on), F.lit(maps * 32768))
+    at, bit = F.shiftright(place, 15).cast("int"), place.bitwiseAND(F.lit(32767)).cast("int")
+    built = owners.select(at.alias("__at"), bit.alias("__bit")).groupBy("__at").agg(F.bitmap_construct_agg("__bit").alias("__map"))
+    byte = F.conv(F.hex(F.substring("__map", F.shiftright("__bit", 3) + 1, F.lit(1))), 16, 10).cast("int")
+    shift = F.col("__bit").bitwiseAND(F.lit(7))
+    met = asked.withColumns({"__at": at, "__bit": bit}).join(F.broadcast(built), "__at")
+    return met.where(F.call_function("shiftright", byte, shift).bitwiseAND(F.lit(1)) == 1).select(*asked.columns)
+
+
 def resolve_identity(probes: DataFrame, keys: DataFrame, provider: str, policy: str = "fallthrough") -> DataFrame:
     """(probe_id, user_id, level) of the probes that resolve; see user_keys for keys.
 
@@ -63,6 +77,7 @@ def resolve_identity(probes: DataFrame, keys: DataFrame, provider: str, policy:
         return hits.withColumn("first", first).where("level = first").select("probe_id", "user_id", "level")
     owners = keys.select("kind", "key", "user_id").distinct().groupBy("kind", "key").agg(F.count("*").alias("n"), F.min("user_id").alias("user_id"))
     # Dealt by probe once; what follows needs no other order.
+    asked = maybe_known(asked, owners, ["kind", "key"])
     hits = asked.join(owners, ["kind", "key"]).select("probe_id", "level", "n", "user_id").repartition("probe_id").distinct()
     # A probe that is repeated with other keys may have several rows at a level.
     counted = hits.groupBy("probe_id", "level").agg(F.greatest(F.max("n"), F.count("*")).alias("n"), F.min("user_id").alias("user_id"))

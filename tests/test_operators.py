@@ -272,3 +272,23 @@ def test_shared_keys_are_counted_before_probes_meet_them(spark, policy):
 def test_outcome_lists_are_whole(spark):
     marked = spark.range(2500).select("id", F.when(F.col("id") < 2400, "success").otherwise("timeout").alias("bucket"))
     assert sorted(rows(report.outcome_lists(marked, "id"))) == sorted(("success" if i < 2400 else "timeout", str(i)) for i in range(2500))
+
+
+def test_keys_that_nobody_has_are_dropped(spark):
+    """No key that is known goes, nearly all others do, and the columns stay."""
+    asked = spark.range(20_000).selectExpr("id AS probe_id", "if(id % 2 = 0, 'a', 'b') AS kind", "cast(id % 5000 AS string) AS key")
+    owners = spark.range(400).selectExpr("'a' AS kind", "cast(id AS string) AS key")
+    left = resolve.maybe_known(asked, owners, ["kind", "key"])
+    assert left.columns == asked.columns and left.join(owners, ["kind", "key"]).count() == asked.join(owners, ["kind", "key"]).count() == 800
+    assert left.count() < 820
+    full = resolve.maybe_known(asked, owners, ["kind", "key"], maps=1)
+    assert full.join(owners, ["kind", "key"]).count() == 800
+    assert resolve.maybe_known(asked, owners.limit(0), ["kind", "key"]).count() == 0
+
+
+def test_most_probe_keys_of_the_cascade_are_not_shuffled(spark, sf_dir):
+    from concord.plans import entity_queries
+
+    users, identities, probes = entity_queries.cascade_levels_inputs(spark, sf_dir)
+    keys, asked = resolve.user_keys(users, identities), resolve.probe_keys(probes, entity_queries.LEVELS_PROVIDER)
+    assert resolve.maybe_known(asked, keys, ["kind", "key"]).count() < 0.7 * asked.count()
