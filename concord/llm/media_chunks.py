@@ -7,7 +7,7 @@ chunks wherever they stand. A chunk is known by its SHA-256; a file is an ordere
 Storing. One pass lists all chunks (digests only). Spark counts them, and those that occur more than once are marked in a bitmap of
 fixed size that is broadcast: a set bit says "maybe shared", a clear bit says "surely in one file only". A second
 pass stores, for each row, its chunk list and the chunks that are surely its own, in place; chunks that may be shared go to a
-store of their own, one copy for each digest. So only bytes that may be shared are shuffled. When
+store of their own, one copy for each digest. A file that has none of them is read back where it lies; one that has is shuffled once, with the bytes of its own, to meet the shared ones. When
 a huge corpus fills the bitmap, more chunks take the shuffled way; the result is the same.
 
 Reading back. Rows that own all their chunks are rebuilt where they lie. For the others, one row for each distinct file
