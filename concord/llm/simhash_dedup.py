@@ -45,7 +45,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.session import cut_lineage
@@ -526,10 +526,9 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, i
     groups = max(1, (crowded.agg(F.sum("n")).first()[0] or 0) // 512)
     same = components(verified_links(members, groups, words, similarity)).withColumnRenamed("node", "name").withColumnRenamed("label", "component")
     kept = texts.select("name", "row").join(same, "name", "left").groupBy(F.coalesce("component", "name")).agg(F.min("row").alias("row")).select(*[F.col(f"row.{c}") for c in where])
-    # The row goes along as one struct, so that no column of docs can clash with these.
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *of_row).join(kept, where, "left_semi")
-    first = F.row_number().over(Window.partitionBy(*where).orderBy(F.col(f"row.`{text_col}`")))
-    return rows.withColumn("n", first).where("n = 1").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    # The row goes along as one struct, so that no column of docs can clash with these. Copies of a row, equal in id and text, become one in each task before they are shuffled.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *of_row).dropDuplicates(where).join(kept, where, "left_semi")
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op3_simhash_trie(spark, sf_dir: str) -> DataFrame:
