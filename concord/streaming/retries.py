@@ -89,20 +89,24 @@ def retry_stream(items: DataFrame, key: str, work: Callable[[int, str | None, in
 
 
 @contextlib.contextmanager
-def with_rocksdb(spark: SparkSession) -> Iterator[None]:
-    """Streams that are started inside keep their state in RocksDB, which states with timers and lists need."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, ROCKSDB)
+def with_rocksdb(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Streams that are started inside keep their state in RocksDB, which states with timers and lists need, and deal it over so many partitions.
+
+    Every batch, also one that only has timers to look after, starts a task for each partition, so there should be about as many as cores."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism)}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
-def run_until(stream: DataFrame, path: str, checkpoint: str, settled: Callable[[], bool], seconds: float = 300, poll: float = 1.0) -> None:
+def run_until(stream: DataFrame, path: str, checkpoint: str, settled: Callable[[], bool], seconds: float = 3600, poll: float = 1.0, partitions: int | None = None) -> None:
     """Runs a stream with timers into a Parquet table until settled() says that all is there; an availableNow run would end before the last timers are due."""
-    with with_rocksdb(stream.sparkSession):
+    with with_rocksdb(stream.sparkSession, partitions):
         query = stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
         try:
             left = seconds
