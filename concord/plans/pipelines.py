@@ -256,7 +256,8 @@ def logout(requests: DataFrame, users: DataFrame, identities: DataFrame, session
     none = F.lit(None).cast("string")
     probes = requests.select(F.col("request_id").alias("probe_id"), F.lit(config.aliases[0]).alias("external_method"), none.alias("external_id"), none.alias("orcid"), F.col("user_name").alias("member_name"), none.alias("email"))
     found = resolve.resolve_identity(probes, resolve.user_keys(users, identities, config.member_field), config.provider, "all").withColumnRenamed("probe_id", "request_id")
-    ended = found.join(sessions, "user_id", "left").groupBy("request_id").agg(F.count("session_id").alias("n_sessions"))
+    open_sessions = sessions.groupBy("user_id").agg(F.count("session_id").alias("open"))
+    ended = found.join(open_sessions, "user_id", "left").groupBy("request_id").agg(F.coalesce(F.sum("open"), F.lit(0)).alias("n_sessions"))
     status = requests.join(ended, "request_id", "left").select("request_id", F.when(F.col("n_sessions").isNull(), 404).otherwise(200).alias("status"), F.coalesce("n_sessions", F.lit(0)).alias("n_sessions"))
     return sessions.join(found.select("user_id").distinct(), "user_id", "left_anti"), status
 

@@ -125,6 +125,20 @@ class TestResolve:
     def test_logout_takes_all(self, spark, keys):
         assert self.found(spark, keys, "all", None, None, None, "dup", None) == [(2, 3), (3, 3)]
 
+    def test_logout_makes_only_the_rows_of_the_first_level(self, spark):
+        """Owners of several arrays, probes of several cells, a probe that is repeated with other keys, and nothing shuffled after the join."""
+        on = "kind string, key string, user_id long"
+        keys = spark.createDataFrame([("member", f"m{u % 3}", u) for u in range(60)] + [("username", "m0", 1000), ("username", "plain", 7)], on).unionByName(spark.createDataFrame([("member", "m1", 0)], on))
+        asked = spark.createDataFrame([(p, 3, "member", f"m{p % 5}") for p in range(40)] + [(p, 5, "username", "m0") for p in range(40)] + [(1, 3, "member", "m0"), (90, 5, "username", "plain")], "probe_id long, level int, kind string, key string")
+        found = resolve._all_owners(asked, keys, block_rows=4, cell_probes=3)
+        owners = {f"m{k}": {u for u in range(60) if u % 3 == k} | ({0} if k == 1 else set()) for k in range(3)}
+        wanted = {(p, u, 3) for p in range(40) for u in owners.get(f"m{p % 5}", ())} | {(1, u, 3) for u in owners["m0"]} | {(p, 1000, 5) for p in range(40) if p % 5 > 2} | {(90, 7, 5)}
+        got = rows(found.select("probe_id", "user_id", "level"))
+        assert len(got) == len(wanted) and set(got) == wanted
+        # The rows of probes with one key at their level go out as the join makes them.
+        first = found._jdf.queryExecution().optimizedPlan().children().head().toString()
+        assert "Generate explode(users" in first and "Aggregate" not in first.partition("Join")[0]
+
     def test_unknown_policy(self, spark, keys):
         with pytest.raises(ValueError, match="unknown policy"):
             self.found(spark, keys, "other", None, None, None, None, None)
