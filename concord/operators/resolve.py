@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from concord.functions.bitmaps import mark_maybe
 from concord.functions.values import filled
 from concord.session import cut_lineage
 
@@ -53,13 +54,7 @@ def maybe_known(asked: DataFrame, owners: DataFrame, on: list[str], maps: int =
 
     A bitmap of the keys' hashes, `maps` rows of 32768 bits each (1 MB by default, whatever owners holds), goes to all tasks, so that keys that nobody
     has are dropped before they are shuffled. With very many keys it fills up and drops less; what follows joins in any case."""
-    place = F.pmod(F.xxhash64(*on), F.lit(maps * 32768))
-    at, bit = F.shiftright(place, 15).cast("int"), place.bitwiseAND(F.lit(32767)).cast("int")
-    built = owners.select(at.alias("__at"), bit.alias("__bit")).groupBy("__at").agg(F.bitmap_construct_agg("__bit").alias("__map"))
-    byte = F.conv(F.hex(F.substring("__map", F.shiftright("__bit", 3) + 1, F.lit(1))), 16, 10).cast("int")
-    shift = F.col("__bit").bitwiseAND(F.lit(7))
-    met = asked.withColumns({"__at": at, "__bit": bit}).join(F.broadcast(built), "__at")
-    return met.where(F.call_function("shiftright", byte, shift).bitwiseAND(F.lit(1)) == 1).select(*asked.columns)
+    return mark_maybe(asked, owners, on, "__maybe", maps).where("__maybe").select(*asked.columns)
 
 
 def _all_owners(asked: DataFrame, keys: DataFrame, block_rows: int = 4096, cell_probes: int = 16384) -> DataFrame:

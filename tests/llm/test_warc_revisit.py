@@ -101,3 +101,15 @@ def test_plain_archives(spark, pages):
     data = next(f["content"] for f in files if f["content"].count(b"WARC-Type") > 1)
     second = data.index(b"\r\n\r\nWARC/1.1") + 4
     assert len(list(w.parse_archive(data[second:]))) == len(list(w.parse_archive(data))) - 1
+
+
+def test_only_html_that_may_be_asked_for_is_shuffled(spark):
+    """Pages of their own stay where they were read; of copies, one hands on its html."""
+    rows = [(k, "http://a/", f"page {k} " + "x" * 500) for k in range(300)] + [(1000 + k, "http://b/", f"copy {k % 20} " + "y" * 500) for k in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    planned = w.plan_records(pages)
+    handed = [r for r in planned.collect() if r["original"] is not None]
+    assert len(handed) == 180 and all(r["html"] is None for r in handed)
+    alone, met = planned._jdf.queryExecution().optimizedPlan().toString(), planned.where("page_id < 300").count()
+    assert met == 300 and "Union" in alone
+    assert sorted(map(tuple, w.archive_and_resolve(pages).collect()), key=repr) == expected(rows)
