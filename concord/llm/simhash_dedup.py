@@ -18,13 +18,14 @@ Within a group numpy walks both subtries a level at a time, nearest nodes first
 fingerprints are linked to each other already are left out. The group hands on a spanning forest of its links, never all
 pairs, so the rows it makes are fewer than the fingerprints it reads.
 
-Filtering. To filter a corpus, texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more count as copies. Such
-sets differ in some ten bits of a fingerprint, a budget at which a trie leaves little out, so the filter does not use them: each text names the
+Filtering. To filter a corpus, texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more count as copies. Fingerprints and the trie
+self-join above link the nearest of them. Sets of similarity 0.8 may differ in some ten bits, a budget at which a trie leaves little out, so that the join
+has the operator's budget and the rest are found besides: each text names the
 first of its shingles in each of 12 random orders, and texts are compared where they share such a shingle. Two texts of similarity J
 have no such shingle in common with probability (1 - J) ** 12, which is 4e-9 at 0.8.
 Of the pairs that share one, a pair is left out only when it can't be similar: the sizes of the sets are too far
 apart, or the numbers of shingles by the last bits of their hashes differ by more in all than the sets may. Such numbers never differ by
-more than the sets do, so no similar pair is lost. Links found so are candidates; each candidate group is then verified on the sets of shingles, exactly.
+more than the sets do, so no similar pair is lost. Links found either way are candidates; each candidate group is then verified on the sets of shingles, exactly.
 
 Components. Labels spread along the forest's edges with pointer jumping; each round ends in a
 checkpoint in the shared folder. Only joins and sums that Spark can split are used.
@@ -48,6 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concord.llm.workers import then_give_back
 from concord.session import cut_lineage
 
 SEED = 42
@@ -145,19 +147,22 @@ def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
 
 
 def blocking(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, block keys, and the size and the profile of the set of shingles of each row."""
+    """doc_id, fingerprint, block keys, and the size and the profile of the set of shingles of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), words)) for t in b.column(1)]
-            keys = [_block_keys(x) for x in sets]
-            columns = [b.column(0), pa.array(keys, type=pa.list_(pa.int64()))]
-            columns += [pa.array([len(x) for x in sets], type=pa.int64()), pa.array([profile(x).tobytes() for x in sets], type=pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "keys", "size", "profile"])
+            found = []  # of one text at a time, so that a batch of long texts holds no hashes but those of one
+            for t in b.column(1):
+                hashes = shingle_hashes(t.as_py(), words)
+                distinct = np.unique(hashes)
+                found.append((_majority(hashes), _block_keys(distinct), len(distinct), profile(distinct).tobytes()))
+            fps, keys, sizes, profiles = zip(*found, strict=True) if found else ([], [], [], [])
+            columns = [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(keys, type=pa.list_(pa.int64())), pa.array(sizes, type=pa.int64()), pa.array(profiles, type=pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "keys", "size", "profile"])
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"doc_id {kind}, keys array<long>, size long, profile binary")
+    return picked.mapInArrow(lambda batches: then_give_back(run(batches)), f"doc_id {kind}, fp long, keys array<long>, size long, profile binary")
 
 
 def _masks(bits: int, most: int) -> list[int]:
@@ -472,7 +477,7 @@ def verified_links(members: DataFrame, groups: int, words: int, similarity: floa
             sets = [np.unique(shingle_hashes(t.as_py(), words)).view(np.int64) for t in b.column(3)]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sets, type=pa.list_(pa.int64()))], names=["name", "label", "n", "shingles"])
 
-    held = members.select("name", "label", "n", "text").mapInArrow(run, "name long, label long, n long, shingles array<long>")
+    held = members.select("name", "label", "n", "text").mapInArrow(lambda batches: then_give_back(run(batches)), "name long, label long, n long, shingles array<long>")
     return verified_sets(held, groups, similarity, small, block_rows)
 
 
@@ -502,11 +507,21 @@ def verified_sets(held: DataFrame, groups: int, similarity: float, small: int =
     return met.groupBy("few", "unit", "low", "high").applyInPandas(verify, "u long, v long")
 
 
-def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def trie_links(texts: DataFrame, budget: int) -> DataFrame:
+    """Edges (u, v) that connect the texts (name, fp) whose fingerprints are connected within `budget` bits, by the trie self-join. texts is a checkpoint."""
+    least = cut_lineage(texts.groupBy("fp").agg(F.min("name").alias("first")))
+    edges = trie_self_join(least.select("fp"), budget, least.count())
+    left, right = (least.select(F.col("fp").alias(end), F.col("first").alias(f"first_{end}")) for end in ("u", "v"))
+    met = edges.join(left, "u").join(right, "v").select(F.col("first_u").alias("u"), F.col("first_v").alias("v"))
+    return met.unionByName(texts.join(least, "fp").where("name <> first").select(F.col("first").alias("u"), F.col("name").alias("v")))
+
+
+def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", budget: int = 4) -> DataFrame:
     """One row of docs for each group of similar texts: that of the smallest id (null ids last), then of the smallest text hash.
 
     Texts are similar whose sets of shingles have a Jaccard similarity of `similarity` or more; groups are their connected components.
-    Candidates come from the join by block keys, and each link is then verified on the sets themselves. Two 64-bit hashes stand for a text; distinct texts are numbered."""
+    Candidates come from the trie self-join of fingerprints and, for similar texts that differ in more than `budget` bits, from the join by block keys; each link
+    is then verified on the sets themselves. Two 64-bit hashes stand for a text; distinct texts are numbered."""
     no_id, name = F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     whole = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     hashes = [F.xxhash64(whole).alias("h1"), F.xxhash64(F.lit("second"), whole).alias("h2")]
@@ -514,9 +529,9 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, i
     keyed = docs.select(key.alias("row"), F.col(text_col).alias("text"))
     marked = cut_lineage(blocking(keyed, words, "row", "text").withColumnRenamed("doc_id", "row"))
     # One row stands for each distinct text, so copies are not compared.
-    distinct = marked.groupBy("row.h1", "row.h2").agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("keys", "size", "profile")])
+    distinct = marked.groupBy("row.h1", "row.h2").agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("fp", "keys", "size", "profile")])
     texts = cut_lineage(distinct.drop("h1", "h2").withColumn("name", F.monotonically_increasing_id()))
-    near = components(blocked_self_join(texts, similarity)).withColumnRenamed("node", "name")
+    near = components(trie_links(texts, budget).unionByName(blocked_self_join(texts, similarity))).withColumnRenamed("node", "name")
     labelled = cut_lineage(texts.select("name", "row").join(near, "name"))
     crowded = cut_lineage(labelled.groupBy("label").agg(F.count("*").alias("n")).where("n > 1"))
     where = ["no_id", "id_text", "h1", "h2"]

@@ -260,3 +260,15 @@ def test_odd_documents_are_filtered(odd_documents, no_documents):
     ids = [r["doc_id"] for r in kept.collect()]
     assert sorted(ids, key=repr) == sorted([1, 3, 5, None, 7, 8], key=repr)
     assert s.keep_one_of_each(no_documents).collect() == []
+
+
+def test_filter_links_by_the_trie(spark, monkeypatch):
+    """Near copies are found by their fingerprints, also where block keys give nothing."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 50_000, 1500)) for _ in range(12)]
+    near = [" ".join([*t.split()[:-1], "other"]) for t in texts]
+    rows = [(2 * i + k, t) for i, pair in enumerate(zip(texts, near, strict=True)) for k, t in enumerate(pair)]
+    bits = [bin(s.fingerprint(a, 5) ^ s.fingerprint(b, 5)).count("1") for a, b in zip(texts, near, strict=True)]
+    assert max(bits) <= 4
+    monkeypatch.setattr(s, "blocked_self_join", lambda texts, similarity: texts.sparkSession.createDataFrame([], "u long, v long"))
+    assert {r["doc_id"] for r in s.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == set(range(0, 24, 2))
