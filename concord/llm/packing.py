@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from concord.llm.workers import then_give_back
 from concord.session import cut_lineage
 
 CAPACITY = 2048
@@ -97,6 +98,10 @@ class PieceEncoder:
             self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
             self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
 
+    def forget(self) -> None:
+        """All pieces; the tokenizer stays."""
+        self.once, self.often, self.words, self.held = {}, {}, {}, 0
+
     def _library(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -135,7 +140,7 @@ class PieceEncoder:
         coded = split.flatten().dictionary_encode()
         pieces = joined(coded.dictionary).split("\n")  # quicker than one conversion each; no piece has a line end
         if self.held > HELD:
-            self.once, self.often, self.words, self.held = {}, {}, {}, 0
+            self.forget()
         self.once, self.often, self.words = (d if len(d) <= self.most else {} for d in (self.once, self.often, self.words))
         unsure = [p for p in pieces if p not in self.often]
         self.often.update((p, self.once[p]) for p in unsure if p in self.once)
@@ -200,7 +205,9 @@ def tokenize_and_cut(docs: DataFrame, tokenizer_path: str, capacity: int, grain:
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owners, type=pa.int64())), *columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grains"])
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, {PIECES}")
+    # A worker outlives its task, so what it has learned goes with the task: later stages of a job run in the same workers.
+    task = lambda batches: then_give_back(run(batches), lambda: encoder(tokenizer_path).forget())
+    return picked.mapInArrow(task, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, {PIECES}")
 
 
 def join_checksums(left: int, right: int, right_bytes: int) -> int:

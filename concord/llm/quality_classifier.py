@@ -33,6 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concord.llm.workers import then_give_back
 from concord.session import cut_lineage
 
 MOST_LABELLED = 6000
@@ -266,7 +267,7 @@ def features(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": p["doc_id"], "content": [c.tobytes() for c in content.astype("<f2")], "slots": [k.tobytes() for k in slots.astype("<i2")]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", *_inputs(docs)).mapInPandas(run, f"doc_id {kind}, content binary, slots binary")
+    return docs.select("doc_id", *_inputs(docs)).mapInPandas(lambda parts: then_give_back(run(parts)), f"doc_id {kind}, content binary, slots binary")
 
 
 def _matrix(values, kind: str, width: int) -> np.ndarray:
@@ -314,7 +315,7 @@ def taught_by_all(found: DataFrame, model: CoTrained, confident: float) -> Taugh
     def add_up(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([_to_row(functools.reduce(Taught.__add__, (_from_row(r, width) for _, r in rows.iterrows())))])
 
-    sums = cut_lineage(found.select("content", "slots").mapInArrow(one_pass, TAUGHT))
+    sums = cut_lineage(found.select("content", "slots").mapInArrow(lambda batches: then_give_back(one_pass(batches)), TAUGHT))
     while (n := sums.count()) > FAN_IN:
         groups = -(-n // FAN_IN)
         dealt = sums.withColumn("group", F.pmod(F.xxhash64("n", "gradient", F.spark_partition_id()), F.lit(groups)))
@@ -334,8 +335,7 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
 def _scorer(model: Broadcast):
     @F.pandas_udf("text_score double, meta_score double, score double")
     def score(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            yield pd.DataFrame(dict(zip(("text_score", "meta_score", "score"), model.value.scores(*_views(*part)), strict=True)))
+        yield from then_give_back(pd.DataFrame(dict(zip(("text_score", "meta_score", "score"), model.value.scores(*_views(*part)), strict=True))) for part in parts)
 
     return score
 
