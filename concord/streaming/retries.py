@@ -34,32 +34,31 @@ class Retries(StatefulProcessor):
         # How many items of the entity are done; forgotten with an entity of which nothing is heard.
         self.done = handle.getValueState("done", "n long", self.ttl_ms)
 
+    # A call of the state goes to the JVM and back, which costs more than working off an item. So each state is read once at most and is written where it
+    # changes; items are pending only while one waits for its retry, so an entity of which none waits has but its count read and written.
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         new = [(int(r.sort), int(r.item), None if pd.isna(r.payload) else r.payload) for part in rows for r in part.itertuples()]
-        waits = self.waiting.exists()
-        held = list(self.pending.get()) if self.pending.exists() else []
-        # What came first stays first: an item that waits for its retry isn't overtaken.
-        head, rest = (held[:1], held[1:]) if waits else ([], held)
-        self._keep(head + sorted([tuple(h) for h in rest] + new))
-        if not waits:
-            yield from self._work_off(timerValues)
+        if self.waiting.get() is None:
+            yield from self._work_off(sorted(new), None, timerValues)
+        else:
+            # What came first stays first: an item that waits for its retry isn't overtaken.
+            head, *rest = (tuple(h) for h in self.pending.get())
+            self.pending.put([head, *sorted([*rest, *new])])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        yield from self._work_off(timerValues)
+        waits = self.waiting.get()
+        if waits is not None:
+            yield from self._work_off([tuple(i) for i in self.pending.get()], waits, timerValues)
 
     def close(self) -> None:
         pass
 
-    def _keep(self, items: list) -> None:
-        if items:
-            self.pending.put([tuple(i) for i in items])
-        elif self.pending.exists():
-            self.pending.clear()
-
-    def _work_off(self, timers) -> Iterator[pd.DataFrame]:
-        items = [tuple(i) for i in self.pending.get()] if self.pending.exists() else []
-        attempt, waited = self.waiting.get() if self.waiting.exists() else (0, 0)
-        position, out, at = self.done.get()[0] if self.done.exists() else 0, [], 0
+    def _work_off(self, items: list[tuple], waits: tuple | None, timers) -> Iterator[pd.DataFrame]:
+        """items in their order; waits: attempts and time waited of the first, if it waited."""
+        attempt, waited = waits or (0, 0)
+        before = self.done.get()
+        position, out, at = before[0] if before is not None else 0, [], 0
         while at < len(items):
             _, item, payload = items[at]
             ok = self.work(item, payload, attempt)
@@ -71,12 +70,14 @@ class Retries(StatefulProcessor):
                 break
             out.append((item, position, "done" if ok else "timeout", attempt, waited))
             position, attempt, waited, at = position + 1, 0, 0, at + 1
-        else:
+        if at < len(items):
+            if at or waits is None:
+                self.pending.put(items[at:])
+        elif waits is not None:
             self.waiting.clear()
+            self.pending.clear()
         if at:
             self.done.update((position,))
-            self._keep(items[at:])
-        if out:
             yield pd.DataFrame(out, columns=["item", "position", "status", "attempts", "waited_ms"]).astype({"attempts": "int32"})
 
 

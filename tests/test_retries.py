@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pandas as pd
+
 from concord.session import shared_path
 from concord.streaming import retries
 
@@ -40,3 +42,37 @@ def test_order_retries_and_restart(spark):
 def test_backoff():
     assert [retries.backoff_ms(k, 1000, 500) for k in range(3)] == [1000, 1500, 2000]
     assert sum(retries.backoff_ms(k, 1000, 1000) for k in range(10)) == 55_000
+
+
+class CountedState:
+    """A state in this process that counts its calls."""
+
+    def __init__(self, calls):
+        self.calls, self.value = calls, None
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    put = update
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = None
+
+
+def test_an_entity_without_retries_takes_few_calls_of_the_state():
+    calls = []
+    worker = retries.Retries(lambda item, payload, attempt: attempt >= int(payload), 3, 10, 10, None)
+    worker.pending, worker.waiting, worker.done = (CountedState(calls) for _ in range(3))
+    out = list(worker.handleInputRows(("a",), iter([pd.DataFrame({"sort": [2, 1], "item": [12, 11], "payload": ["0", "0"]})]), None))
+    assert out[0][["item", "position"]].to_numpy().tolist() == [[11, 0], [12, 1]]
+    assert len(calls) <= 3
