@@ -44,7 +44,8 @@ def _landed(stream: DataFrame) -> DataFrame:
 def stream_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A third of the time comes after the other, so nothing is later than the whole span; state goes once the watermark says that nothing can come.
     span = table(spark, sf_dir, "events").agg(F.unix_seconds(F.max("ts").cast("timestamp")) - F.unix_seconds(F.min("ts").cast("timestamp"))).first()[0] or 0
-    emitted = _landed(streams.throttle_stream(arriving(spark, sf_dir), "user_id", "ts", THROTTLE_SECONDS, f"{span // BATCHES + 1} seconds"))
+    logins = arriving(spark, sf_dir, lambda events: events.select("user_id", "ts"))
+    emitted = _landed(streams.throttle_stream(logins, "user_id", "ts", THROTTLE_SECONDS, f"{span // BATCHES + 1} seconds"))
     return emitted.select("user_id", F.unix_micros("ts").alias("us"))
 
 

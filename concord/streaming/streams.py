@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,33 +16,55 @@ from concord.operators.notices import allowed, route
 from concord.operators.throttle import throttle_in_state
 
 
-def throttle_stream(events: DataFrame, key: str, ts: str, seconds: int, watermark: str | None = None) -> DataFrame:
+def throttle_stream(events: DataFrame, key: str, ts: str, seconds: int, watermark: str | None = None, groups: int = 1024) -> DataFrame:
     """(key, ts) of the emitted events of a stream. State is one number a user: the last emitted time.
 
     Agrees with the batch form when a user's events arrive in the order of time; an event earlier than the last emitted one is
-    within the interval and so is not emitted. watermark says how late events may come: later ones are dropped, and a user's state goes once the
-    watermark is past the interval after the last emission, when whatever still comes is emitted anyway. Without one state stays for ever."""
+    within the interval and so is not emitted. watermark says how late events may come: later ones are dropped, and a user is forgotten once the
+    watermark is past the interval after the last emission, when whatever still comes is emitted anyway. Without one state stays for ever.
+
+    Spark makes frames of its own of each group that it hands to Python, which takes milliseconds. So users are dealt over so many groups by the hash of
+    their key, and a group's state is the last times of its users; users without a key are a group. Streams that differ in groups share no checkpoint."""
     gap = seconds * 1_000_000
     kind = events.schema[key].dataType.simpleString()
     timed = events.select(F.col(key), F.col(ts).cast("timestamp").alias("at")).where("at IS NOT NULL")
-    rows = (timed.withWatermark("at", watermark) if watermark else timed).withColumn("us", F.unix_micros("at"))
+    dealt = F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(F.col(key)), F.lit(groups))).otherwise(-1)
+    rows = (timed.withWatermark("at", watermark) if watermark else timed).withColumn("us", F.unix_micros("at")).withColumn("dealt", dealt)
+
+    def same(users: list) -> list:
+        """Numbers that are none are one user, as they are to Spark."""
+        return [user if user == user else math.nan for user in users]
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        last = state.get[0] if state.exists else None
-        times = [int(t) for b in batches for t in b["us"]]
-        last, out = throttle_in_state(last, times, gap)
-        if last is not None:
-            state.update((last,))
+        last = dict(zip(same(state.get[0]), state.get[1], strict=True)) if state.exists else {}
+        times: dict[object, list[int]] = {}
+        for b in batches:
+            users = [None] * len(b) if group[0] < 0 else same(b[key].tolist())
+            for user, t in zip(users, b["us"].tolist(), strict=True):
+                times.setdefault(user, []).append(t)
+        users, out = [], []
+        for user, new in times.items():
+            last[user], emitted = throttle_in_state(last.get(user), new, gap)
+            users += [user] * len(emitted)
+            out += emitted
+        until = {user: (t + gap) // 1000 + 1 for user, t in last.items()}
+        if watermark:
+            past = state.getCurrentWatermarkMs()
+            last = {user: t for user, t in last.items() if until[user] > past}
+        if last:
+            state.update((list(last), list(last.values())))
             if watermark:
-                state.setTimeoutTimestamp((last + gap) // 1000 + 1)
+                state.setTimeoutTimestamp(max(until.values()))
+        elif state.exists:
+            state.remove()
         if out:
-            yield pd.DataFrame({key: [group[0]] * len(out), "us": out})
+            yield pd.DataFrame({key: users, "us": out})
 
     timeout = GroupStateTimeout.EventTimeTimeout if watermark else GroupStateTimeout.NoTimeout
-    emitted = rows.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, us long", "last long", "append", timeout)
+    emitted = rows.groupBy("dealt").applyInPandasWithState(step, f"{key} {kind}, us long", f"users array<{kind}>, last array<long>", "append", timeout)
     return emitted.select(key, F.timestamp_micros("us").alias(ts))
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import http.server
 import json
 import threading
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -261,6 +262,41 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "routes")).where("route = 'update_user'").count() == 5
 
 
+def arriving(spark, tmp_path, chunks, kind):
+    """A stream of (u, ts) with a micro-batch for each of chunks (user, second)."""
+    source = str(tmp_path / "in")
+    for chunk in chunks:
+        spark.createDataFrame([(u, 1_700_000_000 + s) for u, s in chunk], f"u {kind}, s long").select("u", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.mode("append").parquet(source)
+    return spark.readStream.schema(f"u {kind}, ts timestamp").option("maxFilesPerTrigger", 1).parquet(source)
+
+
+def test_a_throttled_stream_calls_python_for_groups_of_users(spark, tmp_path):
+    """Each call takes milliseconds: there are no more of them, and of states, than groups, however many users there are."""
+    chunks = [[(u, 100 * k + u % 90) for u in range(1500)] for k in range(2)]
+    stream = arriving(spark, tmp_path, chunks, "long")
+    query = streams.throttle_stream(stream, "u", "ts", 100).writeStream.format("memory").queryName("throttled").trigger(availableNow=True).start()
+    query.awaitTermination()
+    updated = [p.stateOperators[0].numRowsUpdated for p in query.recentProgress if p.numInputRows]
+    assert len(updated) == 2 and max(updated) <= 1024
+    assert rows(spark.table("throttled").groupBy("u").count()) == sorted(((u, 1) for u in range(1500)), key=repr)
+
+
+@pytest.mark.parametrize(("kind", "users"), [("long", [None, 2**60, 2**60 + 1]), ("string", [None, "", "a"]), ("double", [None, float("nan"), 0.5]), ("date", [None, date(1969, 5, 1), date(2024, 1, 1)])])
+def test_a_throttled_stream_tells_users_of_one_group_apart(spark, tmp_path, kind, users):
+    chunks = [[(u, 10 * n) for n, u in enumerate(users)], [(u, 70 * (n + 1)) for n, u in enumerate(users)], [(u, 135) for u in users]]
+    streams.run_to_table(streams.throttle_stream(arriving(spark, tmp_path, chunks, kind), "u", "ts", 60, "1000 seconds", groups=1), str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = spark.read.parquet(str(tmp_path / "out")).select(F.coalesce(F.col("u").cast("string"), F.lit("null")), F.unix_seconds("ts") - 1_700_000_000)
+    names = ["null", *(str(u) if u == u else "null" for u in users[1:])]  # pandas, by which Spark takes the rows back, has one for both
+    assert rows(got) == sorted([*zip(names, (0, 10, 20), strict=True), *zip(names, (70, 140, 210), strict=True), (names[0], 135)], key=repr)
+
+
+def test_an_event_behind_the_watermark_of_its_batch(spark, tmp_path):
+    """An event of a user whose interval has passed may come in the batch that the watermark passes it; then the user is forgotten."""
+    stream = arriving(spark, tmp_path, [[(1, 0), (2, 100)], [(1, 50), (2, 120)], [(1, 111)]], "long")
+    streams.run_to_table(streams.throttle_stream(stream, "u", "ts", 60, "10 seconds"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("u", F.unix_seconds("ts") - 1_700_000_000)) == [(1, 0), (1, 111), (2, 100)]
+
+
 def test_login_plans_do_not_show_the_secret(spark):
     """Neither the shared secret nor the key made of it."""
     import hashlib
