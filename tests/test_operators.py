@@ -139,6 +139,19 @@ class TestResolve:
         first = found._jdf.queryExecution().optimizedPlan().children().head().toString()
         assert "Generate explode(users" in first and "Aggregate" not in first.partition("Join")[0]
 
+    def test_logout_of_shared_keys_is_dealt_by_rows_and_written_small(self, spark, tmp_path):
+        """Tasks are counted by the rows that they make, not by the bytes that they read, and the rows come in an order that Parquet writes in a fraction of a byte each."""
+        keys = spark.range(4000).select(F.lit("member").alias("kind"), F.concat(F.lit("m"), (F.col("id") % 4).cast("string")).alias("key"), F.col("id").alias("user_id"))
+        asked = spark.range(800).select(F.when(F.col("id") > 0, F.col("id")).alias("probe_id"), F.lit(3).alias("level"), F.lit("member").alias("kind"), F.concat(F.lit("m"), (F.col("id") % 4).cast("string")).alias("key"))
+        resolve._all_owners(asked, keys, block_rows=500, cell_probes=100).write.parquet(str(tmp_path / "out"))
+        found = spark.read.parquet(str(tmp_path / "out"))
+        named = found.where("probe_id IS NOT NULL")
+        assert found.count() == found.distinct().count() == 800 * 1000
+        assert named.count() == 799 * 1000 and named.where("probe_id % 4 <> user_id % 4 OR level <> 3").count() == 0
+        assert sorted(r[0] for r in found.where("probe_id IS NULL").select("user_id").collect()) == list(range(0, 4000, 4))
+        files = [p for p in (tmp_path / "out").glob("*.parquet") if p.stat().st_size > 2000]
+        assert len(files) > 2 and sum(p.stat().st_size for p in files) < 0.35 * 800 * 1000
+
     def test_unknown_policy(self, spark, keys):
         with pytest.raises(ValueError, match="unknown policy"):
             self.found(spark, keys, "other", None, None, None, None, None)
