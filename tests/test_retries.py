@@ -76,3 +76,59 @@ def test_an_entity_without_retries_takes_few_calls_of_the_state():
     out = list(worker.handleInputRows(("a",), iter([pd.DataFrame({"sort": [2, 1], "item": [12, 11], "payload": ["0", "0"]})]), None))
     assert out[0][["item", "position"]].to_numpy().tolist() == [[11, 0], [12, 1]]
     assert len(calls) <= 3
+
+
+class CountedList(CountedState):
+    def appendList(self, values):  # noqa: N802
+        self.calls.append("append")
+        self.value = [*(self.value or []), *values]
+
+    def get(self):
+        self.calls.append("get")
+        return iter(self.value or [])
+
+
+class Clock:
+    """Timers and their values."""
+
+    def __init__(self):
+        self.registered = []
+
+    def getCurrentProcessingTimeInMs(self):  # noqa: N802
+        return 1000
+
+    def registerTimer(self, at):  # noqa: N802
+        self.registered.append(at)
+
+
+def counted(attempts):
+    """A worker over states that count their calls, and the calls of each."""
+    calls = {name: [] for name in ("pending", "waiting", "done")}
+    clock = Clock()
+    worker = retries.Retries(lambda item, payload, attempt: attempt >= int(payload or 0), attempts, 10, 10, None)
+    worker.pending, worker.waiting, worker.done, worker.handle = CountedList(calls["pending"]), CountedState(calls["waiting"]), CountedState(calls["done"]), clock
+    rows = lambda *items: list(worker.handleInputRows(("a",), iter([pd.DataFrame(list(items), columns=["sort", "item", "payload"])]), clock))
+    fire = lambda: list(worker.handleExpiredTimer(("a",), clock, None))
+    return calls, clock, rows, fire
+
+
+def test_what_waits_behind_a_retry_is_not_read_until_it_is_settled():
+    calls, clock, rows, fire = counted(3)
+    assert rows((1, 11, "2"), (3, 13, None), (3, 13, None)) == []
+    assert rows((2, 12, "0"), (0, 10, "0")) == []
+    assert fire() == [] and clock.registered == [1010, 1020]
+    assert "get" not in calls["pending"] and calls["done"] == []
+    (frame,) = fire()
+    assert [tuple(r) for r in frame.itertuples(index=False)] == [(11, 0, "done", 3, 30), (10, 1, "done", 1, 0), (12, 2, "done", 1, 0), (13, 3, "done", 1, 0), (13, 4, "done", 1, 0)]
+    assert calls["pending"].count("get") == 1 and calls["done"] == ["get", "update"]
+    assert fire() == []  # nothing waits any more
+
+
+def test_one_item_after_the_other_waits():
+    _, clock, rows, fire = counted(2)
+    assert rows((1, 11, "9"), (2, 12, "9"), (3, 13, "0")) == []
+    (first,), (second,) = fire(), fire()
+    assert [tuple(r) for f in (first, second) for r in f.itertuples(index=False)] == [(11, 0, "timeout", 2, 10), (12, 1, "timeout", 2, 10), (13, 2, "done", 1, 0)]
+    assert len(clock.registered) == 2
+    (last,) = rows((0, 14, "0"))
+    assert last["position"].tolist() == [3]
