@@ -111,3 +111,23 @@ def test_long_lists(spark):
     assert few.select(symmetric_difference(F.col("u"), F.col("o"))).first()[0] == ["1", "new", "new"]
     odd = spark.sql("SELECT array('b', 'a', null, 'b', 'c') AS u, array('c', 'd', 'd', null) AS o")
     assert odd.select(symmetric_difference(F.col("u"), F.col("o"))).first()[0] == ["b", "a", "b", "d", "d"]
+
+
+def test_numbers_nulls_and_repeats(spark):
+    """Numbers in their shortest form at every depth; null and repeated ids; keys of any text."""
+    df = lambda *rows: spark.createDataFrame(list(rows), "id long, body string")
+    old = df((1, '{"a": {"x": 1e2, "y": 1.50, "z": 1e10}}'), (2, '{"a": [1.0, {"b": 1e2, "c": null}, null]}'), (2, '{"a": 5}'), (None, '{"a": 1}'), (4, '{"a\'b\\"c]": {"": 0}}'))
+    new = df((1, '{"a": {"x": 100, "y": 1.5, "z": 1.0E10, "n": null, "e": 1E400}}'), (2, '{"a": [{"c": null, "b": 100.0}, null, 2]}'), (None, '{"a": 2}'), (None, '{"b": {"c": -0.0, "d": 100.0}}'), (4, '{"a\'b\\"c]": {"": {"": 2e0}}}'))
+    found = sorted((str(r["id"]), "/".join(r["path"]), r["new_value"]) for r in shapes.shape_diff(old, new, "id", "body").collect())
+    assert found == [("1", "a/e", '"Infinity"'), ("2", "a", '[2,1]'), ("2", "a", '[{"b":100,"c":null},null,2]'), ("4", "a'b\"c]//", "2"), ("None", "a", "2"), ("None", "b/c", "0"), ("None", "b/d", "100")]
+
+
+def test_rows_of_a_large_object_hold_their_own_values_alone(spark):
+    """Neither the maps nor the texts of an object go with each of its members."""
+    body = lambda n: spark.range(n).select(F.lit(1).alias("id"), F.concat(F.lit("k"), "id").alias("k"), F.to_json(F.struct(F.col("id").alias("x"))).alias("v"))
+    whole = lambda n: body(n).groupBy("id").agg(F.concat(F.lit("{"), F.array_join(F.collect_list(F.concat(F.lit('"'), "k", F.lit('":'), "v")), ","), F.lit("}")).alias("body"))
+    pairs = shapes._sides(whole(20), whole(30), "id", "body", "body", "left")
+    plan = shapes._opened(pairs, True)._jdf.queryExecution().optimizedPlan().toString()
+    (generate,) = [line for line in plan.splitlines() if "Generate" in line]
+    assert "map_zip_with" in generate and "map_keys" not in plan
+    assert shapes.shape_diff(whole(10), whole(20), "id", "body").count() == 10
