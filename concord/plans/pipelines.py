@@ -232,6 +232,7 @@ def complete_logins(logins: DataFrame, profiles: DataFrame, users: DataFrame, us
     without a profile, timeout or failure. A sync that fails does not stop a known user's login. A subject that another user owns stays with
     that user. Of several new subjects with one e-mail all become one user, and the first by name of the subject is linked if one link is free."""
     method = method or config.aliases[0]
+    logins = cut_lineage(logins.select("login_id", "status", "user_id", "sub"))  # what is let in and what is refused follow from it
     let_in = cut_lineage(logins.where("status IN ('ok', 'new_user')").join(profiles.select("sub", "profile", F.col("status").alias("fetched")), "sub", "left"))
     wanted = let_in.where("status = 'new_user' AND fetched = 'ok'").select("profile.username", "profile.email").distinct()
     created, _ = apply.create_users(users, wanted)

@@ -12,6 +12,7 @@ from concord.config import Config
 from concord.functions import codec
 from concord.operators import overlay
 from concord.plans import pipelines
+from concord.session import shared_path
 from concord.sources import snapshots, tables
 from concord.streaming import streams
 
@@ -211,6 +212,15 @@ class TestWrites:
         assert {r["user_id"]: r["bucket"] for r in out.sync.outcomes.collect()} == {1: "success", 2: "failure", 3: "success", 4: "success"}
         assert rows(out.sync.user_roles) == [(u, "p---1000576|admin") for u in (1, 3, 4)]
 
+    def test_logins_are_worked_out_once(self, spark, users, identities, no_roles):
+        """Those refused don't have the tokens opened and the users looked for again; repeated and null rows stay as they are."""
+        path = shared_path(spark, "logins")
+        made = [(1, "ok", 1, 1, "sub-ann"), (1, "ok", 1, 1, "sub-ann"), (2, "expired", None, None, None), (2, "expired", None, None, None), (None, "bad_token", None, None, "sub-ann"), (3, None, None, None, "sub-ann")]
+        spark.createDataFrame(made, "login_id long, status string, user_id long, level int, sub string").write.parquet(path)
+        out = pipelines.complete_logins(spark.read.parquet(path), self.profiles(spark, "sub", ("sub-ann", "ann", None)), users, no_roles, identities, CONFIG)
+        assert out.outcomes.inputFiles() == []
+        assert rows(out.outcomes) == [(1, 1, "logged_in"), (1, 1, "logged_in"), (2, None, "expired"), (2, None, "expired"), (None, None, "bad_token")]
+
     def test_associations(self, spark, users, identities, no_roles):
         requests = spark.createDataFrame([("cilogon", "sub-bob", 2), ("cilogon", "sub-ann", 2), ("cilogon", "sub-ann", 1), ("cilogon", "s", 9)], "method string, id string, user_id long")
         out = pipelines.associate_users(requests, users, no_roles, identities, self.profiles(spark, "user_id", (1, "ann", None), (2, "bob", None)), CONFIG)
